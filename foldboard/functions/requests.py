@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from foldboard.operators.features import IMPUTED_SUFFIX, INDEXED_SUFFIX
 from foldboard.operators.split import DEFAULT_RATIO
 
-# Fixed value: blanks around the names in a comma list.
-BLANKS = " \t\n\r\x0b\x0c"
+# Blanks around the names in a comma list: all that ``str.strip`` removes.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
-# Checks that a run may choose to pass over.
-LENIENT_CHECKS = ("label_in_features", "untyped_feature")
+# Rules that a run may choose to pass over.
+LENIENT_RULES = ("label_in_features", "untyped_feature")
 
 
 def parse_feature_list(text: Column) -> Column:
@@ -28,11 +28,19 @@ def parse_feature_list(text: Column) -> Column:
 
 def parse_data_types(text: Column) -> Column:
     """Logical type per column from a JSON object; NULL if it is none."""
-    return F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    # A repeated name keeps its first place and its last value.
+    names = F.array_distinct(F.map_keys(parsed))
+    return F.map_from_arrays(names, F.transform(names, lambda name: _last_value(parsed, name)))
+
+
+def _last_value(types: Column, name: Column) -> Column:
+    same = F.filter(F.map_entries(types), lambda entry: entry["key"] == name)
+    return F.element_at(same, -1)["value"]
 
 
 def request_violations(requests: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, check, column)``: one row for everything wrong with a request."""
+    """``(*keys, rule, column_name)``: one row for everything wrong with a request."""
     features, label, types = F.col("feature_cols"), F.col("label_col"), F.col("data_types")
     columns = F.col("columns")
     typed = F.coalesce(F.map_keys(types), F.array().cast("array<string>"))
@@ -41,13 +49,13 @@ def request_violations(requests: DataFrame, *keys: str) -> DataFrame:
         typed, lambda c: F.coalesce(types[c].isin("numerical", "categorical"), F.lit(False))
     )
 
-    def overall(check: str, broken: Column) -> Column:
-        return named(check, F.when(broken, F.array(F.lit(""))))
+    def overall(rule: str, broken: Column) -> Column:
+        return named(rule, F.when(broken, F.array(F.lit(""))))
 
-    def named(check: str, names: Column) -> Column:
+    def named(rule: str, names: Column) -> Column:
         names = F.coalesce(names, F.array().cast("array<string>"))
         return F.transform(
-            names, lambda c: F.struct(F.lit(check).alias("check"), c.alias("column"))
+            names, lambda c: F.struct(F.lit(rule).alias("rule"), c.alias("column_name"))
         )
 
     no_label = F.coalesce(label, F.lit("")) == ""
@@ -66,7 +74,7 @@ def request_violations(requests: DataFrame, *keys: str) -> DataFrame:
 
 
 def request_feature_order(requests: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, pos, column)``: inputs of the feature vector, in order.
+    """``(*keys, pos, column_name)``: inputs of the feature vector, in order.
 
     ``string_cols array<string>`` names the columns that hold strings.
     """
@@ -83,20 +91,20 @@ def request_feature_order(requests: DataFrame, *keys: str) -> DataFrame:
         lambda c: F.when(F.array_contains(strings, c), F.concat(c, F.lit(INDEXED_SUFFIX))).otherwise(c),
     )
     return requests.select(
-        *keys, F.posexplode(F.concat(numericals, categoricals)).alias("pos", "column")
+        *keys, F.posexplode(F.concat(numericals, categoricals)).alias("pos", "column_name")
     )
 
 
 def roles_of_requests(requests: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, pos, column, role, data_type)`` for every typed column of a request."""
+    """``(*keys, pos, column_name, role, data_type)`` for every typed column of a request."""
     role = (
-        F.when(F.col("column") == F.col("label_col"), "Label")
-        .when(F.array_contains("feature_cols", F.col("column")), "Feature")
+        F.when(F.col("column_name") == F.col("label_col"), "Label")
+        .when(F.array_contains("feature_cols", F.col("column_name")), "Feature")
         .otherwise("Ignore")
     )
     return requests.select(
-        *keys, "feature_cols", "label_col", F.posexplode("data_types").alias("pos", "column", "data_type")
-    ).select(*keys, "pos", "column", role.alias("role"), "data_type")
+        *keys, "feature_cols", "label_col", F.posexplode("data_types").alias("pos", "column_name", "data_type")
+    ).select(*keys, "pos", "column_name", role.alias("role"), "data_type")
 
 
 def settle_roles(

@@ -166,7 +166,7 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                 )
                 models.append(
                     LabelTableModel(
-                        table,
+                        table=table,
                         inputCols=[inputs[p] for p in tabled],
                         outputCols=[outputs[p] for p in tabled],
                         positions=tabled,
@@ -199,8 +199,8 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
     @keyword_only
     def __init__(
         self,
-        table=None,
         *,
+        table=None,
         inputCols=None,
         outputCols=None,
         positions=None,
@@ -208,6 +208,7 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         headLabels=HEAD_LABELS,
     ):
         super().__init__()
+        # The label table, a DataFrame; saved next to the params.
         self.table = table
         self._setDefault(headLabels=HEAD_LABELS)
         self._set(**{k: v for k, v in self._input_kwargs.items() if k != "table" and v is not None})

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
-from foldboard.functions.requests import LENIENT_CHECKS
+from foldboard.functions.requests import LENIENT_RULES
 from foldboard.operators.split import DEFAULT_RATIO
 
 NUMERICAL = "numerical"
@@ -36,7 +36,7 @@ class RunSpec:
         return cls([c for c, role in roles.items() if role == "Feature"], label, types, ratio)
 
     def violations(self, schema: StructType) -> list[tuple[str, str]]:
-        """All ``(check, column)`` the run breaks; reads names and types only."""
+        """All ``(rule, column)`` the run breaks; reads names and types only."""
         names = set(schema.names)
         found = []
         if not self.feature_cols:
@@ -86,9 +86,9 @@ class RunSpec:
         then left out) are let through.
         """
         found = [
-            v for v in self.violations(schema) if strict or v[0] not in LENIENT_CHECKS
+            v for v in self.violations(schema) if strict or v[0] not in LENIENT_RULES
         ]
         if found:
             raise ValueError(
-                "invalid run: " + ", ".join(f"{check} {column}".strip() for check, column in found)
+                "invalid run: " + ", ".join(f"{rule} {column}".strip() for rule, column in found)
             )
