@@ -20,7 +20,7 @@ from foldboard.plans.families import BOOSTED, DEFAULT_FAMILIES, FOREST, LINEAR,
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.run import run
 from foldboard.plans.spec import RunSpec
-from foldboard.plans.tuning import tune
+from foldboard.plans.tuning import Tuned, tune
 from foldboard.scratch import scratch_path
 from foldboard.sources.registry import manifest, save_model, score
 from foldboard.sources.tables import spread
@@ -37,6 +37,7 @@ THREE_FEATURES = RunSpec(
     "charge",
     {"l_quantity": "numerical", "l_extendedprice": "numerical", "l_returnflag": "categorical"},
 )
+ONE_CATEGORY = RunSpec(["l_returnflag"], "l_extendedprice", {"l_returnflag": "categorical"})
 RIDGE_GRID = (1000.0, 0.01)
 # Small grids keep the registered searches short; the families' own are the default.
 SHORT_FAMILIES = (
@@ -83,19 +84,19 @@ def lr_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coefficients(spark, sf_dir, 100_000.0)
 
 
-def cv_lr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean fold error per grid point and the best of them."""
-    train = lines_in_folds(spark, sf_dir, TWO_FEATURES).persist()
+def tuned_on_folds(spark: SparkSession, sf_dir: str, spec: RunSpec, families) -> list[Tuned]:
+    train = lines_in_folds(spark, sf_dir, spec).persist()
     try:
-        plan = plan_features(
-            TWO_FEATURES.feature_cols, "charge", TWO_FEATURES.data_types, train.schema
-        )
-        (tuned,) = tune(
-            train, "fold", preprocessing(plan), [LINEAR.with_grid(regParam=RIDGE_GRID)], plan.label
-        )
+        plan = plan_features(spec.feature_cols, spec.label_col, spec.data_types, train.schema)
+        return tune(train, "fold", preprocessing(plan), families, plan.label)
     finally:
         train.unpersist()
-    rows = [(p, m) for p, m in zip(RIDGE_GRID, tuned.avg_metrics)]
+
+
+def cv_lr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean fold error per grid point and the best of them."""
+    (tuned,) = tuned_on_folds(spark, sf_dir, TWO_FEATURES, [LINEAR.with_grid(regParam=RIDGE_GRID)])
+    rows = list(zip(RIDGE_GRID, tuned.avg_metrics))
     return spark.createDataFrame(rows, "reg_param double, avg_rmse double").select(
         "reg_param",
         F.round("avg_rmse", 2).alias("avg_rmse"),
@@ -103,11 +104,27 @@ def cv_lr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cv_tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold errors of trees on one three-valued category: those of the group means."""
+    families = (
+        FOREST.with_grid(maxDepth=[3, 5], numTrees=[1], bootstrap=[False]),
+        TREE.with_grid(maxDepth=[3, 5]),
+        BOOSTED.with_grid(maxDepth=[3], maxIter=[1, 2]),
+    )
+    tuned = tuned_on_folds(spark, sf_dir, ONE_CATEGORY, families)
+    return grid_errors(spark, tuned).withColumn("avg_rmse", F.round("avg_rmse", 3))
+
+
+def grid_errors(spark: SparkSession, tuned: list[Tuned]) -> DataFrame:
+    rows = [(t.family.name, point, error) for t in tuned for point, error in enumerate(t.avg_metrics)]
+    return spark.createDataFrame(rows, "model string, point bigint, avg_rmse double")
+
+
 def saturated(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     """A tree with one three-valued category predicts the mean of each value."""
     lines = charges(spark, sf_dir).select("l_returnflag", "l_extendedprice")
     plan = plan_features(
-        ["l_returnflag"], "l_extendedprice", {"l_returnflag": "categorical"}, lines.schema
+        ONE_CATEGORY.feature_cols, ONE_CATEGORY.label_col, ONE_CATEGORY.data_types, lines.schema
     )
     stages = [*preprocessing(plan).getStages(), estimator.setLabelCol("l_extendedprice")]
     predicted = Pipeline(stages=stages).fit(lines).transform(lines)
@@ -132,16 +149,7 @@ def forest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tree_families_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean fold error of every grid point of the tree families."""
-    train = lines_in_folds(spark, sf_dir, THREE_FEATURES).persist()
-    try:
-        plan = plan_features(
-            THREE_FEATURES.feature_cols, "charge", THREE_FEATURES.data_types, train.schema
-        )
-        found = tune(train, "fold", preprocessing(plan), SHORT_FAMILIES[1:4], plan.label)
-    finally:
-        train.unpersist()
-    rows = [(t.family.name, i, m) for t in found for i, m in enumerate(t.avg_metrics)]
-    return spark.createDataFrame(rows, "model string, point int, avg_rmse double")
+    return grid_errors(spark, tuned_on_folds(spark, sf_dir, THREE_FEATURES, SHORT_FAMILIES[1:4]))
 
 
 def leaderboard_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +239,7 @@ QUERIES = {
     "lr_unregularised": lr_unregularised,
     "lr_ridge": lr_ridge,
     "cv_lr_metrics": cv_lr_metrics,
+    "cv_tree_metrics": cv_tree_metrics,
     "tree_saturated": tree_saturated,
     "gbt_saturated": gbt_saturated,
     "forest_single": forest_single,
@@ -318,6 +327,20 @@ ORACLES = {
                avg_rmse = (SELECT min(avg_rmse) FROM averages) AS is_best
         FROM averages
     """,
+    "cv_tree_metrics": f"""
+        WITH train AS (
+            SELECT l_returnflag, l_extendedprice AS y, {BUCKET_SQL} % 3 AS fold FROM lineitem WHERE {TRAIN_SQL}
+        ), means AS (
+            SELECT f, l_returnflag, avg(y) AS m FROM train, (SELECT unnest([0, 1, 2]) AS f)
+            WHERE fold <> f GROUP BY f, l_returnflag
+        ), errors AS (
+            SELECT fold, sqrt(avg(pow(y - m, 2))) AS rmse
+            FROM train JOIN means ON means.f = fold AND means.l_returnflag = train.l_returnflag GROUP BY fold
+        )
+        SELECT model, point::BIGINT AS point, round((SELECT avg(rmse) FROM errors), 3) AS avg_rmse
+        FROM (SELECT unnest(['Random Forest', 'Decision Tree', 'Gradient Boosted Trees']) AS model),
+             (SELECT unnest([0, 1]) AS point)
+    """,
     "tree_saturated": GROUP_MEANS_SQL,
     "gbt_saturated": GROUP_MEANS_SQL,
     "forest_single": GROUP_MEANS_SQL,

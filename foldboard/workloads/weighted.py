@@ -15,10 +15,8 @@ from foldboard.operators.weighted_average import (
     WeightedAverageRegressor,
 )
 from foldboard.plans.families import WEIGHTED_AVERAGE
-from foldboard.plans.tuning import tune
-from foldboard.workloads.models import THREE_FEATURES, lines_in_folds
+from foldboard.workloads.models import TWO_FEATURES, tuned_on_folds
 from foldboard.workloads.tables import BUCKET_SQL, CHARGE, TRAIN_SQL, charges, table
-from foldboard.operators.features import plan_features, preprocessing
 
 COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -130,21 +128,15 @@ def war_fold_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def war_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The family's own grid, fitted jointly in every fold."""
-    train = lines_in_folds(spark, sf_dir, THREE_FEATURES).persist()
-    try:
-        plan = plan_features(
-            THREE_FEATURES.feature_cols, "charge", THREE_FEATURES.data_types, train.schema
-        )
-        (tuned,) = tune(train, "fold", preprocessing(plan), [WEIGHTED_AVERAGE], plan.label)
-    finally:
-        train.unpersist()
+    """Mean fold error over the family's own grid, fitted jointly in every fold."""
+    (tuned,) = tuned_on_folds(spark, sf_dir, TWO_FEATURES, [WEIGHTED_AVERAGE])
     points = WEIGHTED_AVERAGE.param_maps(WeightedAverageRegressor())
     rows = [
         (*[value for _, value in sorted((p.name, v) for p, v in point.items())], metric)
         for point, metric in zip(points, tuned.avg_metrics)
     ]
-    return spark.createDataFrame(rows, "regularization double, use_interactions boolean, avg_rmse double")
+    schema = "regularization double, use_interactions boolean, avg_rmse double"
+    return spark.createDataFrame(rows, schema).withColumn("avg_rmse", F.round("avg_rmse", 3))
 
 
 QUERIES = {
@@ -161,8 +153,18 @@ QUERIES = {
 }
 
 
-def model_sql(rows: str, columns: tuple[str, ...], label: str, interactions: bool = True, group: str = "0") -> str:
-    """Common table expressions of the fit, per ``group``: ``fit``, ``kept`` and ``total``."""
+def model_sql(
+    rows: str,
+    columns: tuple[str, ...],
+    label: str,
+    group: str = "0",
+    shrinkage: str = "1.01",
+    interactions: str = "true",
+) -> str:
+    """Common table expressions of one fit per ``group``: ``fit``, ``kept`` and ``total``.
+
+    ``shrinkage`` and ``interactions`` may depend on the group, ``g``.
+    """
     long = " UNION ALL ".join(
         f"SELECT {group} AS g, {i} AS pos, {c} AS x, {label} AS y FROM {rows}" for i, c in enumerate(columns)
     )
@@ -170,7 +172,7 @@ def model_sql(rows: str, columns: tuple[str, ...], label: str, interactions: boo
     return f"""
         long AS ({long}),
         fit AS (
-            SELECT g, pos, mean, std, bias, sign(r) * r * r / 1.01 AS w FROM (
+            SELECT g, pos, mean, std, bias, sign(r) * r * r / ({shrinkage}) AS w FROM (
                 SELECT g, pos, avg(x) AS mean, greatest(stddev_pop(x), 1e-8) AS std, avg(y) AS bias,
                        CASE WHEN stddev_pop(x) > 1e-8
                             THEN coalesce(covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0), 0)
@@ -178,8 +180,9 @@ def model_sql(rows: str, columns: tuple[str, ...], label: str, interactions: boo
                 FROM long GROUP BY g, pos)
         ),
         candidates AS (
-            SELECT a.g, a.pos AS i, b.pos AS j FROM fit a JOIN fit b ON a.g = b.g AND a.pos < b.pos
-            WHERE {str(interactions).lower()} AND abs(a.w) > 0.1 AND abs(b.w) > 0.1
+            SELECT a.g, a.pos AS i, b.pos AS j
+            FROM (SELECT * FROM fit WHERE {interactions}) a JOIN fit b ON a.g = b.g AND a.pos < b.pos
+            WHERE abs(a.w) > 0.1 AND abs(b.w) > 0.1
         ),
         products AS (
             SELECT c.g, i, j, xs[i + 1] * xs[j + 1] AS x, y FROM ({listed}) r JOIN candidates c ON r.g = c.g
@@ -201,7 +204,7 @@ def model_sql(rows: str, columns: tuple[str, ...], label: str, interactions: boo
 
 LINES_SQL = f"lines AS (SELECT *, {CHARGE} AS charge FROM lineitem)"
 FIT_SQL = f"WITH {LINES_SQL}, {model_sql('lines', COLUMNS, 'charge')}"
-PLAIN_SQL = f"WITH {LINES_SQL}, {model_sql('lines', COLUMNS, 'charge', interactions=False)}"
+PLAIN_SQL = f"WITH {LINES_SQL}, {model_sql('lines', COLUMNS, 'charge', interactions='false')}"
 OFFSET_SQL = f"""{FIT_SQL}, wide AS (
         SELECT {', '.join(
             f"max(CASE WHEN pos = {i} THEN w / s END) AS w{i}, max(CASE WHEN pos = {i} THEN mean END) AS m{i}, "
@@ -230,6 +233,20 @@ IMPORTANCE_SQL = """
     )
 """
 
+# Prediction of a model with two features x0 and x1 and its joins.
+PAIR_PREDICTION_SQL = """
+    a.bias + a.w / s * ((x0 - a.mean) / a.std) + b.w / s * ((x1 - b.mean) / b.std)
+    + coalesce(v / s, 0) * ((x0 - a.mean) / a.std) * ((x1 - b.mean) / b.std)
+"""
+
+
+def pair_joins_sql(condition: str) -> str:
+    return f"""
+        JOIN fit a ON {condition} AND a.pos = 0 JOIN fit b ON b.g = a.g AND b.pos = 1
+        JOIN total ON total.g = a.g LEFT JOIN kept ON kept.g = a.g
+    """
+
+
 ORACLES = {
     "war_moments": f"""{FIT_SQL}
         SELECT pos::BIGINT AS pos, round(mean, 6) AS mean, round(std, 6) AS std, round(bias, 3) AS bias FROM fit
@@ -268,20 +285,39 @@ ORACLES = {
     """,
     "war_fold_models": f"""
         WITH raw AS (
-            SELECT l_quantity, l_extendedprice, {CHARGE} AS charge, {BUCKET_SQL} % 3 AS fold
+            SELECT l_quantity AS x0, l_extendedprice AS x1, {CHARGE} AS charge, {BUCKET_SQL} % 3 AS fold
             FROM lineitem WHERE {TRAIN_SQL}
         ), train AS (
             SELECT f AS held_out, raw.* FROM raw, (SELECT unnest([0, 1, 2]) AS f) WHERE fold <> f
-        ), {model_sql('train', ('l_quantity', 'l_extendedprice'), 'charge', group='held_out')},
-        scored AS (
-            SELECT fold, charge,
-                   a.bias + a.w / s * ((l_quantity - a.mean) / a.std)
-                   + b.w / s * ((l_extendedprice - b.mean) / b.std)
-                   + coalesce(v / s, 0) * ((l_quantity - a.mean) / a.std)
-                     * ((l_extendedprice - b.mean) / b.std) AS prediction
-            FROM raw JOIN fit a ON a.g = fold AND a.pos = 0 JOIN fit b ON b.g = fold AND b.pos = 1
-            JOIN total ON total.g = fold LEFT JOIN kept ON kept.g = fold
-        )
+        ), {model_sql('train', ('x0', 'x1'), 'charge', group='held_out')},
+        scored AS (SELECT a.g, fold, charge, {PAIR_PREDICTION_SQL} AS prediction FROM raw {pair_joins_sql('a.g = fold')})
         SELECT fold, round(sqrt(avg(pow(charge - prediction, 2))), 2) AS rmse FROM scored GROUP BY fold
     """,
+    # Groups are 10 * held-out fold + grid point; features are standardised per fold first.
+    "war_cv_metrics": f"""
+        WITH raw AS (
+            SELECT l_quantity, l_extendedprice, {CHARGE} AS charge, {BUCKET_SQL} % 3 AS fold
+            FROM lineitem WHERE {TRAIN_SQL}
+        ), held AS (
+            SELECT f, raw.* FROM raw, (SELECT unnest([0, 1, 2]) AS f)
+        ), scale AS (
+            SELECT f, avg(l_quantity) AS m0, stddev_samp(l_quantity) AS d0,
+                   avg(l_extendedprice) AS m1, stddev_samp(l_extendedprice) AS d1
+            FROM held WHERE fold <> f GROUP BY f
+        ), standardised AS (
+            SELECT 10 * f + point AS fit_group, fold, f, charge,
+                   (l_quantity - m0) / d0 AS x0, (l_extendedprice - m1) / d1 AS x1
+            FROM held JOIN scale USING (f), (SELECT unnest([0, 1, 2, 3]) AS point)
+        ), train AS (SELECT * FROM standardised WHERE fold <> f
+        ), test AS (SELECT * FROM standardised WHERE fold = f
+        ), {model_sql('train', ('x0', 'x1'), 'charge', group='fit_group',
+                      shrinkage='CASE WHEN g % 10 < 2 THEN 1.01 ELSE 1.1 END', interactions='g % 2 = 0')},
+        scored AS (
+            SELECT a.g, charge, {PAIR_PREDICTION_SQL} AS prediction FROM test {pair_joins_sql('a.g = fit_group')}
+        ),
+        errors AS (SELECT g, sqrt(avg(pow(charge - prediction, 2))) AS rmse FROM scored GROUP BY g)
+        SELECT CASE WHEN g % 10 < 2 THEN 0.01::DOUBLE ELSE 0.1::DOUBLE END AS regularization,
+               g % 2 = 0 AS use_interactions, round(avg(rmse), 3) AS avg_rmse
+        FROM errors GROUP BY 1, 2
+    """,
 }
