@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from foldboard.operators.split import (
 from foldboard.plans.families import DEFAULT_FAMILIES, Family
 from foldboard.plans.leaderboard import rank_models, result_documents
 from foldboard.plans.spec import RunSpec
-from foldboard.plans.tuning import PARALLELISM, tune, with_predictions
+from foldboard.plans.tuning import PARALLELISM, stored, tune, with_predictions
 from foldboard.scratch import scratch_root
 from foldboard.sources.registry import model_path, save_model
 from foldboard.sources.tables import read_table, spread
@@ -88,10 +87,9 @@ def run(
     else:
         raise ValueError(f"split must be 'hash' or 'random', not {split!r}")
     train = train.select(*columns, fold_number(F.col(BUCKET), num_folds).alias(FOLD))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with stored(train) as rows:
         tuned = tune(
-            train,
+            rows,
             FOLD,
             preprocessing(plan),
             families,
@@ -99,8 +97,6 @@ def run(
             num_folds=num_folds,
             parallelism=parallelism,
         )
-    finally:
-        train.unpersist()
 
     # The families share the preprocessing stages; only their last stage differs.
     shared = PipelineModel(tuned[0].model.stages[:-1])

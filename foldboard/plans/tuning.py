@@ -9,11 +9,12 @@ other, and all models of a fold are scored in a single pass over its rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,31 +68,22 @@ def tune(
     """
     spark = train.sparkSession
     fits = [fit for family in families for fit in _planned_fits(family, label, features)]
+    # Longest first, so that no long fit is left over for the end.
+    fits.sort(key=lambda fit: -max(map(_cost, fit.param_maps)))
 
-    def prepare(number: int) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    # Folds take turns: only one of them has its prepared rows in storage at a time,
+    # and the fits of one fold keep all threads busy.
+    errors = []
+    for number in range(num_folds):
         rest, held_out = train.filter(F.col(fold) != number), train.filter(F.col(fold) == number)
-        fitted = prep.copy().fit(rest)
-        return fitted, _prepared(fitted, rest, features, label), _prepared(fitted, held_out, features, label)
-
-    folds = run_parallel(spark, [lambda n=n: prepare(n) for n in range(num_folds)], parallelism)
-
-    # Longest first, so that no long fit is left over for the end.
-    order = sorted(fits, key=lambda fit: -_weight(fit))
-    jobs = [(fit, number) for fit in order for number in range(num_folds)]
-    models = run_parallel(
-        spark,
-        [lambda fit=fit, n=number: _fit(fit, folds[n][1]) for fit, number in jobs],
-        parallelism,
-    )
-    by_fold = [
-        [(fit, fitted) for (fit, n), fitted in zip(jobs, models) if n == number]
-        for number in range(num_folds)
-    ]
-    errors = run_parallel(
-        spark,
-        [lambda n=n: _fold_errors(by_fold[n], folds[n][2], label) for n in range(num_folds)],
-        parallelism,
-    )
+        fitted_prep = prep.fit(rest)
+        with stored(_prepared(fitted_prep, rest, features, label)) as rows:
+            models = run_parallel(
+                spark, [lambda fit=fit: _fit(fit, rows) for fit in fits], parallelism
+            )
+        errors.append(
+            _fold_errors(list(zip(fits, models)), _prepared(fitted_prep, held_out, features, label), label)
+        )
 
     best = []
     for family in families:
@@ -105,25 +97,19 @@ def tune(
         best.append((family, maps[point], averages))
 
     fitted_prep = prep.fit(train)
-    prepared = _prepared(fitted_prep, train, features, label)
 
-    def refit(family: Family, params: dict) -> Model:
+    def refit(family: Family, params: dict, rows: DataFrame) -> Model:
         estimator = _columns(family.estimator(), label, features)
         # Params belong to an instance, so they are carried over by name.
         own = {estimator.getParam(param.name): value for param, value in params.items()}
-        return estimator.fit(prepared, own)
+        return estimator.fit(rows, own)
 
     refits = sorted(best, key=lambda item: -_cost(item[1]))
-    finals = dict(
-        zip(
-            [family.name for family, _, _ in refits],
-            run_parallel(
-                spark,
-                [lambda f=family, p=params: refit(f, p) for family, params, _ in refits],
-                parallelism,
-            ),
+    with stored(_prepared(fitted_prep, train, features, label)) as rows:
+        models = run_parallel(
+            spark, [lambda f=f, p=p: refit(f, p, rows) for f, p, _ in refits], parallelism
         )
-    )
+    finals = {family.name: model for (family, _, _), model in zip(refits, models)}
     return [
         Tuned(
             family,
@@ -135,6 +121,16 @@ def tune(
     ]
 
 
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept in memory, or on disk where memory ends, while the block runs."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def run_parallel(spark: SparkSession, tasks: Iterable[Callable], parallelism: int) -> list:
     """Results of driver-side calls that each submit Spark jobs, in order."""
     tasks = list(tasks)
@@ -221,10 +217,6 @@ def with_predictions(
     return df, columns
 
 
-def _weight(fit: _Fit) -> float:
-    return max(_cost(params) for params in fit.param_maps)
-
-
 def _cost(params: dict) -> float:
     """Rough size of a fit: trees grown times their depth."""
     values = {param.name: value for param, value in params.items()}

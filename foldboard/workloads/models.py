@@ -20,7 +20,7 @@ from foldboard.plans.families import BOOSTED, DEFAULT_FAMILIES, FOREST, LINEAR,
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.run import run
 from foldboard.plans.spec import RunSpec
-from foldboard.plans.tuning import Tuned, tune
+from foldboard.plans.tuning import Tuned, stored, tune
 from foldboard.scratch import scratch_path
 from foldboard.sources.registry import manifest, save_model, score
 from foldboard.sources.tables import spread
@@ -85,12 +85,9 @@ def lr_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tuned_on_folds(spark: SparkSession, sf_dir: str, spec: RunSpec, families) -> list[Tuned]:
-    train = lines_in_folds(spark, sf_dir, spec).persist()
-    try:
+    with stored(lines_in_folds(spark, sf_dir, spec)) as train:
         plan = plan_features(spec.feature_cols, spec.label_col, spec.data_types, train.schema)
         return tune(train, "fold", preprocessing(plan), families, plan.label)
-    finally:
-        train.unpersist()
 
 
 def cv_lr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
