@@ -152,14 +152,14 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                     .collect()
                 ):
                     labels[row["position"]].append(row["value"])
-                models.append(
-                    StringIndexerModel.from_arrays_of_labels(
-                        [labels[p] for p in listed],
-                        inputCols=[inputs[p] for p in listed],
-                        outputCols=[outputs[p] for p in listed],
-                        handleInvalid="keep",
+                # One model per column: label lists of unequal length would be padded
+                # to one Java matrix.
+                models += [
+                    StringIndexerModel.from_labels(
+                        labels[p], inputCol=inputs[p], outputCol=outputs[p], handleInvalid="keep"
                     )
-                )
+                    for p in listed
+                ]
             if tabled:
                 table = written(
                     rank_labels(counts.filter(F.col("position").isin(tabled))), "label-table"
@@ -239,7 +239,8 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         )
         tail = table.filter(F.col("idx") >= head_size).select(
             F.col("value").alias("_tail"),
-            F.lit(-1).cast("bigint").alias("_tail_spread"),
+            # Always -1, but not a literal: the optimizer would drop that from the join keys.
+            F.least("idx", F.lit(-1)).cast("bigint").alias("_tail_spread"),
             F.col("idx").alias("_tail_idx"),
         )
         columns = df.columns
