@@ -67,6 +67,11 @@ def tune(
     many times and should be persisted.
     """
     spark = train.sparkSession
+    # Also fills the cache of a persisted table before the fits compete for it.
+    filled = {row[fold] for row in train.groupBy(fold).agg(F.count("*")).collect()}
+    if filled != set(range(num_folds)):
+        raise ValueError(f"a cross-validation fold has no rows: only {sorted(filled)} of {num_folds} do")
+
     fits = [fit for family in families for fit in _planned_fits(family, label, features)]
     # Longest first, so that no long fit is left over for the end.
     fits.sort(key=lambda fit: -max(map(_cost, fit.param_maps)))
@@ -199,10 +204,8 @@ def _fold_errors(
     keys = list(whole)
     scored, columns = with_predictions(held_out, {str(i): whole[k] for i, k in enumerate(keys)})
     if columns:
-        rows = evaluate(scored, label, columns).collect()
-        if not rows:
-            raise ValueError("a cross-validation fold has no rows; use fewer folds or more rows")
-        errors |= {keys[int(row["model"])]: row["rmse"] for row in rows}
+        for row in evaluate(scored, label, columns).collect():
+            errors[keys[int(row["model"])]] = row["rmse"]
     return errors
 
 

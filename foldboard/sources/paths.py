@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
-_KEY = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/*([^?#]*)"
+_KEY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?/*([^?#]*)"
 
 
 def object_uri(bucket: str, key: str, scheme: str = "s3a") -> str:
