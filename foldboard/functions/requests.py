@@ -29,9 +29,14 @@ def parse_feature_list(text: Column) -> Column:
 def parse_data_types(text: Column) -> Column:
     """Logical type per column from a JSON object; NULL if it is none."""
     parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
-    # A repeated name keeps its first place and its last value.
-    names = F.array_distinct(F.map_keys(parsed))
-    return F.map_from_arrays(names, F.transform(names, lambda name: _last_value(parsed, name)))
+
+    def without_repeats(types: Column) -> Column:
+        # A repeated name keeps its first place and its last value.
+        names = F.array_distinct(F.map_keys(types))
+        return F.map_from_arrays(names, F.transform(names, lambda name: _last_value(types, name)))
+
+    # A one-element transform names the parsed object, so that it is parsed once.
+    return F.element_at(F.transform(F.array(parsed), without_repeats), 1)
 
 
 def _last_value(types: Column, name: Column) -> Column:
@@ -113,22 +118,25 @@ def settle_roles(
     """``(request, column, role)`` after a log of role selections.
 
     A column keeps its last selected role, except that a label gives way to a
-    label picked later for another column of the request. ``order`` must be
+    label picked later for another column of the request. ``order`` is a number,
     unique within a request. Both aggregations combine before they shuffle, so
     a request with very many selections is not gathered in one place.
     """
+    # Roles travel as numbers: a string in an aggregation buffer would force a sort.
+    code = F.when(F.col(role) == "Label", 2).when(F.col(role) == "Feature", 1).otherwise(0)
     picks = selections.select(
-        F.col(request), F.col(column), F.col(role), order.alias("_order")
+        F.col(request), F.col(column), code.alias("_role"), order.alias("_order")
     )
     last = picks.groupBy(request, column).agg(
-        F.max_by(role, "_order").alias("_role"), F.max("_order").alias("_order")
+        F.max_by("_role", "_order").alias("_role"), F.max("_order").alias("_order")
     )
     labels = (
-        picks.filter(F.col(role) == "Label")
-        .groupBy(request)
-        .agg(F.max("_order").alias("_last_label"))
+        picks.filter("_role = 2").groupBy(request).agg(F.max("_order").alias("_last_label"))
+    )
+    outdated = (F.col("_role") == 2) & (F.col("_order") < F.col("_last_label"))
+    settled = F.when(outdated, "Ignore").when(F.col("_role") == 2, "Label").when(
+        F.col("_role") == 1, "Feature"
     )
-    outdated = (F.col("_role") == "Label") & (F.col("_order") < F.col("_last_label"))
     return last.join(labels, request, "left").select(
-        request, column, F.when(outdated, "Ignore").otherwise(F.col("_role")).alias("role")
+        request, column, F.coalesce(settled, F.lit("Ignore")).alias("role")
     )

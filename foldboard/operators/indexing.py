@@ -85,6 +85,24 @@ def rank_labels(counts: DataFrame) -> DataFrame:
     )
 
 
+def head_sizes(table: DataFrame, most: int) -> dict[int, int]:
+    """Per column, how many of its most frequent labels may be broadcast.
+
+    At most ``most``, and no more than fit the byte limit together.
+    """
+    running = F.sum("bytes").over(Window.partitionBy("position").orderBy("idx"))
+    return {
+        row["position"]: row["size"]
+        for row in table.filter(F.col("idx") < most)
+        .select("position", "idx", F.octet_length("value").alias("bytes"))
+        .withColumn("running", running)
+        .filter(F.col("running") <= HEAD_BYTES)
+        .groupBy("position")
+        .agg(F.count("*").alias("size"))
+        .collect()
+    }
+
+
 def _running_start(sizes: DataFrame, key: str) -> DataFrame:
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
@@ -164,6 +182,7 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                 table = written(
                     rank_labels(counts.filter(F.col("position").isin(tabled))), "label-table"
                 )
+                heads = head_sizes(table, self.getOrDefault(self.headLabels))
                 models.append(
                     LabelTableModel(
                         table=table,
@@ -171,7 +190,7 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                         outputCols=[outputs[p] for p in tabled],
                         positions=tabled,
                         labelCounts=[sizes[p][0] for p in tabled],
-                        headLabels=self.getOrDefault(self.headLabels),
+                        headSizes=[heads.get(p, 0) for p in tabled],
                     )
                 )
             return models[0] if len(models) == 1 else PipelineModel(models)
@@ -192,8 +211,11 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
     labelCounts = Param(
         Params._dummy(), "labelCounts", "labels of each input column", TypeConverters.toListInt
     )
-    headLabels = Param(
-        Params._dummy(), "headLabels", "labels that are broadcast", TypeConverters.toInt
+    headSizes = Param(
+        Params._dummy(),
+        "headSizes",
+        "most frequent labels of each input column, those that are broadcast",
+        TypeConverters.toListInt,
     )
 
     @keyword_only
@@ -205,12 +227,11 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         outputCols=None,
         positions=None,
         labelCounts=None,
-        headLabels=HEAD_LABELS,
+        headSizes=None,
     ):
         super().__init__()
         # The label table, a DataFrame; saved next to the params.
         self.table = table
-        self._setDefault(headLabels=HEAD_LABELS)
         self._set(**{k: v for k, v in self._input_kwargs.items() if k != "table" and v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -220,20 +241,27 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
             ),
             F.lit(SPREAD),
         )
-        for column, output, position, labels in zip(
+        for column, output, position, labels, head_size in zip(
             self.getInputCols(),
             self.getOutputCols(),
             self.getOrDefault(self.positions),
             self.getOrDefault(self.labelCounts),
+            self.getOrDefault(self.headSizes),
         ):
-            dataset = self._index(dataset, column, output, position, labels, spread)
+            table = self.table.filter(F.col("position") == position)
+            dataset = self._index(dataset, column, output, table, labels, head_size, spread)
         return dataset
 
     def _index(
-        self, df: DataFrame, column: str, output: str, position: int, labels: int, spread: Column
+        self,
+        df: DataFrame,
+        column: str,
+        output: str,
+        table: DataFrame,
+        labels: int,
+        head_size: int,
+        spread: Column,
     ) -> DataFrame:
-        table = self.table.filter(F.col("position") == position)
-        head_size = self._head_size(table)
         head = table.filter(F.col("idx") < head_size).select(
             F.col("value").alias("_head"), F.col("idx").alias("_head_idx")
         )
@@ -264,14 +292,6 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
             found = F.coalesce("_head_idx", F.lit(labels))
         return df.select(*columns, found.cast("double").alias(output))
 
-    def _head_size(self, table: DataFrame) -> int:
-        """Length of the most frequent run of labels that fits the byte limit."""
-        first = table.filter(F.col("idx") < self.getOrDefault(self.headLabels)).select(
-            "idx", F.octet_length("value").alias("bytes")
-        )
-        running = F.sum("bytes").over(Window.orderBy("idx"))
-        return first.select((running <= HEAD_BYTES).alias("fits")).filter("fits").count()
-
     def write(self) -> MLWriter:
         return _LabelTableWriter(self)
 

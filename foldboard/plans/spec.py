@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -35,6 +36,28 @@ class RunSpec:
         label = next((c for c, role in roles.items() if role == "Label"), "")
         return cls([c for c, role in roles.items() if role == "Feature"], label, types, ratio)
 
+    @classmethod
+    def from_request(cls, request: Mapping) -> RunSpec:
+        """From a JSON request as sent to start a run; absent entries get their defaults."""
+        return cls(
+            list(request.get("feature_cols", [])),
+            request.get("label_col", ""),
+            dict(request.get("data_types", {})),
+            request.get("train_test_split", DEFAULT_RATIO),
+        )
+
+    @classmethod
+    def from_form(cls, feature_cols: str, label_col: str, data_types: str, ratio=DEFAULT_RATIO) -> RunSpec:
+        """From form fields: a comma list of features and a JSON object of types."""
+        names = [name.strip() for name in feature_cols.split(",")]
+        try:
+            types = json.loads(data_types)
+        except json.JSONDecodeError as error:
+            raise ValueError("Invalid data types format, use JSON format") from error
+        if not isinstance(types, dict):
+            raise ValueError("Invalid data types format, use a JSON object")
+        return cls([name for name in names if name], label_col.strip(), types, ratio)
+
     def violations(self, schema: StructType) -> list[tuple[str, str]]:
         """All ``(rule, column)`` the run breaks; reads names and types only."""
         names = set(schema.names)

@@ -25,6 +25,7 @@ from foldboard.operators.split import NUM_FOLDS
 from foldboard.plans.families import Family
 
 PARALLELISM = 3
+POOL = "spark.scheduler.pool"
 
 
 @dataclass(frozen=True)
@@ -137,13 +138,29 @@ def stored(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def run_parallel(spark: SparkSession, tasks: Iterable[Callable], parallelism: int) -> list:
-    """Results of driver-side calls that each submit Spark jobs, in order."""
+    """Results of driver-side calls that each submit Spark jobs, in order.
+
+    Unless the caller chose a scheduler pool, every call gets its own. With
+    ``spark.scheduler.mode=FAIR`` short fits then pass long ones.
+    """
     tasks = list(tasks)
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
+    context = spark.sparkContext
+    own_pools = context.getLocalProperty(POOL) is None
+
+    def start(number: int, task: Callable):
+        if own_pools:
+            context.setLocalProperty(POOL, f"foldboard-{number}")
+        return task()
+
     with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
-        # Keeps the caller's job group and scheduler pool in the worker threads.
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
+        # Every call gets its own copy of the caller's job group and local properties.
+        futures = [
+            pool.submit(inheritable_thread_target(spark)(start), number, task)
+            for number, task in enumerate(tasks)
+        ]
+        return [future.result() for future in futures]
 
 
 def _prepared(fitted: PipelineModel, df: DataFrame, features: str, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from foldboard.functions.metrics import evaluate
 from foldboard.operators.features import FEATURES, plan_features, preprocessing
-from foldboard.operators.split import fold_number, hash_split, is_train
+from foldboard.operators.split import fold_number, is_train
 from foldboard.plans.families import BOOSTED, DEFAULT_FAMILIES, FOREST, LINEAR, TREE
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.run import run
@@ -188,14 +188,17 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def guess_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per line status: test error and mean fold error of every guess."""
+    """One run per line status: test error and mean fold error of every guess, in one pass."""
     lines, columns = guessed(spark, sf_dir)
-    train, test = hash_split(lines, F.col("bucket"))
-    folds = evaluate(
-        train.withColumn("fold", fold_number(F.col("bucket"))), "charge", columns, by=["run_id", "fold"]
+    bucket = F.col("bucket")
+    part = F.when(is_train(bucket), fold_number(bucket)).otherwise(F.lit(-1))
+    errors = evaluate(lines.withColumn("part", part), "charge", columns, by=["run_id", "part"])
+    tested, held_out = F.col("part") == -1, F.col("part") >= 0
+    scores = errors.groupBy("run_id", "model").agg(
+        F.max(F.when(tested, F.col("rmse"))).alias("rmse"),
+        F.max(F.when(tested, F.col("r2"))).alias("r2"),
+        F.avg(F.when(held_out, F.col("rmse"))).alias("avg_cv_rmse"),
     )
-    cv = folds.groupBy("run_id", "model").agg(F.avg("rmse").alias("avg_cv_rmse"))
-    scores = evaluate(test, "charge", columns, by=["run_id"]).join(cv, ["run_id", "model"])
     return rank_models(scores).select(
         "run_id",
         "model",

@@ -153,3 +153,12 @@ def test_many_categories_need_no_bins(spark, sf_dir):
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_name", "p_retailprice")
     df, _ = transformed(parts, ["p_name"], "p_retailprice", types(p_name="c"))
     DecisionTreeRegressor(labelCol="p_retailprice").fit(df)
+
+
+def test_requests_and_forms():
+    request = RunSpec.from_request({"key": "k", "feature_cols": ["a"], "label_col": "l", "data_types": types(a="n")})
+    form = RunSpec.from_form(" a , ,", " l ", '{"a": "numerical"}')
+    assert request == form == RunSpec(["a"], "l", types(a="n"), 0.8)
+    for text in ("{", "[1]"):
+        with pytest.raises(ValueError, match="Invalid data types"):
+            RunSpec.from_form("a", "l", text)

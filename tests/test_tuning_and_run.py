@@ -184,3 +184,42 @@ def test_ranking_ties_nan_and_infinity(spark):
     documents = {r["run_id"]: json.loads(r["document"]) for r in result_documents(ranked).collect()}
     assert documents["d"]["best_model_name"] == "m1"
     assert "best_model_name" not in documents["b"]
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    """The housing table, as a request from the command line."""
+    import foldboard.__main__ as command
+    import foldboard.plans.run as run_module
+
+    spark.range(40).selectExpr(
+        "id * 97 % 50 + 20 AS area", "IF(id % 3 = 0, 'yes', 'no') AS garden", "id AS note",
+        "(id * 97 % 50 + 20) * 1000 + IF(id % 3 = 0, 5000, 0) AS price",
+    ).write.csv(str(tmp_path / "uploads" / "1" / "homes.csv"), header=True)
+    request = {
+        "key": "uploads/1/homes.csv",
+        "feature_cols": ["area", "garden"],
+        "label_col": "price",
+        "data_types": {"area": "numerical", "garden": "categorical", "note": "numerical", "price": "numerical"},
+    }
+    (tmp_path / "request.json").write_text(json.dumps(request))
+    monkeypatch.setattr(
+        command, "run_file", lambda *a, **k: run_module.run_file(*a, families=SMALL[:2], **k)
+    )
+    document = command.main([str(tmp_path / "request.json"), str(tmp_path), "--output", str(tmp_path / "out")])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == document
+    assert document["best_model_name"] == "Linear Regression"
+    assert load_model(document["model_path"]).stages
+
+
+def test_parallel_fits_keep_the_callers_pool(spark):
+    from foldboard.plans.tuning import POOL, run_parallel
+
+    context = spark.sparkContext
+    tasks = [lambda: context.getLocalProperty(POOL)] * 3
+    assert run_parallel(spark, tasks, 2) == ["foldboard-0", "foldboard-1", "foldboard-2"]
+    context.setLocalProperty(POOL, "mine")
+    try:
+        assert run_parallel(spark, tasks, 2) == ["mine"] * 3
+    finally:
+        context.setLocalProperty(POOL, None)
+    assert context.getLocalProperty(POOL) is None
