@@ -164,11 +164,8 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
             models = []
             if listed:
                 labels = {position: [] for position in listed}
-                for row in (
-                    counts.filter(F.col("position").isin(listed))
-                    .orderBy("position", F.desc("n"), "value")
-                    .collect()
-                ):
+                rows = counts.filter(F.col("position").isin(listed)).collect()
+                for row in sorted(rows, key=lambda row: (-row["n"], row["value"])):
                     labels[row["position"]].append(row["value"])
                 # One model per column: label lists of unequal length would be padded
                 # to one Java matrix.

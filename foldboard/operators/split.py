@@ -49,6 +49,11 @@ def fold_number(bucket: Column, num_folds: int = NUM_FOLDS) -> Column:
     return F.pmod(bucket, F.lit(num_folds)).cast("int")
 
 
+def random_fold(num_folds: int = NUM_FOLDS, seed: int = DEFAULT_SEED) -> Column:
+    """Seeded random fold of a row; like a random split it changes with the partition layout."""
+    return F.floor(F.rand(seed) * num_folds).cast("int")
+
+
 def hash_split(
     df: DataFrame, bucket: Column, ratio: float = DEFAULT_RATIO
 ) -> tuple[DataFrame, DataFrame]:

@@ -17,6 +17,7 @@ from foldboard.operators.split import (
     NUM_FOLDS,
     fold_number,
     hash_split,
+    random_fold,
     random_split,
     row_bucket,
 )
@@ -67,7 +68,8 @@ def run(
 
     ``bucket`` decides side and fold of a row, see
     :func:`foldboard.operators.split.key_bucket`; without it the contents of the
-    used columns do. ``split="random"`` draws the sides instead. With ``save_to``
+    used columns do. ``split="random"`` draws sides and folds instead, which keeps
+    their sizes even where copies of few rows fill the table. With ``save_to``
     the winner is saved below that folder.
     """
     spec.require(df.schema, strict)
@@ -82,11 +84,13 @@ def run(
         rows = rows.filter(F.col(spec.label_col).isNotNull())
     if split == "random":
         train, test = random_split(rows, spec.train_test_split)
+        fold = random_fold(num_folds)
     elif split == "hash":
         train, test = hash_split(rows, F.col(BUCKET), spec.train_test_split)
+        fold = fold_number(F.col(BUCKET), num_folds)
     else:
         raise ValueError(f"split must be 'hash' or 'random', not {split!r}")
-    train = train.select(*columns, fold_number(F.col(BUCKET), num_folds).alias(FOLD))
+    train = train.select(*columns, fold.alias(FOLD))
     with stored(train) as rows:
         tuned = tune(
             rows,

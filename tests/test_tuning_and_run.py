@@ -87,7 +87,7 @@ def test_same_averages_and_choice_as_cross_validators_around_the_pipeline(rows):
     train.unpersist()
 
 
-def test_default_grids():
+def test_default_grids(spark):
     sizes = {f.name: len(f.param_maps(f.estimator())) for f in DEFAULT_FAMILIES}
     assert sizes == {
         "Linear Regression": 4,
@@ -223,3 +223,18 @@ def test_parallel_fits_keep_the_callers_pool(spark):
     finally:
         context.setLocalProperty(POOL, None)
     assert context.getLocalProperty(POOL) is None
+
+
+@pytest.mark.parametrize("split", ["hash", "random"])
+def test_copies_that_fill_a_third_of_the_table(rows, split):
+    copies = rows.filter("id = 5").select("*", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("col")
+    result = run(rows.union(copies), SPEC, SMALL[:1], split=split)
+    assert result.best_rmse > 0
+
+
+def test_a_table_of_copies_needs_the_random_split(rows):
+    copies = rows.filter("id = 5").select("*", F.explode(F.sequence(F.lit(1), F.lit(90)))).drop("col")
+    copies = copies.repartition(3)
+    with pytest.raises(ValueError, match="no rows"):
+        run(copies, SPEC, SMALL[2:])
+    assert run(copies, SPEC, SMALL[2:], split="random").best_rmse == pytest.approx(0.0, abs=1e-9)
