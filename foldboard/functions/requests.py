@@ -28,7 +28,14 @@ def parse_feature_list(text: Column) -> Column:
 
 def parse_data_types(text: Column) -> Column:
     """Logical type per column from a JSON object; NULL if it is none."""
-    parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    strict = {"allowSingleQuotes": "false"}
+    # The parser stops at the end of a value and would accept any text behind it.
+    # Inside brackets such text is an error; stray closing signs fit only one kind.
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", strict)
+    keyed = F.from_json(
+        F.concat(F.lit('{"types":'), text, F.lit("}")), "map<string,map<string,string>>", strict
+    )
+    parsed = F.when(keyed.isNotNull() & (F.size(listed) == 1), listed[0])
 
     def without_repeats(types: Column) -> Column:
         # A repeated name keeps its first place and its last value.

@@ -23,7 +23,7 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType
+from pyspark.sql.types import MapType
 
 from foldboard.scratch import written
 
@@ -318,8 +318,3 @@ class _LabelTableReader(MLReader):
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model
-
-
-def string_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    """Those of ``columns`` that physically hold strings."""
-    return [c for c in columns if isinstance(df.schema[c].dataType, StringType)]

@@ -290,7 +290,9 @@ ORACLES = {
         ), train AS (
             SELECT f AS held_out, raw.* FROM raw, (SELECT unnest([0, 1, 2]) AS f) WHERE fold <> f
         ), {model_sql('train', ('x0', 'x1'), 'charge', group='held_out')},
-        scored AS (SELECT a.g, fold, charge, {PAIR_PREDICTION_SQL} AS prediction FROM raw {pair_joins_sql('a.g = fold')})
+        scored AS (
+            SELECT a.g, fold, charge, {PAIR_PREDICTION_SQL} AS prediction FROM raw {pair_joins_sql('a.g = fold')}
+        )
         SELECT fold, round(sqrt(avg(pow(charge - prediction, 2))), 2) AS rmse FROM scored GROUP BY fold
     """,
     # Groups are 10 * held-out fold + grid point; features are standardised per fold first.

@@ -100,11 +100,22 @@ def test_a_later_label_replaces_the_earlier_one(spark):
 
 
 def test_parsing(spark):
-    texts = [(" a, b ,,\tc\n,", '{"a": "numerical", "b": "x", "a": "categorical"}'), ("", "{'a': 'x'}"), (" , ", '{"a": '), ("é, z", "[1]")]
+    texts = [
+        (" a, b ,,\tc\n,", '{"a": "numerical", "b": "x", "a": "categorical"}'),
+        ("", "{'a': 'x'}"),
+        (" , ", '{"a": '),
+        ("é, z", "[1]"),
+        ("a", '{"a": "x"} and more'),
+        ("a", '{"a": "x"}] ['),
+        ("a", '{"a": "x"}} {'),
+        ("a", '{"a": "x"}, {"b": "y"}'),
+        ("a", ""),
+        ("a", ' {"a": 1, "b": null} '),
+    ]
     df = spark.createDataFrame(texts, "names string, types string")
     found = df.select(parse_feature_list(F.col("names")), parse_data_types(F.col("types"))).collect()
-    assert [r[0] for r in found] == [["a", "b", "c"], [], [], ["é", "z"]]
-    assert [r[1] for r in found] == [{"a": "categorical", "b": "x"}, None, None, None]
+    assert [r[0] for r in found] == [["a", "b", "c"], [], [], ["é", "z"]] + [["a"]] * 6
+    assert [r[1] for r in found] == [{"a": "categorical", "b": "x"}] + [None] * 8 + [{"a": "1", "b": None}]
 
 
 def test_vector_order(spark, rows):
