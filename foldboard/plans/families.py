@@ -29,6 +29,8 @@ class Family:
     grid: Mapping[str, Sequence]
     # Parameter whose smaller values give a prefix of the model for the largest.
     staged_by: str | None = None
+    # Params without effect at a grid point, given its values and the vector size.
+    ignores: Callable[[Mapping[str, object], int], set[str]] | None = None
     # The estimator's fitMultiple shares passes over the data between grid points.
     joint_fit: bool = False
 
@@ -43,10 +45,26 @@ class Family:
         return builder.build()
 
 
+# Fixed value: the widest vector for which Spark solves normal equations by default.
+WIDEST_NORMAL_EQUATIONS = 4096
+
+
+def ignored_by_linear(values: Mapping[str, object], width: int) -> set[str]:
+    """Normal equations with a ridge are solved directly, whatever the iteration limit."""
+    direct = (
+        width <= WIDEST_NORMAL_EQUATIONS
+        and values.get("regParam", 0.0) > 0
+        and values.get("elasticNetParam", 0.0) == 0
+        and values.get("solver", "auto") != "l-bfgs"
+    )
+    return {"maxIter"} if direct else set()
+
+
 LINEAR = Family(
     "Linear Regression",
     LinearRegression,
     {"regParam": [0.1, 0.01], "maxIter": [10, 100]},
+    ignores=ignored_by_linear,
 )
 FOREST = Family(
     "Random Forest",

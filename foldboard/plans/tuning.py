@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from foldboard.functions.metrics import evaluate
 from foldboard.operators.features import FEATURES
 from foldboard.operators.split import NUM_FOLDS
+from foldboard.operators.weighted_average import vector_size
 from foldboard.plans.families import Family
 
 PARALLELISM = 3
@@ -73,10 +74,6 @@ def tune(
     if filled != set(range(num_folds)):
         raise ValueError(f"a cross-validation fold has no rows: only {sorted(filled)} of {num_folds} do")
 
-    fits = [fit for family in families for fit in _planned_fits(family, label, features)]
-    # Longest first, so that no long fit is left over for the end.
-    fits.sort(key=lambda fit: -max(map(_cost, fit.param_maps)))
-
     # Folds take turns: only one of them has its prepared rows in storage at a time,
     # and the fits of one fold keep all threads busy.
     errors = []
@@ -84,6 +81,10 @@ def tune(
         rest, held_out = train.filter(F.col(fold) != number), train.filter(F.col(fold) == number)
         fitted_prep = prep.fit(rest)
         with stored(_prepared(fitted_prep, rest, features, label)) as rows:
+            width = vector_size(rows, features)
+            fits = [f for family in families for f in _planned_fits(family, label, features, width)]
+            # Longest first, so that no long fit is left over for the end.
+            fits.sort(key=lambda fit: -max(map(_cost, fit.param_maps)))
             models = run_parallel(
                 spark, [lambda fit=fit: _fit(fit, rows) for fit in fits], parallelism
             )
@@ -171,29 +172,23 @@ def _columns(estimator: Estimator, label: str, features: str) -> Estimator:
     return estimator.setLabelCol(label).setFeaturesCol(features)
 
 
-def _planned_fits(family: Family, label: str, features: str) -> list[_Fit]:
+def _planned_fits(family: Family, label: str, features: str, width: int) -> list[_Fit]:
     """Fewest fits that answer all grid points of a family."""
     estimator = _columns(family.estimator(), label, features)
     maps = family.param_maps(estimator)
     if family.joint_fit:
         return [_Fit(family, estimator, maps, [{point: None} for point in range(len(maps))])]
-    if family.staged_by in family.grid:
-        staged = estimator.getParam(family.staged_by)
-        groups: dict[tuple, list[int]] = {}
-        for point, params in enumerate(maps):
-            rest = tuple((p.name, v) for p, v in params.items() if p != staged)
-            groups.setdefault(rest, []).append(point)
-        return [
-            _Fit(
-                family,
-                estimator,
-                [max((maps[p] for p in points), key=lambda m: m[staged])],
-                [{p: maps[p][staged] for p in points}],
-            )
-            for points in groups.values()
-        ]
+    staged = family.staged_by if family.staged_by in family.grid else None
+    # Points that differ only in ignored values or in the stage share a fit.
+    groups: dict[tuple, dict[int, int | None]] = {}
+    for point, params in enumerate(maps):
+        values = {param.name: value for param, value in params.items()}
+        shared = family.ignores(values, width) if family.ignores else set()
+        rest = tuple((n, v) for n, v in values.items() if n != staged and n not in shared)
+        groups.setdefault(rest, {})[point] = values[staged] if staged else None
     return [
-        _Fit(family, estimator, [params], [{point: None}]) for point, params in enumerate(maps)
+        _Fit(family, estimator, [maps[max(points, key=lambda p: points[p] or 0)]], [points])
+        for points in groups.values()
     ]
 
 
@@ -207,22 +202,20 @@ def _fold_errors(
 ) -> dict[tuple[str, int], float]:
     """RMSE per (family, grid point) on the rows left out of a fold."""
     errors = {}
-    whole = {}
+    whole = []
     for fit, models in fitted:
         for model, points in zip(models, fit.points):
-            if None in points.values():
-                whole |= {(fit.family.name, point): model for point in points}
+            keys = {(fit.family.name, point): stage for point, stage in points.items()}
+            if None in keys.values():
+                whole.append((model, keys))
             else:
                 squares = model.evaluateEachIteration(held_out, "squared")
-                errors |= {
-                    (fit.family.name, point): math.sqrt(squares[stage - 1])
-                    for point, stage in points.items()
-                }
-    keys = list(whole)
-    scored, columns = with_predictions(held_out, {str(i): whole[k] for i, k in enumerate(keys)})
+                errors |= {key: math.sqrt(squares[stage - 1]) for key, stage in keys.items()}
+    scored, columns = with_predictions(held_out, {str(i): m for i, (m, _) in enumerate(whole)})
     if columns:
         for row in evaluate(scored, label, columns).collect():
-            errors[keys[int(row["model"])]] = row["rmse"]
+            _, keys = whole[int(row["model"])]
+            errors |= dict.fromkeys(keys, row["rmse"])
     return errors
 
 

@@ -238,3 +238,26 @@ def test_a_table_of_copies_needs_the_random_split(rows):
     with pytest.raises(ValueError, match="no rows"):
         run(copies, SPEC, SMALL[2:])
     assert run(copies, SPEC, SMALL[2:], split="random").best_rmse == pytest.approx(0.0, abs=1e-9)
+
+
+@pytest.mark.parametrize(
+    "family, width, fits",
+    [
+        (LINEAR, 10, 2),
+        (LINEAR, 5000, 4),
+        (LINEAR.with_grid(regParam=[0.0], maxIter=[10, 100]), 10, 2),
+        (BOOSTED, 10, 2),
+        (FOREST, 10, 4),
+        (TREE, 10, 2),
+        (WEIGHTED_AVERAGE, 10, 1),
+    ],
+)
+def test_grid_points_share_fits(spark, family, width, fits):
+    from foldboard.plans.tuning import _planned_fits
+
+    planned = _planned_fits(family, "label", "features", width)
+    assert len(planned) == fits
+    points = sorted(p for fit in planned for group in fit.points for p in group)
+    assert points == list(range(len(family.param_maps(family.estimator()))))
+    if family is BOOSTED:
+        assert {v for f in planned for p, v in f.param_maps[0].items() if p.name == "maxIter"} == {20}
