@@ -74,12 +74,17 @@ def tune(
     if filled != set(range(num_folds)):
         raise ValueError(f"a cross-validation fold has no rows: only {sorted(filled)} of {num_folds} do")
 
+    # Preprocessing for every fold, and for all rows at the end.
+    rests = [train.filter(F.col(fold) != number) for number in range(num_folds)]
+    *fold_preps, whole_prep = run_parallel(
+        spark, [lambda rows=rows: prep.copy().fit(rows) for rows in [*rests, train]], parallelism
+    )
+
     # Folds take turns: only one of them has its prepared rows in storage at a time,
     # and the fits of one fold keep all threads busy.
     errors = []
-    for number in range(num_folds):
-        rest, held_out = train.filter(F.col(fold) != number), train.filter(F.col(fold) == number)
-        fitted_prep = prep.fit(rest)
+    for number, (rest, fitted_prep) in enumerate(zip(rests, fold_preps)):
+        held_out = train.filter(F.col(fold) == number)
         with stored(_prepared(fitted_prep, rest, features, label)) as rows:
             width = vector_size(rows, features)
             fits = [f for family in families for f in _planned_fits(family, label, features, width)]
@@ -103,8 +108,6 @@ def tune(
         point = min(range(len(maps)), key=lambda p: (math.isnan(averages[p]), averages[p]))
         best.append((family, maps[point], averages))
 
-    fitted_prep = prep.fit(train)
-
     def refit(family: Family, params: dict, rows: DataFrame) -> Model:
         estimator = _columns(family.estimator(), label, features)
         # Params belong to an instance, so they are carried over by name.
@@ -112,7 +115,7 @@ def tune(
         return estimator.fit(rows, own)
 
     refits = sorted(best, key=lambda item: -_cost(item[1]))
-    with stored(_prepared(fitted_prep, train, features, label)) as rows:
+    with stored(_prepared(whole_prep, train, features, label)) as rows:
         models = run_parallel(
             spark, [lambda f=f, p=p: refit(f, p, rows) for f, p, _ in refits], parallelism
         )
@@ -122,7 +125,7 @@ def tune(
             family,
             {param.name: value for param, value in params.items()},
             averages,
-            PipelineModel([*fitted_prep.stages, finals[family.name]]),
+            PipelineModel([*whole_prep.stages, finals[family.name]]),
         )
         for family, params, averages in best
     ]
