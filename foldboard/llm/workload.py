@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from foldboard.llm import quality_rules, sharding, toxicity
+from foldboard.llm import quality_classifier, quality_rules, sharding, toxicity
 
-MODULES = (sharding, quality_rules, toxicity)
+MODULES = (toxicity, quality_classifier, sharding, quality_rules)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
