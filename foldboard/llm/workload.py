@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from foldboard.llm import quality_classifier, quality_rules, sharding, toxicity
+from foldboard.llm import (
+    decontamination,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    toxicity,
+)
 
-MODULES = (toxicity, quality_classifier, sharding, quality_rules)
+MODULES = (
+    toxicity,
+    quality_classifier,
+    sharding,
+    quality_rules,
+    decontamination,
+)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
