@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from foldboard.llm import (
     decontamination,
+    near_dedup,
     quality_classifier,
     quality_rules,
     sharding,
@@ -11,6 +12,7 @@ from foldboard.llm import (
 )
 
 MODULES = (
+    near_dedup,
     toxicity,
     quality_classifier,
     sharding,
