@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from foldboard.llm import (
     decontamination,
+    mixing,
     near_dedup,
     quality_classifier,
     quality_rules,
@@ -14,6 +15,7 @@ from foldboard.llm import (
 MODULES = (
     near_dedup,
     toxicity,
+    mixing,
     quality_classifier,
     sharding,
     quality_rules,
