@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from foldboard.llm import (
     decontamination,
+    line_dedup,
     mixing,
     near_dedup,
     quality_classifier,
@@ -18,6 +19,7 @@ MODULES = (
     toxicity,
     mixing,
     quality_classifier,
+    line_dedup,
     sharding,
     quality_rules,
     decontamination,
