@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from foldboard.llm import (
     decontamination,
+    lattice_lm,
     line_dedup,
     mixing,
     near_dedup,
@@ -21,6 +22,7 @@ MODULES = (
     quality_classifier,
     line_dedup,
     sharding,
+    lattice_lm,
     quality_rules,
     decontamination,
 )
