@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from foldboard.llm import (
     decontamination,
+    html_text,
     lattice_lm,
     line_dedup,
     mixing,
@@ -17,6 +18,7 @@ from foldboard.llm import (
 
 MODULES = (
     near_dedup,
+    html_text,
     toxicity,
     mixing,
     quality_classifier,
