@@ -12,6 +12,7 @@ NEXT_MULTIPLIER = 40503
 
 DEFAULT_RATIO = 0.8
 DEFAULT_SEED = 42
+FOLD_SEED = DEFAULT_SEED + 7919
 NUM_FOLDS = 3
 
 
@@ -19,7 +20,8 @@ def key_bucket(*keys: Column | str) -> Column:
     """Bucket in [0, BUCKETS) from integral key columns, by plain arithmetic.
 
     Keys and multipliers are reduced first, so that no key is large enough to
-    overflow, and any SQL engine can recompute the bucket.
+    overflow, and any SQL engine can recompute the bucket. A missing key gives
+    a missing bucket: :func:`hash_split` puts such rows into the test part.
     """
     total = F.lit(0).cast("bigint")
     for position, key in enumerate(keys):
@@ -38,7 +40,8 @@ def row_bucket(*columns: Column | str) -> Column:
 
 
 def is_train(bucket: Column, ratio: float = DEFAULT_RATIO) -> Column:
-    return bucket < F.lit(ratio * BUCKETS)
+    """Side of a row; never NULL, a missing bucket belongs to the test part."""
+    return F.coalesce(bucket < F.lit(ratio * BUCKETS), F.lit(False))
 
 
 def split_name(bucket: Column, ratio: float = DEFAULT_RATIO) -> Column:
@@ -46,11 +49,16 @@ def split_name(bucket: Column, ratio: float = DEFAULT_RATIO) -> Column:
 
 
 def fold_number(bucket: Column, num_folds: int = NUM_FOLDS) -> Column:
-    return F.pmod(bucket, F.lit(num_folds)).cast("int")
+    """Fold of a row; a missing bucket counts as 0."""
+    return F.coalesce(F.pmod(bucket, F.lit(num_folds)), F.lit(0)).cast("int")
 
 
-def random_fold(num_folds: int = NUM_FOLDS, seed: int = DEFAULT_SEED) -> Column:
-    """Seeded random fold of a row; like a random split it changes with the partition layout."""
+def random_fold(num_folds: int = NUM_FOLDS, seed: int = FOLD_SEED) -> Column:
+    """Seeded random fold of a row; like a random split it changes with the partition layout.
+
+    The seed must differ from that of the split: both draw one number per row, and
+    with the same seed it would be the same number.
+    """
     return F.floor(F.rand(seed) * num_folds).cast("int")
 
 
@@ -60,7 +68,8 @@ def hash_split(
     """Split by bucket: a row filter without shuffle or sort.
 
     A row's side depends on the row alone, so it survives another partition
-    layout and the recomputation of lost partitions.
+    layout and the recomputation of lost partitions. Every row has exactly one
+    side, also where ``bucket`` is NULL.
     """
     train = is_train(bucket, ratio)
     return df.filter(train), df.filter(~train)
@@ -79,6 +88,18 @@ def split_counts(df: DataFrame, bucket: Column, ratio: float = DEFAULT_RATIO) ->
     return df.groupBy(split_name(bucket, ratio).alias("split")).agg(F.count("*").alias("row_count"))
 
 
+def empty_training_sets(
+    df: DataFrame, by: str, bucket: Column, ratio: float = DEFAULT_RATIO
+) -> DataFrame:
+    """``(by, rule, row_count)``: data sets inside ``df`` whose split leaves nothing to train on."""
+    counts = df.groupBy(by).agg(
+        F.count("*").alias("row_count"), F.count_if(is_train(bucket, ratio)).alias("_train")
+    )
+    return counts.filter("_train = 0").select(
+        by, F.lit("training_set_empty").alias("rule"), "row_count"
+    )
+
+
 def fold_counts(
     df: DataFrame, bucket: Column, ratio: float = DEFAULT_RATIO, num_folds: int = NUM_FOLDS
 ) -> DataFrame:

@@ -17,8 +17,10 @@ from foldboard.functions.requests import (
     settle_roles,
 )
 from foldboard.operators.split import (
+    empty_training_sets,
     fold_counts,
     fold_number,
+    hash_split,
     key_bucket,
     random_split,
     split_counts,
@@ -26,14 +28,16 @@ from foldboard.operators.split import (
 )
 from foldboard.scratch import scratch_path
 from foldboard.sources.paths import bucket_of, key_of
-from foldboard.sources.tables import ingest_csv, preview, profile, read_csv
+from foldboard.sources.tables import from_rows, ingest_csv, preview, profile, read_csv
 from foldboard.workloads.tables import BUCKET_SQL, TRAIN_SQL, charges, line_bucket, table
 
-PROFILED = ("lineitem", "orders", "documents", "events")
-LINE_COLUMNS = (
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
-    "l_discount l_tax l_returnflag l_linestatus"
+PROFILED = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
 ).split()
+# Points in time are compared as text, which every engine writes alike.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_SQL = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,27 +51,44 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as CSV and read again with inferred types."""
+    """Orders written as CSV and read again with inferred types, the date among them."""
     path = scratch_path(spark, "orders") + ".csv"
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    table(spark, sf_dir, "orders").select(*columns).write.csv(path, header=True)
+    table(spark, sf_dir, "orders").write.csv(path, header=True)
+    read = read_csv(spark, path)
+    inferred = read.schema["o_orderdate"].dataType.typeName()
     # Inference picks the narrowest integer, so keys are widened again.
-    return read_csv(spark, path).withColumns(
+    return read.withColumns(
         {c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")}
+        | {
+            "o_orderdate": F.date_format("o_orderdate", TIME_FORMAT),
+            "date_is_time": F.lit(inferred.startswith("timestamp")),
+        }
     )
 
 
 def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items landed from CSV with a given schema."""
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    lines = table(spark, sf_dir, "lineitem")
     csv = scratch_path(spark, "lines") + ".csv"
     lines.write.csv(csv, header=True)
-    return spark.read.parquet(ingest_csv(spark, csv, scratch_path(spark, "landing"), lines.schema))
+    landed = spark.read.parquet(ingest_csv(spark, csv, scratch_path(spark, "landing"), lines.schema))
+    return landed.withColumn("l_shipdate", F.date_format("l_shipdate", TIME_FORMAT))
 
 
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return preview(orders, order_by=["o_orderkey"])
+    orders = table(spark, sf_dir, "orders")
+    return preview(orders, order_by=["o_orderkey"]).withColumn(
+        "o_orderdate", F.date_format("o_orderdate", TIME_FORMAT)
+    )
+
+
+def in_memory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 nations as plain rows, made a table again and counted per region."""
+    nations = table(spark, sf_dir, "nation")
+    rows = [tuple(row) for row in nations.collect()]
+    return from_rows(spark, rows, nations.columns).groupBy("n_regionkey").agg(
+        F.count("*").alias("nations"), F.min("n_name").alias("first_name")
+    )
 
 
 def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +115,30 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which every tenth has lost its customer, with the part that got them."""
+    key = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", key_bucket("o_orderkey", key).alias("bucket")
+    )
+    bucket = F.col("bucket")
+    train, test = hash_split(orders, bucket)
+    parts = train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+    return parts.select(
+        "o_orderkey",
+        "part",
+        split_name(bucket).alias("split"),
+        fold_number(bucket).cast("bigint").alias("fold"),
+    )
+
+
+def orders_without_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as data sets of their own: those whose lines all fall into the test part."""
+    return empty_training_sets(table(spark, sf_dir, "lineitem"), "l_orderkey", line_bucket())
+
+
 def line_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_counts(table(spark, sf_dir, "lineitem"), line_bucket())
 
@@ -112,11 +157,18 @@ def random_split_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = random_split(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
-    parts = train.withColumn("split", F.lit("train")).unionByName(
-        test.withColumn("split", F.lit("test"))
+    """Rows of both random parts, whether their shares are as asked (within five deviations), and rows in both."""
+    keyed = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    row = F.xxhash64(*keyed.columns)
+    train, test = (part.select(row.alias("row")) for part in random_split(keyed.distinct()))
+    parts = train.withColumn("side", F.lit(1)).unionByName(test.withColumn("side", F.lit(0)))
+    both = parts.groupBy("row").agg(F.sum("side").alias("train"), F.count("*").alias("n"))
+    count, share = F.sum("n"), F.sum("train") / F.sum("n")
+    return both.agg(
+        count.alias("row_count"),
+        (F.abs(share - 0.8) < 5 * F.sqrt(0.16 / count)).alias("share_as_asked"),
+        F.count_if(F.col("n") > 1).alias("rows_in_both"),
     )
-    return parts.groupBy("split").agg(F.count("*").alias("row_count"))
 
 
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +264,10 @@ QUERIES = {
     "preview": first_rows,
     "path_parts": path_parts,
     "project_columns": project_columns,
+    "in_memory_rows": in_memory_rows,
     "hash_split": sides,
+    "split_missing_keys": missing_keys,
+    "training_set_empty": orders_without_training,
     "split_counts": line_split_counts,
     "fold_counts": line_fold_counts,
     "random_split_whole": random_split_whole,
@@ -249,16 +304,35 @@ WITH raw AS (
 """
 
 ORACLES = {
-    "profile": """
-        SELECT 'lineitem' AS table_name, count(*) AS row_count, 11 AS column_count FROM lineitem
-        UNION ALL SELECT 'orders', count(*), 6 FROM orders
-        UNION ALL SELECT 'documents', count(*), 5 FROM documents
-        UNION ALL SELECT 'events', count(*), 6 FROM events
+    "profile": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count, "
+        f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {name})) AS column_count"
+        for name in PROFILED
+    ),
+    "csv_roundtrip": f"""
+        SELECT * EXCLUDE (o_orderdate), {TIME_SQL.format('o_orderdate')}, true AS date_is_time FROM orders
+    """,
+    "ingest_parquet": f"SELECT * EXCLUDE (l_shipdate), {TIME_SQL.format('l_shipdate')} FROM lineitem",
+    "preview": f"""
+        SELECT * EXCLUDE (o_orderdate), {TIME_SQL.format('o_orderdate')} FROM orders ORDER BY o_orderkey LIMIT 10
+    """,
+    "in_memory_rows": """
+        SELECT n_regionkey, count(*) AS nations, min(n_name) AS first_name FROM nation GROUP BY n_regionkey
+    """,
+    "split_missing_keys": """
+        SELECT o_orderkey, split AS part, split, coalesce(bucket % 3, 0) AS fold
+        FROM (SELECT *, CASE WHEN bucket < 0.8 * 10007 THEN 'train' ELSE 'test' END AS split
+              FROM (SELECT o_orderkey, (o_orderkey * 2654435761
+                        + CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END * 40503) % 10007 AS bucket
+                    FROM orders))
+    """,
+    "training_set_empty": f"""
+        SELECT l_orderkey, 'training_set_empty' AS rule, count(*) AS row_count
+        FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER ({TRAIN_SQL}) = 0
     """,
-    "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
-    "ingest_parquet": f"SELECT {', '.join(LINE_COLUMNS)} FROM lineitem",
-    "preview": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10
+    "random_split_check": """
+        SELECT count(*) AS row_count, true AS share_as_asked, 0::BIGINT AS rows_in_both
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)
     """,
     "path_parts": """
         SELECT page_id, split_part(replace(replace(url, 'https://', ''), 'http://', ''), '/', 1) AS bucket,

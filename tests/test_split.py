@@ -7,8 +7,10 @@ from foldboard.operators.split import (
     hash_split,
     is_train,
     key_bucket,
+    random_fold,
     random_split,
     row_bucket,
+    split_counts,
 )
 
 
@@ -47,3 +49,20 @@ def test_ratio_and_folds(spark, ratio):
 def test_random_split_is_complete(spark):
     train, test = random_split(spark.range(1000).repartition(4))
     assert train.union(test).distinct().count() == train.count() + test.count() == 1000
+
+
+def test_missing_buckets_have_one_side(spark):
+    df = spark.range(1000).withColumn("key", F.when(F.col("id") % 10 > 0, F.col("id")))
+    for bucket in (key_bucket("key"), F.col("key")):
+        train, test = hash_split(df, bucket)
+        assert train.count() + test.count() == train.union(test).distinct().count() == 1000
+        sizes = {r["split"]: r["row_count"] for r in split_counts(df, bucket).collect()}
+        assert sizes == {"train": train.count(), "test": test.count()}
+        assert df.filter(fold_number(bucket).isNull()).isEmpty()
+
+
+def test_random_folds_do_not_follow_the_random_split(spark):
+    rows = spark.range(3000, numPartitions=600)
+    train, _ = random_split(rows)
+    folds = [r["count"] for r in train.groupBy(random_fold()).count().collect()]
+    assert len(folds) == 3 and max(folds) - min(folds) < 150
