@@ -21,20 +21,22 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
-from foldboard.scratch import written
+from foldboard.scratch import discard, scratch_path, written
 
-# A driver-side label list may hold this much per column; beyond it labels stay a table.
+# Driver-side label lists may hold this much, all columns together; beyond it labels stay a table.
 MAX_LABELS = 100_000
 MAX_LABEL_BYTES = 16 * 1024 * 1024
-# The most frequent labels of a label table that are broadcast instead of shuffled to.
+# The most frequent labels of a label table that are broadcast instead of shuffled to;
+# columns share the bytes.
 HEAD_LABELS = 10_000
 HEAD_BYTES = 16 * 1024 * 1024
-# Rows that need no partner in the shuffled join are spread over this many keys.
-SPREAD = 4096
+# Of the values without such a label, those with more than one in HEAVY of these rows are
+# broadcast as well, so there are fewer than HEAVY of them, none longer than HEAVY_BYTES.
+HEAVY = 1_000
+HEAVY_BYTES = 1_024
 
 
 def count_labels(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,27 +55,27 @@ def count_labels(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def rank_labels(counts: DataFrame) -> DataFrame:
-    """``(position, value, n, idx)``: the index of every label, without a single-task sort.
+    """``(position, value, n, idx)``: the index of every label, without a single-task sort; a written table.
 
     The labels are sorted across partitions and written together with partition
     and place; the number of rows before each partition turns both into a rank.
     """
-    placed = written(
-        counts.orderBy("position", F.desc("n"), "value").select(
-            "position",
-            "value",
-            "n",
-            F.spark_partition_id().alias("part"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-        ),
-        "labels",
-    )
+    spark = counts.sparkSession
+    path = scratch_path(spark, "labels")
+    counts.orderBy("position", F.desc("n"), "value").select(
+        "position",
+        "value",
+        "n",
+        F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+    ).write.parquet(path)
+    placed = spark.read.parquet(path)
     # One row per partition and one per column: small whatever the number of labels.
     part_starts = _running_start(placed.groupBy("part").agg(F.count("*").alias("size")), "part")
     column_starts = _running_start(
         placed.groupBy("position").agg(F.count("*").alias("size")), "position"
     )
-    return (
+    ranked = (
         placed.join(F.broadcast(part_starts), "part")
         .join(F.broadcast(column_starts), "position")
         .select(
@@ -83,20 +85,20 @@ def rank_labels(counts: DataFrame) -> DataFrame:
             (F.col("part_start") + F.col("place") - F.col("position_start")).alias("idx"),
         )
     )
+    table = written(ranked, "label-table")
+    discard(spark, path)
+    return table
 
 
-def head_sizes(table: DataFrame, most: int) -> dict[int, int]:
-    """Per column, how many of its most frequent labels may be broadcast.
-
-    At most ``most``, and no more than fit the byte limit together.
-    """
+def head_sizes(table: DataFrame, most: int, most_bytes: int) -> dict[int, int]:
+    """Per column, how many of its most frequent labels may be broadcast: at most ``most``, in ``most_bytes``."""
     running = F.sum("bytes").over(Window.partitionBy("position").orderBy("idx"))
     return {
         row["position"]: row["size"]
         for row in table.filter(F.col("idx") < most)
         .select("position", "idx", F.octet_length("value").alias("bytes"))
         .withColumn("running", running)
-        .filter(F.col("running") <= HEAD_BYTES)
+        .filter(F.col("running") <= most_bytes)
         .groupBy("position")
         .agg(F.count("*").alias("size"))
         .collect()
@@ -113,8 +115,9 @@ def _running_start(sizes: DataFrame, key: str) -> DataFrame:
 class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWritable, DefaultParamsReadable):
     """Fits label indices for several string columns in one counting pass.
 
-    Columns whose labels stay below ``maxLabels`` and ``maxLabelBytes`` become
-    Spark's own ``StringIndexerModel``; the others a :class:`LabelTableModel`.
+    Columns become Spark's own ``StringIndexerModel``, those with few labels first, as
+    long as all their labels together stay below ``maxLabels`` and ``maxLabelBytes``;
+    the others a :class:`LabelTableModel`. Both give the same indices.
     """
 
     maxLabels = Param(
@@ -154,12 +157,17 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                 .collect()
             }
             listed, tabled = [], []
-            for position in range(len(inputs)):
+            labels_left = self.getOrDefault(self.maxLabels)
+            bytes_left = self.getOrDefault(self.maxLabelBytes)
+            for position in sorted(range(len(inputs)), key=lambda p: sizes.get(p, (0, 0))):
                 labels, size = sizes.get(position, (0, 0))
-                fits = labels <= self.getOrDefault(self.maxLabels) and size <= self.getOrDefault(
-                    self.maxLabelBytes
-                )
-                (listed if fits else tabled).append(position)
+                if labels <= labels_left and size <= bytes_left:
+                    listed.append(position)
+                    labels_left, bytes_left = labels_left - labels, bytes_left - size
+                else:
+                    tabled.append(position)
+            listed.sort()
+            tabled.sort()
 
             models = []
             if listed:
@@ -176,10 +184,10 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                     for p in listed
                 ]
             if tabled:
-                table = written(
-                    rank_labels(counts.filter(F.col("position").isin(tabled))), "label-table"
+                table = rank_labels(counts.filter(F.col("position").isin(tabled)))
+                heads = head_sizes(
+                    table, self.getOrDefault(self.headLabels), HEAD_BYTES // len(tabled)
                 )
-                heads = head_sizes(table, self.getOrDefault(self.headLabels))
                 models.append(
                     LabelTableModel(
                         table=table,
@@ -198,8 +206,10 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
 class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     """Looks indices up in a label table of any size.
 
-    The most frequent labels reach the rows by broadcast. Only the other values
-    are joined by shuffle, and each of those is rarer than every broadcast one.
+    The most frequent labels reach the rows by broadcast. So do the values, seen in
+    fitting or not, that fill more than one in ``HEAVY`` of the other rows: they are
+    counted first, combined before the shuffle. Only what is left is joined by
+    shuffle, so no value fills a task; all other rows stay where they are.
     """
 
     positions = Param(
@@ -232,12 +242,6 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         self._set(**{k: v for k, v in self._input_kwargs.items() if k != "table" and v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        spread = F.pmod(
-            F.xxhash64(
-                *[f.name for f in dataset.schema.fields if not isinstance(f.dataType, MapType)]
-            ),
-            F.lit(SPREAD),
-        )
         for column, output, position, labels, head_size in zip(
             self.getInputCols(),
             self.getOutputCols(),
@@ -246,48 +250,52 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
             self.getOrDefault(self.headSizes),
         ):
             table = self.table.filter(F.col("position") == position)
-            dataset = self._index(dataset, column, output, table, labels, head_size, spread)
+            dataset = self._index(dataset, column, output, table, labels, head_size)
         return dataset
 
     def _index(
-        self,
-        df: DataFrame,
-        column: str,
-        output: str,
-        table: DataFrame,
-        labels: int,
-        head_size: int,
-        spread: Column,
+        self, df: DataFrame, column: str, output: str, table: DataFrame, labels: int, head_size: int
     ) -> DataFrame:
+        columns = df.columns
         head = table.filter(F.col("idx") < head_size).select(
             F.col("value").alias("_head"), F.col("idx").alias("_head_idx")
         )
+        placed = df.join(F.broadcast(head), F.col(column) == F.col("_head"), "left")
+        if head_size >= labels:
+            found = F.coalesce("_head_idx", F.lit(labels))
+            return placed.select(*columns, found.cast("double").alias(output))
         tail = table.filter(F.col("idx") >= head_size).select(
-            F.col("value").alias("_tail"),
-            # Always -1, but not a literal: the optimizer would drop that from the join keys.
-            F.least("idx", F.lit(-1)).cast("bigint").alias("_tail_spread"),
-            F.col("idx").alias("_tail_idx"),
+            F.col("value").alias("_tail"), F.col("idx").alias("_tail_idx")
+        )
+        heavy = self._heavy(placed.filter(F.col("_head_idx").isNull()), column, tail, labels)
+        placed = placed.join(F.broadcast(heavy), F.col(column) == F.col("_heavy"), "left")
+        known = F.coalesce("_head_idx", "_heavy_idx")
+        settled = known.isNotNull() | F.col(column).isNull()
+        here = placed.filter(settled).select(
+            *columns, F.coalesce(known, F.lit(labels)).cast("double").alias(output)
+        )
+        there = (
+            placed.filter(~settled)
+            .join(tail, F.col(column) == F.col("_tail"), "left")
+            .select(*columns, F.coalesce("_tail_idx", F.lit(labels)).cast("double").alias(output))
+        )
+        return here.union(there)
+
+    @staticmethod
+    def _heavy(rows: DataFrame, column: str, tail: DataFrame, labels: int) -> DataFrame:
+        """``(_heavy, _heavy_idx)`` of the values that fill more than one in HEAVY of ``rows``."""
+        counts = (
+            rows.filter(F.col(column).isNotNull())
+            .groupBy(F.col(column).alias("_heavy"))
+            .agg(F.count("*").alias("n"))
+        )
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+        frequent = (F.col("n") * HEAVY > total) & (F.octet_length("_heavy") <= HEAVY_BYTES)
+        return (
+            counts.filter(frequent)
+            .join(tail, F.col("_heavy") == F.col("_tail"), "left")
+            .select("_heavy", F.coalesce("_tail_idx", F.lit(labels)).alias("_heavy_idx"))
         )
-        columns = df.columns
-        df = df.join(F.broadcast(head), F.col(column) == F.col("_head"), "left")
-        if head_size < labels:
-            # Rows that are already indexed have no partner here. A second join
-            # key scatters them; without it they would all meet at the NULL key.
-            wanted = F.col("_head_idx").isNull() & F.col(column).isNotNull()
-            df = df.withColumns(
-                {
-                    "_want": F.when(wanted, F.col(column)),
-                    "_want_spread": F.when(wanted, F.lit(-1)).otherwise(spread).cast("bigint"),
-                }
-            ).join(
-                tail,
-                (F.col("_want") == F.col("_tail")) & (F.col("_want_spread") == F.col("_tail_spread")),
-                "left",
-            )
-            found = F.coalesce("_head_idx", "_tail_idx", F.lit(labels))
-        else:
-            found = F.coalesce("_head_idx", F.lit(labels))
-        return df.select(*columns, found.cast("double").alias(output))
 
     def write(self) -> MLWriter:
         return _LabelTableWriter(self)

@@ -37,6 +37,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`scratch_path` once nothing reads it any more."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and continue from the files.
 

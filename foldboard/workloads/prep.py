@@ -49,6 +49,19 @@ def string_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexer.fit(train).transform(orders).select("o_orderkey", "customer_indexed")
 
 
+def string_index_unseen_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of orders, four in ten of them under one name that fitting has not seen."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 10 < 4, "new").otherwise(F.concat(F.lit("c"), "o_custkey")).alias("customer"),
+    )
+    indexer = CategoryIndexer(
+        inputCols=["customer"], outputCols=["customer_indexed"], maxLabels=0, headLabels=100
+    )
+    model = indexer.fit(orders.filter("customer <> 'new'"))
+    return model.transform(orders).select("o_orderkey", "customer_indexed")
+
+
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A string label with missing values becomes an index; missing is a class of its own."""
     orders = table(spark, sf_dir, "orders").select(
@@ -98,6 +111,7 @@ def assemble_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "string_index": string_index,
     "string_index_table": string_index_table,
+    "string_index_unseen_hot": string_index_unseen_hot,
     "label_index": label_index,
     "impute_double": impute_double,
     "impute_int": impute_int,
@@ -132,6 +146,13 @@ ORACLES = {
         "(o_orderkey * 2654435761) % 10007 < 0.8 * 10007",
         "customer_indexed",
     ),
+    "string_index_unseen_hot": _index_sql(
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 4 THEN 'new' ELSE 'c' || o_custkey END AS customer FROM orders",
+        "o_orderkey",
+        "customer",
+        "customer <> 'new'",
+        "customer_indexed",
+    ),
     "label_index": _index_sql(
         "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS priority FROM orders",
         "o_orderkey",

@@ -78,3 +78,47 @@ def test_only_missing_values(spark):
     df = spark.sql("SELECT id, CAST(NULL AS STRING) AS value FROM range(3)")
     model = CategoryIndexer(inputCols=["value"], outputCols=["value_i"]).fit(df)
     assert indexed(model, df, "value_i") == {0: (0.0,), 1: (0.0,), 2: (0.0,)}
+
+
+def settled_sizes(spark, model, df):
+    """Rows per partition after the lookup, without any help at run time."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        return [r["count"] for r in model.transform(df).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("kind", ["copies", "unseen"])
+def test_frequent_values_do_not_meet(spark, kind):
+    """Equal rows, and a value unseen in fitting, in 40 percent of the rows."""
+    other = F.concat(F.lit("v"), (F.col("id") % 1999).cast("string"))
+    rows = spark.range(8000, numPartitions=8).select(
+        F.when(F.col("id") % 5 < 2, "often").otherwise(other).alias("value")
+    )
+    train = rows if kind == "copies" else rows.filter("value <> 'often'")
+    head = 5 if kind == "copies" else 0
+    model = CategoryIndexer(
+        inputCols=["value"], outputCols=["value_i"], maxLabels=0, headLabels=head
+    ).fit(train)
+    sizes = settled_sizes(spark, model, rows)
+    assert sum(sizes) == 8000 and max(sizes) < 1500
+
+
+def test_unrelated_columns_of_any_type(hot):
+    """Scoring looks at the indexed column alone."""
+    nested = hot.withColumn("extra", F.array(F.create_map(F.lit("k"), F.col("id"))))
+    model = CategoryIndexer(inputCols=["value"], outputCols=["value_i"], maxLabels=0, headLabels=2).fit(nested)
+    assert model.transform(nested).count() == 2000
+
+
+def test_columns_share_one_budget(hot):
+    indexer = CategoryIndexer(
+        inputCols=["value", "other"], outputCols=["value_i", "other_i"], maxLabels=50, headLabels=5
+    )
+    lists = indexer.fit(hot).stages[0]
+    assert lists.getInputCol() == "other"
