@@ -19,10 +19,12 @@ every prediction is therefore the mean.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark import keyword_only
+import pyarrow as pa
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, Vector, Vectors
@@ -43,6 +45,8 @@ KEPT_INTERACTION = 0.05
 # Predictions with at most this many terms are written out and compiled; longer
 # ones fold over arrays.
 WIDEST_UNROLLED = 64
+# Cells of the matrices that a task sums up at a time: five matrices of 8-byte numbers.
+MATRIX_CELLS = 2_000_000
 
 
 class _WeightedAverageParams(HasLabelCol, HasFeaturesCol, HasPredictionCol):
@@ -211,6 +215,22 @@ class WeightedAverageRegressionModel(
 
 def _fit_all(
     dataset: DataFrame, estimators: list[WeightedAverageRegressor]
+) -> list[WeightedAverageRegressionModel]:
+    """Stores an input that is not stored yet: interactions are measured in a second pass."""
+    level = dataset.storageLevel
+    twice = any(e.getUseInteractions() for e in estimators)
+    if not twice or level.useMemory or level.useDisk:
+        return _fit_stored(dataset, estimators)
+    columns = estimators[0].getFeaturesCol(), estimators[0].getLabelCol()
+    rows = dataset.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_stored(rows, estimators)
+    finally:
+        rows.unpersist()
+
+
+def _fit_stored(
+    dataset: DataFrame, estimators: list[WeightedAverageRegressor]
 ) -> list[WeightedAverageRegressionModel]:
     features, label = estimators[0].getFeaturesCol(), estimators[0].getLabelCol()
     width = vector_size(dataset, features)
@@ -219,7 +239,7 @@ def _fit_all(
     )
     about_label, terms = moments(rows, F.col("x"), width, F.col("y"))
     if about_label.count == 0:
-        raise ValueError("Empty dataset provided for training")
+        raise ValueError("there are no rows to fit on")
     if about_label.missing:
         raise ValueError(f"Labels MUST NOT be Null or NaN: {about_label.missing} of {about_label.count}")
 
@@ -229,14 +249,14 @@ def _fit_all(
     ]
     # Smaller shrinkage tries more pairs, so one pass covers all grid points.
     pairs = sorted({pair for candidates in tried for pair in candidates})
-    pair_correlation = _pair_correlations(rows, pairs)
+    pair_correlation = _pair_correlations(rows, pairs, terms, about_label)
 
     models = []
     for estimator, own, candidates in zip(estimators, weights, tried):
         kept = {
             pair: pair_correlation[pair] / 2
             for pair in candidates
-            if abs(pair_correlation[pair]) > KEPT_INTERACTION
+            if abs(pair_correlation.get(pair, 0.0)) > KEPT_INTERACTION
         }
         total = sum(map(abs, own)) + sum(map(abs, kept.values()))
         scale = total if total > SMALLEST_STD else 1.0
@@ -281,18 +301,99 @@ def _candidates(weights: list[float]) -> list[tuple[int, int]]:
 
 
 def _pair_correlations(
-    rows: DataFrame, pairs: list[tuple[int, int]]
+    rows: DataFrame,
+    pairs: list[tuple[int, int]],
+    terms: list[TermMoments],
+    label: LabelMoments,
 ) -> dict[tuple[int, int], float]:
+    """Correlation of the product of each pair with the label; of many pairs only those worth keeping."""
     if not pairs:
         return {}
+    if len(pairs) > WIDEST_UNROLLED:
+        return _correlations_by_matrices(rows, terms, label, sorted({e for pair in pairs for e in pair}))
     x = F.col("x")
-    if len(pairs) <= WIDEST_UNROLLED:
-        products = F.array(*[x[i] * x[j] for i, j in pairs])
-    else:
-        firsts, seconds = (F.lit(list(ends)).cast("array<int>") for ends in zip(*pairs))
-        products = F.zip_with(firsts, seconds, lambda i, j: x[i] * x[j])
-    about_label, terms = moments(rows, products, len(pairs), F.col("y"))
+    products = F.array(*[x[i] * x[j] for i, j in pairs])
+    about_label, products_terms = moments(rows, products, len(pairs), F.col("y"))
     return {
         pair: correlation(term, about_label) if term.std > SMALLEST_STD else 0.0
-        for pair, term in zip(pairs, terms)
+        for pair, term in zip(pairs, products_terms)
     }
+
+
+def _correlations_by_matrices(
+    rows: DataFrame, terms: list[TermMoments], label: LabelMoments, strong: list[int]
+) -> dict[tuple[int, int], float]:
+    """Correlations above KEPT_INTERACTION among all pairs of ``strong`` features.
+
+    With centred features c and label d, every batch of rows adds its C'C, (C*C)'(C*C), C'diag(d)C and (C*C)'C to
+    the sums of its task. A task ends with one row per pair, whatever its rows; Spark adds these up, turns
+    them into moments of the raw products and passes on only what is kept. Strips of features bound a task's sums.
+    """
+    found: dict[tuple[int, int], float] = {}
+    strip = max(1, MATRIX_CELLS // len(strong))
+    for begin in range(0, len(strong), strip):
+        sums = _strip_sums(rows, terms, label, strong, begin, min(begin + strip, len(strong)))
+        found |= {(r["i"], r["j"]): r["r"] for r in sums.collect()}
+    return found
+
+
+def _strip_sums(
+    rows: DataFrame,
+    terms: list[TermMoments],
+    label: LabelMoments,
+    strong: list[int],
+    begin: int,
+    end: int,
+) -> DataFrame:
+    means = np.array([terms[i].mean for i in strong])
+    label_mean, places = label.mean, np.array(strong)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = (end - begin, len(places))
+        own = slice(begin, end)
+        cc, cccc, cdc, ccc, back = (np.zeros(shape) for _ in range(5))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            c = c.reshape(batch.num_rows, -1)[:, places] - means
+            d = batch.column(1).to_numpy(zero_copy_only=False) - label_mean
+            square = c * c
+            cc += c[:, own].T @ c
+            cccc += square[:, own].T @ square
+            cdc += (c[:, own] * d[:, None]).T @ c
+            ccc += square[:, own].T @ c
+            back += c[:, own].T @ square
+        first, second = np.nonzero(np.arange(begin, end)[:, None] < np.arange(len(places))[None, :])
+        columns = [places[first + begin], places[second]]
+        columns += [m[first, second] for m in (cc, cccc, cdc, ccc, back)]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=names)
+
+    names = ["i", "j", "cc", "cccc", "cdc", "ccc", "back"]
+    schema = "i long, j long, " + ", ".join(f"{n} double" for n in names[2:])
+    sums = rows.select("x", "y").mapInArrow(add, schema).groupBy("i", "j")
+    # Means of c_i c_j, its square, its product with d, c_i^2 c_j and c_i c_j^2.
+    q, qq, qd, qi, qj = (F.sum(n) / F.lit(float(label.count)) for n in names[2:])
+    own = rows.sparkSession.createDataFrame(
+        [(i, terms[i].mean, terms[i].std, terms[i].covariance) for i in strong],
+        "i long, m double, s double, v double",
+    )
+    left = own.toDF("i", "mi", "si", "vi")
+    right = own.toDF("j", "mj", "sj", "vj")
+    means = sums.agg(q.alias("q"), qq.alias("qq"), qd.alias("qd"), qi.alias("qi"), qj.alias("qj"))
+    # x_i x_j = c_i c_j + m_i c_j + m_j c_i + m_i m_j.
+    covariance = F.expr("qd + mi * vj + mj * vi")
+    variance = F.expr(
+        "qq - q * q + mi * mi * sj * sj + mj * mj * si * si + 2 * (mi * qj + mj * qi + mi * mj * q)"
+    )
+    deviation = F.sqrt(F.greatest(variance, F.lit(0.0)))
+    r = F.when(
+        (deviation > SMALLEST_STD) & F.lit(label.std > 0),
+        covariance / (deviation * F.lit(label.std or 1.0)),
+    ).otherwise(0.0)
+    return (
+        means.join(F.broadcast(left), "i")
+        .join(F.broadcast(right), "j")
+        .select("i", "j", r.alias("r"))
+        .filter(F.abs("r") > KEPT_INTERACTION)
+    )

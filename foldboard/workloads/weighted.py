@@ -62,6 +62,24 @@ def war_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WIDE_ELEMENTS = 24
+WIDE_LABEL = "(1 + embedding[{0}]) * (1 + embedding[{0}])"
+
+
+def war_wide_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a vector whose elements all lean on one of them, so that all 276 are tried."""
+    element = F.col("embedding").cast("array<double>")
+    leaning = [element[i] + 2 * element[0] for i in range(WIDE_ELEMENTS)]
+    rows = table(spark, sf_dir, "embeddings").select(
+        array_to_vector(F.array(*leaning)).alias(FEATURES),
+        F.expr(WIDE_LABEL.format(0).replace("embedding[", "cast(embedding AS array<double>)[")).alias("label"),
+    )
+    pairs = WeightedAverageRegressor().fit(rows).interactions()
+    return spark.createDataFrame(pairs, "i bigint, j bigint, weight double").select(
+        "i", "j", F.round("weight", 9).alias("weight")
+    )
+
+
 def war_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of every prediction from the mean label."""
     rows = vectors(spark, sf_dir)
@@ -143,6 +161,7 @@ QUERIES = {
     "war_moments": war_moments,
     "war_weights": war_weights,
     "war_pairs": war_pairs,
+    "war_wide_pairs": war_wide_pairs,
     "war_predict": war_predict,
     "war_importance": war_importance,
     "war_no_interactions": war_no_interactions,
@@ -257,6 +276,14 @@ ORACLES = {
     "war_pairs": f"""{FIT_SQL}
         SELECT i::BIGINT AS i, j::BIGINT AS j, round(v / s, 9) AS weight FROM kept JOIN total USING (g)
     """,
+    "war_wide_pairs": f"""
+        WITH wide AS (SELECT embedding::DOUBLE[] AS embedding FROM embeddings), {model_sql(
+            'wide',
+            [f'embedding[{i + 1}] + 2 * embedding[1]' for i in range(WIDE_ELEMENTS)],
+            WIDE_LABEL.format(1),
+        )}
+        SELECT i::BIGINT AS i, j::BIGINT AS j, round(v / s, 9) AS weight FROM kept JOIN total USING (g)
+    """,
     "war_predict": f"""{OFFSET_SQL}
         SELECT l_orderkey, l_linenumber, round(offset_value, 3) + 0.0 AS "offset" FROM predicted
     """,
