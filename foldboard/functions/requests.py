@@ -38,9 +38,12 @@ def parse_data_types(text: Column) -> Column:
     parsed = F.when(keyed.isNotNull() & (F.size(listed) == 1), listed[0])
 
     def without_repeats(types: Column) -> Column:
-        # A repeated name keeps its first place and its last value.
-        names = F.array_distinct(F.map_keys(types))
-        return F.map_from_arrays(names, F.transform(names, lambda name: _last_value(types, name)))
+        # A repeated name keeps its first place and its last value. Only then are
+        # the entries gone through again for each name.
+        keys = F.map_keys(types)
+        names = F.array_distinct(keys)
+        settled = F.map_from_arrays(names, F.transform(names, lambda name: _last_value(types, name)))
+        return F.when(F.size(names) == F.size(keys), types).otherwise(settled)
 
     # A one-element transform names the parsed object, so that it is parsed once.
     return F.element_at(F.transform(F.array(parsed), without_repeats), 1)
@@ -57,9 +60,8 @@ def request_violations(requests: DataFrame, *keys: str) -> DataFrame:
     columns = F.col("columns")
     typed = F.coalesce(F.map_keys(types), F.array().cast("array<string>"))
     ratio = F.coalesce("train_test_split", F.lit(DEFAULT_RATIO))
-    usable = F.filter(
-        typed, lambda c: F.coalesce(types[c].isin("numerical", "categorical"), F.lit(False))
-    )
+    known = F.map_filter(types, lambda _, kind: kind.isin("numerical", "categorical"))
+    usable = F.coalesce(F.map_keys(known), F.array().cast("array<string>"))
 
     def overall(rule: str, broken: Column) -> Column:
         return named(rule, F.when(broken, F.array(F.lit(""))))
@@ -93,9 +95,8 @@ def request_feature_order(requests: DataFrame, *keys: str) -> DataFrame:
     types, features, strings = F.col("data_types"), F.col("feature_cols"), F.col("string_cols")
 
     def of_type(kind: str) -> Column:
-        return F.filter(
-            F.map_keys(types), lambda c: (types[c] == kind) & F.array_contains(features, c)
-        )
+        names = F.map_keys(F.map_filter(types, lambda _, value: value == kind))
+        return F.array_intersect(names, features)
 
     numericals = F.transform(of_type("numerical"), lambda c: F.concat(c, F.lit(IMPUTED_SUFFIX)))
     categoricals = F.transform(

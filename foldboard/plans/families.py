@@ -29,8 +29,8 @@ class Family:
     grid: Mapping[str, Sequence]
     # Parameter whose smaller values give a prefix of the model for the largest.
     staged_by: str | None = None
-    # Params without effect at a grid point, given its values and the vector size.
-    ignores: Callable[[Mapping[str, object], int], set[str]] | None = None
+    # Params without effect on an estimator as it is set, given the vector size.
+    ignores: Callable[[Estimator, int], set[str]] | None = None
     # The estimator's fitMultiple shares passes over the data between grid points.
     joint_fit: bool = False
 
@@ -49,17 +49,24 @@ class Family:
 WIDEST_NORMAL_EQUATIONS = 4096
 
 
-def ignored_by_linear(values: Mapping[str, object], width: int) -> set[str]:
-    """Normal equations with a ridge are solved directly, whatever the iteration limit."""
+def ignored_by_linear(estimator: LinearRegression, width: int) -> set[str]:
+    """Normal equations with a ridge are solved directly, whatever the iteration limit.
+
+    Decided by what the estimator is set to, its own defaults included.
+    """
     direct = (
         width <= WIDEST_NORMAL_EQUATIONS
-        and values.get("regParam", 0.0) > 0
-        and values.get("elasticNetParam", 0.0) == 0
-        and values.get("solver", "auto") != "l-bfgs"
+        and estimator.getLoss() == "squaredError"
+        and estimator.getSolver() != "l-bfgs"
+        and estimator.getRegParam() > 0
+        and estimator.getElasticNetParam() == 0
     )
     return {"maxIter"} if direct else set()
 
 
+# Names and grids of the families below are those a run is expected to report.
+
+
 LINEAR = Family(
     "Linear Regression",
     LinearRegression,

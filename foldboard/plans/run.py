@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from foldboard.functions.metrics import evaluate
+from foldboard.functions.metrics import evaluate, has_label
 from foldboard.operators.features import plan_features, preprocessing
 from foldboard.operators.split import (
     NUM_FOLDS,
@@ -31,12 +32,17 @@ from foldboard.sources.tables import read_table, spread
 
 BUCKET = "_bucket"
 FOLD = "_fold"
+GRID_SCHEMA = "model string, point int, params string, avg_cv_rmse double, is_chosen boolean"
 SCORE_SCHEMA = "run_id string, model string, rmse double, r2 double, avg_cv_rmse double"
 
 
 @dataclass(frozen=True)
 class RunResult:
-    """Ranked models of one run. ``model_path`` is None unless the run saved its winner."""
+    """Ranked models of one run. ``model_path`` is None unless the run saved its winner.
+
+    ``split_sizes`` counts the rows of either side, ``grid`` has a row per family and
+    grid point: model, point, params as JSON, avg_cv_rmse, and whether the point was chosen.
+    """
 
     run_id: str
     leaderboard: DataFrame
@@ -44,6 +50,8 @@ class RunResult:
     best_rmse: float
     best_model: PipelineModel
     model_path: str | None
+    split_sizes: dict[str, int] = field(default_factory=dict)
+    grid: DataFrame | None = None
 
     def document(self) -> dict:
         """The result as plain values; a handful of rows."""
@@ -79,9 +87,14 @@ def run(
 
     # Only what the run needs is kept, so the cache never holds ignored columns.
     columns = plan.source_columns
-    rows = df.select(*columns, (row_bucket(*columns) if bucket is None else bucket).alias(BUCKET))
+    contents = row_bucket(*columns)
+    # A row whose key is missing is placed by its contents.
+    place = contents if bucket is None else F.coalesce(bucket, contents)
+    rows = df.select(*columns, place.alias(BUCKET))
     if drop_null_label:
-        rows = rows.filter(F.col(spec.label_col).isNotNull())
+        label, numeric = F.col(spec.label_col), df.schema[spec.label_col].dataType
+        missing = ~has_label(label) if isinstance(numeric, NumericType) else label.isNull()
+        rows = rows.filter(~missing)
     if split == "random":
         train, test = random_split(rows, spec.train_test_split)
         fold = random_fold(num_folds)
@@ -92,6 +105,7 @@ def run(
         raise ValueError(f"split must be 'hash' or 'random', not {split!r}")
     train = train.select(*columns, fold.alias(FOLD))
     with stored(train) as rows:
+        sizes = {"train": rows.count()}
         tuned = tune(
             rows,
             FOLD,
@@ -107,9 +121,11 @@ def run(
     scored, predictions = with_predictions(
         shared.transform(test), {t.family.name: t.model.stages[-1] for t in tuned}
     )
-    scores = {row["model"]: row for row in evaluate(scored, plan.label, predictions).collect()}
+    counted = evaluate(scored, plan.label, predictions, rows="test_rows")
+    scores = {row["model"]: row for row in counted.collect()}
     if not scores:
         raise ValueError("the test part has no rows")
+    sizes["test"] = next(iter(scores.values()))["test_rows"]
 
     run_id = str(uuid.uuid4())
     board = rank_models(
@@ -127,9 +143,28 @@ def run(
         raise ValueError("no model has a finite error on the test part")
     model = next(t.model for t in tuned if t.family.name == best["model"])
     path = save_model(model, model_path(save_to, best["model"])) if save_to else None
-    return RunResult(run_id, board, best["model"], best["rmse"], model, path)
-
+    points = [
+        (t.family.name, point, json.dumps(params, sort_keys=True), error, params == t.params)
+        for t in tuned
+        for point, (params, error) in enumerate(zip(t.points, t.avg_metrics, strict=True))
+    ]
+    grid = spark.createDataFrame(points, GRID_SCHEMA)
+    return RunResult(run_id, board, best["model"], best["rmse"], model, path, sizes, grid)
+
+
+def run_file(
+    spark: SparkSession,
+    path: str,
+    spec: RunSpec,
+    *,
+    schema=None,
+    spread_small: bool = False,
+    **options,
+) -> RunResult:
+    """:func:`run` on a CSV or parquet location.
 
-def run_file(spark: SparkSession, path: str, spec: RunSpec, *, schema=None, **options) -> RunResult:
-    """:func:`run` on a CSV or parquet location."""
-    return run(spread(read_table(spark, path, schema)), spec, **options)
+    ``spread_small`` deals a source of fewer partitions than cores out to all of
+    them, which changes the sides of a random split.
+    """
+    df = read_table(spark, path, schema)
+    return run(spread(df) if spread_small else df, spec, **options)

@@ -38,12 +38,13 @@ class RunSpec:
 
     @classmethod
     def from_request(cls, request: Mapping) -> RunSpec:
-        """From a JSON request as sent to start a run; absent entries get their defaults."""
+        """From a JSON request as sent to start a run; absent and null entries get their defaults."""
+        ratio = request.get("train_test_split")
         return cls(
-            list(request.get("feature_cols", [])),
-            request.get("label_col", ""),
-            dict(request.get("data_types", {})),
-            request.get("train_test_split", DEFAULT_RATIO),
+            list(request.get("feature_cols") or []),
+            request.get("label_col") or "",
+            dict(request.get("data_types") or {}),
+            DEFAULT_RATIO if ratio is None else ratio,
         )
 
     @classmethod
@@ -53,9 +54,9 @@ class RunSpec:
         try:
             types = json.loads(data_types)
         except json.JSONDecodeError as error:
-            raise ValueError("Invalid data types format, use JSON format") from error
+            raise ValueError("data_types is not a JSON text") from error
         if not isinstance(types, dict):
-            raise ValueError("Invalid data types format, use a JSON object")
+            raise ValueError("data_types must be a JSON object of names and types")
         return cls([name for name in names if name], label_col.strip(), types, ratio)
 
     def violations(self, schema: StructType) -> list[tuple[str, str]]:
@@ -68,7 +69,8 @@ class RunSpec:
             found.append(("label_empty", ""))
         if not self.data_types:
             found.append(("types_empty", ""))
-        if not 0 < self.train_test_split < 1:
+        ratio = DEFAULT_RATIO if self.train_test_split is None else self.train_test_split
+        if not 0 < ratio < 1:
             found.append(("split_out_of_range", ""))
         if self.label_col and self.label_col not in names:
             found.append(("label_not_found", self.label_col))

@@ -12,7 +12,7 @@ import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -37,10 +37,13 @@ class Tuned:
     params: dict[str, object]
     avg_metrics: list[float]
     model: PipelineModel
+    # The params of every grid point, in the order of avg_metrics.
+    points: list[dict[str, object]] = field(default_factory=list)
 
     @property
     def avg_cv_rmse(self) -> float:
-        return min(self.avg_metrics)
+        """The smallest mean error; NaN only if all are."""
+        return min(self.avg_metrics, key=lambda error: (math.isnan(error), error))
 
 
 @dataclass(frozen=True)
@@ -126,6 +129,10 @@ def tune(
             {param.name: value for param, value in params.items()},
             averages,
             PipelineModel([*whole_prep.stages, finals[family.name]]),
+            [
+                {param.name: value for param, value in point.items()}
+                for point in family.param_maps(family.estimator())
+            ],
         )
         for family, params, averages in best
     ]
@@ -186,7 +193,7 @@ def _planned_fits(family: Family, label: str, features: str, width: int) -> list
     groups: dict[tuple, dict[int, int | None]] = {}
     for point, params in enumerate(maps):
         values = {param.name: value for param, value in params.items()}
-        shared = family.ignores(values, width) if family.ignores else set()
+        shared = family.ignores(estimator.copy(params), width) if family.ignores else set()
         rest = tuple((n, v) for n, v in values.items() if n != staged and n not in shared)
         groups.setdefault(rest, {})[point] = values[staged] if staged else None
     return [

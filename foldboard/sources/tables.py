@@ -33,11 +33,22 @@ def read_csv(
             raise ValueError(f"no .csv file at {path}") from error
         raise
     # Inference over no file yields an empty schema, and a given schema hides it.
-    if not df.columns or not df.inputFiles():
+    if not df.columns or (schema is not None and not _has_csv(spark, path)):
         raise ValueError(f"no .csv file at {path}")
     return df
 
 
+def _has_csv(spark: SparkSession, path: str) -> bool:
+    """Whether some file named ``*.csv`` lies at or below ``path``; stops at the first one."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    try:
+        return not names.load(path).select("path").limit(1).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
 def read_table(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:
@@ -80,7 +91,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Give every core a share when the source comes in fewer partitions than cores.
 
     One small file is read by a single task. Large sources have more partitions
-    than cores and pass through without a shuffle.
+    than cores and pass through without a shuffle. For plans without a shuffle:
+    counting partitions may otherwise run some of their stages. It changes the
+    partition layout, and with it random splits and the bagging of forests.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

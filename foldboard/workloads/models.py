@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from foldboard.functions.metrics import evaluate
 from foldboard.operators.features import FEATURES, plan_features, preprocessing
 from foldboard.operators.split import fold_number, is_train
-from foldboard.plans.families import BOOSTED, DEFAULT_FAMILIES, FOREST, LINEAR, TREE
+from foldboard.plans.families import BOOSTED, FOREST, LINEAR, TREE, WEIGHTED_AVERAGE
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.run import run
 from foldboard.plans.spec import RunSpec
@@ -39,13 +39,13 @@ THREE_FEATURES = RunSpec(
 )
 ONE_CATEGORY = RunSpec(["l_returnflag"], "l_extendedprice", {"l_returnflag": "categorical"})
 RIDGE_GRID = (1000.0, 0.01)
-# Small grids keep the registered searches short; the families' own are the default.
-SHORT_FAMILIES = (
+# The default families; of the forest one tree without bagging, so that its numbers have a closed form.
+EXACT_FAMILIES = (
     LINEAR,
-    FOREST.with_grid(maxDepth=[5], numTrees=[5]),
-    TREE.with_grid(maxDepth=[5, 10]),
-    BOOSTED.with_grid(maxDepth=[3], maxIter=[3, 5]),
-    DEFAULT_FAMILIES[-1],
+    FOREST.with_grid(maxDepth=[5, 10], numTrees=[1], bootstrap=[False]),
+    TREE,
+    BOOSTED,
+    WEIGHTED_AVERAGE,
 )
 
 
@@ -146,21 +146,38 @@ def forest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tree_families_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean fold error of every grid point of the tree families."""
-    return grid_errors(spark, tuned_on_folds(spark, sf_dir, THREE_FEATURES, SHORT_FAMILIES[1:4]))
+    return grid_errors(spark, tuned_on_folds(spark, sf_dir, THREE_FEATURES, (FOREST, TREE, BOOSTED)))
 
 
 def leaderboard_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on line items, all families."""
+    """The whole job on all line items: all families with their default grids."""
     result = run(
         spread(charges(spark, sf_dir)),
         THREE_FEATURES,
-        SHORT_FAMILIES,
         bucket=line_bucket(),
         save_to=scratch_path(spark, "run"),
     )
     return result.leaderboard.drop("run_id").withColumn("model_path", F.lit(result.model_path))
 
 
+def leaderboard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on one category, where every family has a closed form: scores, search and sizes."""
+    result = run(charges(spark, sf_dir), ONE_CATEGORY, EXACT_FAMILIES, bucket=line_bucket())
+    points = result.grid.groupBy("model").agg(
+        F.count("*").alias("grid_points"), F.min("avg_cv_rmse").alias("best_cv_rmse")
+    )
+    return result.leaderboard.join(points, "model").select(
+        "model",
+        F.round("rmse", 2).alias("rmse"),
+        F.round("r2", 6).alias("r2"),
+        F.round("avg_cv_rmse", 2).alias("avg_cv_rmse"),
+        (F.col("best_cv_rmse") == F.col("avg_cv_rmse")).alias("best_point_chosen"),
+        "grid_points",
+        F.lit(result.split_sizes["train"]).cast("bigint").alias("train_rows"),
+        F.lit(result.split_sizes["test"]).cast("bigint").alias("test_rows"),
+    )
+
+
 # Three fixed guesses of the charge; scored like models, but any engine can repeat them.
 GUESSES = {
     "per price": "l_extendedprice * 25",
@@ -174,6 +191,7 @@ def guessed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]
     lines = charges(spark, sf_dir).select(
         F.col("l_linestatus").alias("run_id"),
         "charge",
+        "l_linenumber",
         *[F.expr(GUESSES[name]).alias(column) for name, column in columns.items()],
         line_bucket().alias("bucket"),
     )
@@ -187,6 +205,22 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def eval_missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the guesses where first lines have no label and second lines one that is no number."""
+    lines, columns = guessed(spark, sf_dir)
+    line = F.col("l_linenumber")
+    label = F.when(line == 1, None).when(line == 2, float("nan")).otherwise(F.col("charge"))
+    return evaluate(
+        lines.withColumn("charge", label), "charge", columns, by=["run_id"], rows="row_count"
+    ).select(
+        "run_id",
+        "model",
+        F.round("rmse", 2).alias("rmse"),
+        F.round("r2", 6).alias("r2"),
+        "row_count",
+    )
+
+
 def guess_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per line status: test error and mean fold error of every guess, in one pass."""
     lines, columns = guessed(spark, sf_dir)
@@ -231,8 +265,17 @@ def save_load_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a saved pipeline: stages in their order, and which of them have data beside their params."""
     path = save_model(linear_on_quantity(spark, sf_dir, 0.0), scratch_path(spark, "model"))
-    return manifest(spark, path)
+    inside = F.regexp_extract("path", r"stages/([0-9]+)_([A-Za-z]+)_[^/]*/(?:metadata|data)/", 1)
+    kind = F.regexp_extract("path", r"stages/[0-9]+_([A-Za-z]+)_", 1)
+    folder = F.regexp_extract("path", r"/(metadata|data)/[^/]*$", 1)
+    return (
+        manifest(spark, path)
+        .filter(F.col("length") > 0)
+        .select(inside.alias("stage"), kind.alias("kind"), folder.alias("folder"))
+        .distinct()
+    )
 
 
 QUERIES = {
@@ -245,7 +288,9 @@ QUERIES = {
     "forest_single": forest_single,
     "tree_families_grid": tree_families_grid,
     "leaderboard_run": leaderboard_run,
+    "leaderboard_exact": leaderboard_exact,
     "eval_metrics": eval_metrics,
+    "eval_missing_labels": eval_missing_labels,
     "leaderboard": leaderboard,
     "winner": winner,
     "result_document": result_document,
@@ -263,7 +308,7 @@ GROUP_MEANS_SQL = """
 GUESSED_SQL = f"""
     WITH {LINES_SQL}, guessed AS ({
     " UNION ALL ".join(
-        f"SELECT l_linestatus AS run_id, bucket, charge, '{name}' AS model, {sql} AS guess FROM lines"
+        f"SELECT l_linestatus AS run_id, l_linenumber, bucket, charge, '{name}' AS model, {sql} AS guess FROM lines"
         for name, sql in GUESSES.items()
     )
 })
@@ -286,6 +331,44 @@ BOARD_SQL = f"""{GUESSED_SQL}, folds AS (
     )
 """
 
+# Part -1 is the refit on all training rows, scored on the test part.
+EXACT_SQL = f"""
+    WITH rows AS (
+        SELECT l_returnflag AS v, l_extendedprice AS y,
+               CASE WHEN {TRAIN_SQL} THEN {BUCKET_SQL} % 3 ELSE -1 END AS part FROM lineitem
+    ), parts AS (SELECT unnest([-1, 0, 1, 2]) AS f
+    ), rest AS (SELECT f, v, y FROM parts JOIN rows ON part >= 0 AND part <> f
+    ), groups AS (SELECT f, v, count(*) AS n, avg(y) AS m FROM rest GROUP BY f, v
+    ), indexed AS (
+        SELECT *, row_number() OVER (PARTITION BY f ORDER BY n DESC, v) - 1 AS x FROM groups
+    ), moments AS (
+        SELECT f, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r
+        FROM rest JOIN indexed USING (f, v) GROUP BY f
+    ), predicted AS (
+        SELECT rows.y, i.f, i.m, unnest([
+            {{'model': 'Linear Regression', 'point': 0, 'guess': my + r / (1 + 0.1 / sy) * sy / sx * (x - mx)}},
+            {{'model': 'Linear Regression', 'point': 1, 'guess': my + r / (1 + 0.01 / sy) * sy / sx * (x - mx)}},
+            {{'model': 'Random Forest', 'point': 0, 'guess': i.m}},
+            {{'model': 'Decision Tree', 'point': 0, 'guess': i.m}},
+            {{'model': 'Gradient Boosted Trees', 'point': 0, 'guess': i.m}},
+            {{'model': 'Weighted Average Regressor', 'point': 0, 'guess': my + sign(r) * (x - mx) / sx}}]) AS p
+        FROM rows JOIN indexed i ON rows.part = i.f AND rows.v = i.v JOIN moments ON moments.f = i.f
+    ), errors AS (
+        SELECT f, p.model AS model, p.point AS point, sqrt(avg(pow(y - p.guess, 2))) AS rmse,
+               1 - sum(pow(y - p.guess, 2)) / (var_pop(y) * count(*)) AS r2
+        FROM predicted GROUP BY ALL
+    ), searched AS (
+        SELECT model, point, avg(rmse) AS e FROM errors WHERE f >= 0 GROUP BY model, point
+        QUALIFY row_number() OVER (PARTITION BY model ORDER BY e, point) = 1
+    )
+    SELECT model, round(rmse, 2) AS rmse, round(r2, 6) AS r2, round(e, 2) AS avg_cv_rmse,
+           true AS best_point_chosen,
+           CASE model WHEN 'Random Forest' THEN 2 WHEN 'Decision Tree' THEN 2 ELSE 4 END AS grid_points,
+           (SELECT count(*) FROM rows WHERE part >= 0) AS train_rows,
+           (SELECT count(*) FROM rows WHERE part < 0) AS test_rows
+    FROM searched JOIN errors USING (model, point) WHERE f = -1
+"""
+
 ORACLES = {
     "lr_unregularised": f"""
         WITH {LINES_SQL}
@@ -348,6 +431,19 @@ ORACLES = {
         SELECT run_id, model, round({RMSE_SQL}, 2) AS rmse, round({R2_SQL}, 6) AS r2
         FROM guessed GROUP BY run_id, model
     """,
+    "eval_missing_labels": f"""{GUESSED_SQL}, labelled AS (SELECT * FROM guessed WHERE l_linenumber > 2)
+        SELECT run_id, model, rmse, r2, row_count
+        FROM (SELECT run_id, model, round({RMSE_SQL}, 2) AS rmse, round({R2_SQL}, 6) AS r2
+              FROM labelled GROUP BY run_id, model)
+        JOIN (SELECT run_id, model, count(*) AS row_count FROM guessed GROUP BY run_id, model)
+        USING (run_id, model)
+    """,
+    "leaderboard_exact": EXACT_SQL,
+    "model_manifest": """
+        SELECT * FROM (VALUES ('', '', 'metadata'), ('0', 'VectorAssembler', 'metadata'),
+            ('1', 'LinearRegression', 'metadata'), ('1', 'LinearRegression', 'data'))
+            AS parts(stage, kind, folder)
+    """,
     "leaderboard": f"""{BOARD_SQL}
         SELECT run_id, model, rmse, r2, avg_cv_rmse, rank, rank = 1 AS is_best FROM board
     """,

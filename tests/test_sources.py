@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import DateType, IntegerType, StringType
 
 from foldboard import RunSpec
 from foldboard.plans.spec import CATEGORICAL, NUMERICAL
@@ -9,36 +9,36 @@ from foldboard.sources.paths import bucket_of, key_of, object_uri
 from foldboard.sources.registry import manifest, model_path
 from foldboard.sources.tables import from_rows, ingest_csv, preview, profile, read_csv, read_table, spread
 
-HOMES = """area,rooms,garden,price
+TREES = """height,branches,evergreen,planted
 
-7420,4,yes,550000
-8960,,no,565000
+12,31,true pine,1987-04-02
+7,,birch,2001-10-19
 
-9960,3,yes,610000
+25,64,true fir,1950-03-30
 """
 
 
 @pytest.fixture
-def homes(tmp_path):
-    path = tmp_path / "in" / "homes.csv"
+def trees(tmp_path):
+    path = tmp_path / "in" / "trees.csv"
     path.parent.mkdir()
-    path.write_text(HOMES)
+    path.write_text(TREES)
     (path.parent / "notes.txt").write_text("not,a,table\n1,2,3\n")
     return str(path.parent)
 
 
-def test_inferred_schema_empty_cells_and_blank_lines(spark, homes):
-    df = read_csv(spark, homes)
-    assert [f.dataType for f in df.schema] == [IntegerType(), IntegerType(), StringType(), IntegerType()]
-    assert [r["rooms"] for r in df.orderBy("area").collect()] == [4, None, 3]
+def test_inferred_schema_empty_cells_and_blank_lines(spark, trees):
+    df = read_csv(spark, trees)
+    assert [f.dataType for f in df.schema] == [IntegerType(), IntegerType(), StringType(), DateType()]
+    assert [r["branches"] for r in df.orderBy("height").collect()] == [None, 31, 64]
     assert profile(df).first().asDict() == {"row_count": 3, "column_count": 4}
-    spec = RunSpec(["area", "garden"], "price", {"area": NUMERICAL, "garden": CATEGORICAL})
+    spec = RunSpec(["evergreen"], "height", {"evergreen": CATEGORICAL, "branches": NUMERICAL})
     assert spec.violations(df.schema) == []
 
 
-def test_given_schema(spark, homes):
-    df = read_csv(spark, homes, "area double, rooms bigint, garden string, price double")
-    assert df.agg(F.sum("area")).first()[0] == 26340.0
+def test_given_schema(spark, trees):
+    df = read_csv(spark, trees, "height double, branches bigint, evergreen string, planted date")
+    assert df.agg(F.sum("height")).first()[0] == 44.0
 
 
 @pytest.mark.parametrize("schema", [None, "a int"])
@@ -48,8 +48,8 @@ def test_other_suffixes_are_refused(spark, tmp_path, schema):
         read_csv(spark, str(tmp_path), schema)
 
 
-def test_landing_gives_every_upload_its_own_place(spark, homes, tmp_path):
-    first, second = (ingest_csv(spark, homes, str(tmp_path / "lake")) for _ in range(2))
+def test_landing_gives_every_upload_its_own_place(spark, trees, tmp_path):
+    first, second = (ingest_csv(spark, trees, str(tmp_path / "lake")) for _ in range(2))
     assert first != second
     assert read_table(spark, first).count() == 3
 
@@ -67,13 +67,13 @@ def test_rows_in_memory(spark):
 
 def test_paths(spark):
     uris = [
-        "s3a://bucket/uploads/1/home data.csv", "s3a://bucket", "plain/key", "http://h.example//a/b?x=1#y",
+        "s3a://bucket/in/1/tree list.csv", "s3a://bucket", "plain/key", "http://h.example//a/b?x=1#y",
         object_uri("bucket", "/models/1/Linear Regression"),
     ]
     df = spark.createDataFrame([(u,) for u in uris], "uri string")
     found = [tuple(r) for r in df.select(bucket_of(F.col("uri")), key_of(F.col("uri"))).collect()]
     assert found == [
-        ("bucket", "uploads/1/home data.csv"), ("bucket", ""), ("", "plain/key"), ("h.example", "a/b"),
+        ("bucket", "in/1/tree list.csv"), ("bucket", ""), ("", "plain/key"), ("h.example", "a/b"),
         ("bucket", "models/1/Linear Regression"),
     ]
 

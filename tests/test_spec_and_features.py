@@ -171,5 +171,28 @@ def test_requests_and_forms():
     form = RunSpec.from_form(" a , ,", " l ", '{"a": "numerical"}')
     assert request == form == RunSpec(["a"], "l", types(a="n"), 0.8)
     for text in ("{", "[1]"):
-        with pytest.raises(ValueError, match="Invalid data types"):
+        with pytest.raises(ValueError, match="data_types"):
             RunSpec.from_form("a", "l", text)
+
+
+def test_thousands_of_names_in_one_request(spark):
+    """Parsing and checking grow with the names, not with their square."""
+    names = [f"column{k}" for k in range(5_000)]
+    kinds = {n: "numerical" if k % 2 else "categorical" for k, n in enumerate(names)}
+    request = spark.createDataFrame(
+        [(1, ",".join(names), json.dumps(kinds), "label", 0.5, [*names, "label"], names[:10])],
+        "id int, feature_text string, types_text string, label_col string, train_test_split double, "
+        "columns array<string>, string_cols array<string>",
+    ).withColumns(
+        {
+            "feature_cols": parse_feature_list(F.col("feature_text")),
+            "data_types": parse_data_types(F.col("types_text")),
+        }
+    )
+    assert request_violations(request, "id").isEmpty()
+    assert request_feature_order(request, "id").count() == 5_000
+
+
+def test_null_ratio_is_the_default():
+    spec = RunSpec.from_request({"feature_cols": ["a"], "train_test_split": None, "data_types": None})
+    assert spec.train_test_split == 0.8 and spec.data_types == {}

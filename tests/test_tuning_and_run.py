@@ -1,8 +1,10 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from foldboard.plans.families import (
     WEIGHTED_AVERAGE,
 )
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
-from foldboard.plans.tuning import tune
+from foldboard.plans.tuning import Tuned, tune
 from foldboard.operators.features import plan_features, preprocessing
 from foldboard.sources.registry import load_model, score
 
@@ -143,6 +145,36 @@ def test_missing_labels_can_be_dropped(rows):
     with pytest.raises(Exception, match="(?i)null"):
         run(holes, SPEC, SMALL[:1])
     assert run(holes, SPEC, SMALL[:1], drop_null_label=True).best_rmse > 0
+    mixed = holes.withColumn("target", F.when(F.col("id") % 3 == 1, float("nan")).otherwise(F.col("target")))
+    result = run(mixed, SPEC, SMALL[:1], drop_null_label=True)
+    assert result.split_sizes["train"] + result.split_sizes["test"] == 200
+
+
+def test_rows_without_key_are_placed_by_their_contents(rows):
+    bucket = key_bucket(F.when(F.col("id") % 2 == 0, F.col("id")))
+    sizes = run(rows, SPEC, SMALL[:1], bucket=bucket).split_sizes
+    assert sizes["train"] + sizes["test"] == 600 and 400 < sizes["train"] < 540
+
+
+def test_result_tells_what_was_tried(rows):
+    result = run(rows, SPEC, SMALL, bucket=key_bucket("id"))
+    points = result.grid.collect()
+    assert len(points) == 1 + 1 + 4
+    chosen = {r["model"]: r["avg_cv_rmse"] for r in points if r["is_chosen"]}
+    board = {r["model"]: r["avg_cv_rmse"] for r in result.leaderboard.collect()}
+    assert chosen == board
+    assert all(json.loads(r["params"]) for r in points)
+
+
+def test_missing_labels_do_not_count_in_errors(spark):
+    rows = [(1.0, 1.5), (2.0, 2.5), (4.0, 3.0), (None, 7.0), (float("nan"), 9.0)]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    whole, known = (evaluate(d, "label", {"m": "prediction"}).first() for d in (df, df.limit(3)))
+    assert (whole["rmse"], whole["r2"]) == (known["rmse"], known["r2"])
+
+
+def test_best_fold_error_passes_over_nan():
+    assert Tuned(LINEAR, {}, [float("nan"), 2.0, 1.0], None).avg_cv_rmse == 1.0
 
 
 def test_broken_runs_are_refused(rows):
@@ -187,19 +219,20 @@ def test_ranking_ties_nan_and_infinity(spark):
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
-    """The housing table, as a request from the command line."""
+    """A request from the command line."""
     import foldboard.__main__ as command
     import foldboard.plans.run as run_module
 
     spark.range(40).selectExpr(
-        "id * 97 % 50 + 20 AS area", "IF(id % 3 = 0, 'yes', 'no') AS garden", "id AS note",
-        "(id * 97 % 50 + 20) * 1000 + IF(id % 3 = 0, 5000, 0) AS price",
-    ).write.csv(str(tmp_path / "uploads" / "1" / "homes.csv"), header=True)
+        "id * 97 % 50 + 20 AS load", "IF(id % 3 = 0, 'wet', 'dry') AS road", "id AS note",
+        "(id * 97 % 50 + 20) * 10 + IF(id % 3 = 0, 50, 0) AS distance",
+    ).write.csv(str(tmp_path / "in" / "1" / "brakes.csv"), header=True)
     request = {
-        "key": "uploads/1/homes.csv",
-        "feature_cols": ["area", "garden"],
-        "label_col": "price",
-        "data_types": {"area": "numerical", "garden": "categorical", "note": "numerical", "price": "numerical"},
+        "key": "in/1/brakes.csv",
+        "feature_cols": ["load", "road"],
+        "label_col": "distance",
+        "data_types": {"load": "numerical", "road": "categorical", "note": "numerical", "distance": "numerical"},
+        "train_test_split": None,
     }
     (tmp_path / "request.json").write_text(json.dumps(request))
     monkeypatch.setattr(
@@ -246,6 +279,9 @@ def test_a_table_of_copies_needs_the_random_split(rows):
         (LINEAR, 10, 2),
         (LINEAR, 5000, 4),
         (LINEAR.with_grid(regParam=[0.0], maxIter=[10, 100]), 10, 2),
+        (LINEAR.with_grid(loss=["huber"], regParam=[0.1], maxIter=[1, 100]), 10, 2),
+        (replace(LINEAR, estimator=lambda: LinearRegression(elasticNetParam=0.9)), 10, 4),
+        (replace(LINEAR, estimator=lambda: LinearRegression(solver="l-bfgs")), 10, 4),
         (BOOSTED, 10, 2),
         (FOREST, 10, 4),
         (TREE, 10, 2),
