@@ -8,9 +8,11 @@ probability of their weighted Jaccard similarity. Only the earliest points are e
 per text.
 
 Signatures are cut into bands; texts that share a band are candidates. Within a band everything is compared with one
-leader, not all with all: three rounds with different leaders join nearly everything that belongs together, and
-what still lies in different classes of a band is then compared pair by pair, so no link between different texts is lost to
-the choice of a leader. A pair is linked only if the exact similarity of the two whole texts reaches the threshold.
+leader, not all with all: first with the text that shares most bands, which joins nearly everything that belongs together,
+then with another one. What still lies in different classes of a band is compared pair by pair, so no link between
+different texts is lost to the choice of a leader. Before that a prefix filter drops pairs that cannot reach the threshold: of two
+similar multisets some element must lie among the rarest few of both. Any order of elements makes that exact; a sketch
+of fixed size says which are rare. A pair is linked only if the exact similarity of the two whole texts reaches the threshold.
 Exact copies are one text from the start.
 """
 
@@ -33,7 +35,9 @@ THRESHOLD = 0.8
 #: A pair at the threshold shares none of 30 bands of 5 with a probability below 1e-5.
 BANDS, BAND_ROWS = 30, 5
 REGISTERS = BANDS * BAND_ROWS
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+#: Bits of a shingle that choose its counter in the sketch of frequencies.
+SKETCH_BITS = 16
 #: Keys of 16 bytes that may be broadcast; more of them are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
 
@@ -223,8 +227,10 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(key, class) of every text that is linked to another one, from (key, text)."""
     signatures = written(signed(docs), "signatures")
     rows = signatures.select("key", "weight", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").count().filter("count > 1").select("band")
-    members = written(rows.join(shared, "band"), "members")
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    sharing = written(rows.join(shared, "band"), "sharing")
+    central = sharing.groupBy("key").agg(F.sum("n").alias("central"))
+    members = written(sharing.drop("n").join(central, "key"), "members")
     wanted = written(members.select("key").distinct(), "candidates")
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
@@ -239,7 +245,8 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             placed = placed.withColumn("class", F.coalesce("class", "key"))
         else:
             placed = placed.withColumn("class", F.col("key"))
-        pairs = _rest(placed, threshold) if turn == LEADER_ROUNDS else _led(placed, turn, threshold)
+        last = turn == LEADER_ROUNDS
+        pairs = _rest(placed, texts, threshold) if last else _led(placed, turn, threshold)
         pairs = written(pairs, "pairs")
         links = written(verified(pairs.select("a", "b"), texts, threshold), "verified")
         named = links.join(pairs, ["a", "b"]).select(
@@ -262,7 +269,7 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _led(placed: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Every member of a band with its leader, where their classes differ."""
-    order = F.xxhash64(F.lit(turn), "key")
+    order = F.xxhash64(F.lit(turn), "key") if turn else -F.col("central")
     leaders = (
         placed.groupBy("band")
         .agg(
@@ -287,30 +294,91 @@ def _led(placed: DataFrame, turn: int, threshold: float) -> DataFrame:
     )
 
 
-def _rest(placed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a band that the leaders have left in different classes."""
+def _rest(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a band that the leaders have left in different classes and that the prefix filter lets through."""
     mixed_bands = (
         placed.groupBy("band")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .filter("low <> high")
         .select("band")
     )
-    left = placed.join(mixed_bands, "band")
+    open_rows = written(placed.join(mixed_bands, "band").select("band", "key", "class", "weight"), "open")
+    first = _prefixes(open_rows.select("key").distinct(), texts, threshold)
+    left = open_rows.join(first, "key")
     right = left.select(
-        "band",
+        F.col("band").alias("band_b"),
         F.col("key").alias("b"),
         F.col("class").alias("class_b"),
         F.col("weight").alias("weight_b"),
+        F.col("prefix").alias("prefix_b"),
+    )
+    # Of weights m and n in common: at least this many, if the pair is similar enough.
+    together = F.col("weight") + F.col("weight_b")
+    common = F.ceil(together * (threshold / (1 + threshold)) - 1e-6).cast("int")
+
+    def rarest(prefix: str, weight: str) -> Column:
+        length = F.greatest(F.col(weight).cast("int") - common + 1, F.lit(0))
+        return F.slice(prefix, F.lit(1), length)
+
+    condition = (
+        (F.col("band") == F.col("band_b"))
+        & (F.col("class") < F.col("class_b"))
+        & _similar_weight("weight", "weight_b", threshold)
+        & F.arrays_overlap(rarest("prefix", "weight"), rarest("prefix_b", "weight_b"))
     )
     return (
-        left.join(right, "band")
-        .filter(F.col("class") < F.col("class_b"))
-        .filter(_similar_weight("weight", "weight_b", threshold))
+        left.join(right, condition)
         .select(F.col("key").alias("a"), "b", F.col("class").alias("class_a"), "class_b")
         .distinct()
     )
 
 
+def _prefixes(keys: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(key, prefix): the elements of each text in a common order, rare ones first, as many as the filter may need.
+
+    An element is a shingle and the number of its occurrence, so that multisets are compared like sets.
+    """
+    chosen = written(texts.join(keys, "key", "left_semi"), "open-texts")
+    slots = 1 << SKETCH_BITS
+    shift = np.uint64(64 - SKETCH_BITS)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(slots, "int64")
+        for batch in batches:
+            for text in batch["text"]:
+                total += np.bincount((shingles(text)[0] >> shift).astype("int64"), minlength=slots)
+        slot = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": slot, "n": total[slot]})
+
+    counted = (
+        chosen.select("text")
+        .mapInPandas(count, "slot long, n long")
+        .groupBy("slot")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
+    )
+    sketch = np.zeros(slots, "int64")
+    sketch[counted["slot"].to_numpy("int64")] = counted["n"].to_numpy("int64")
+    shared = chosen.sparkSession.sparkContext.broadcast(sketch)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                keys, counts = shingles(text)
+                each = np.repeat(keys, counts)
+                begun = np.repeat(np.cumsum(counts) - counts, counts)
+                occurrence = (np.arange(len(each)) - begun).astype("uint64")
+                elements = mixed(each + occurrence * _ODD[11]).view("int64")
+                # Overlap is at least the threshold times the weight of either side.
+                length = len(each) - int(np.ceil(threshold * len(each) - 1e-6)) + 1
+                order = np.lexsort((elements, shared.value[(each >> shift).astype("int64")]))
+                rows.append(elements[order[:length]])
+            yield pd.DataFrame({"key": batch["key"], "prefix": rows})
+
+    return chosen.mapInPandas(cut, "key binary, prefix array<long>")
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
