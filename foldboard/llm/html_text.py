@@ -211,9 +211,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     for k, more in enumerate((1, n, own * n, first[token], chars.get(token, 0))):
                         total[k] += more
             rows = [(*key, v[0], v[1], v[2] % (1 << 62), v[3], v[4]) for key, v in sums.items()]
-            yield pd.DataFrame(
-                rows, columns=["host", "token", "pages", "n", "vector", "places", "chars"]
-            )
+            if rows:
+                yield pd.DataFrame(
+                    rows, columns=["host", "token", "pages", "n", "vector", "places", "chars"]
+                )
 
     made = pages.mapInPandas(
         count,

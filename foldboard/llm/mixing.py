@@ -87,8 +87,8 @@ def _everything() -> Window:
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
     """Cells with ``weight`` beside margins and tokens.
 
-    ``targets`` has (value, share) per margin; shares are taken relative to each other. A value without a target, or with
-    target 0, gets weight 0. Missing values are a value like others.
+    ``targets`` has (value, share) per margin; shares are taken relative to each other, among the values that have a cell
+    with tokens and a target in every margin. All other cells get weight 0. Missing values are values like others.
     """
     named = cells
     for margin, target in targets.items():
@@ -96,51 +96,36 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
             F.col("value").alias("_value"), F.col("share").cast("double").alias(f"_{margin}")
         )
         same = named[margin].eqNullSafe(wanted["_value"])
-        named = named.join(wanted, same, "left").drop("_value")
-        named = named.fillna(0.0, [f"_{margin}"])
-    state = written(named.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    total = state.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+        named = named.join(wanted, same, "left").drop("_value").fillna(0.0, [f"_{margin}"])
+    usable = F.least("tokens", *[F.ceil(f"_{m}").cast("bigint") for m in targets]) > 0
+    state = written(
+        named.withColumn("weight", F.when(usable, F.col("tokens")).otherwise(0).cast("double")), "cells"
+    )
+    totals = {"tokens": state.agg(F.sum("tokens").alias("n")).first()["n"] or 0}
+    for margin in targets:
+        reached = state.filter("weight > 0").groupBy(margin).agg(F.first(f"_{margin}").alias("s"))
+        totals[margin] = reached.agg(F.sum("s").alias("s")).first()["s"] or 1.0
     done = 0
     while done < rounds:
         step = min(ROUNDS_PER_STEP, rounds - done)
-        before = "_before"
-        state = state.withColumn(before, F.col("weight"))
+        moving = state.withColumn("_before", F.col("weight"))
         for _ in range(step):
             for margin in targets:
-                state = _scaled(state, margin, float(total))
-        state = written(state, "cells")
+                # A window keeps the plan in one line; a join with sums would double it each time.
+                held = F.sum("weight").over(Window.partitionBy(margin))
+                wanted = F.col(f"_{margin}") * (totals["tokens"] / totals[margin])
+                moving = moving.withColumn(
+                    "weight", F.when(F.col("weight") > 0, F.col("weight") * (wanted / held)).otherwise(0.0)
+                )
+        moving = written(moving, "cells")
+        moved = moving.agg(F.max(F.abs(F.col("weight") - F.col("_before"))).alias("most")).first()
+        state = moving.drop("_before")
         done += step
-        moved = state.agg(F.max(F.abs(F.col("weight") - F.col(before))).alias("most")).first()
-        state = state.drop(before)
-        if (moved["most"] or 0.0) <= tolerance * max(total, 1):
+        if (moved["most"] or 0.0) <= tolerance * max(totals["tokens"], 1):
             break
     return state.select(*targets, "tokens", "weight")
 
 
-def _scaled(state: DataFrame, margin: str, total: float) -> DataFrame:
-    """Weights multiplied so that the margin has its target shares of ``total``.
-
-    Targets that no cell can take up any more are shared out among the others.
-    """
-    sums = state.groupBy(margin).agg(
-        F.sum("weight").alias("_sum"), F.first(f"_{margin}").alias("_share")
-    )
-    reachable = F.when(F.col("_sum") > 0, F.col("_share")).otherwise(0.0)
-    sums = sums.withColumn("_all", F.sum(reachable).over(_everything())).select(
-        F.col(margin).alias("_value"),
-        F.when(
-            (F.col("_sum") > 0) & (F.col("_all") > 0),
-            F.col("_share") * total / (F.col("_all") * F.col("_sum")),
-        )
-        .otherwise(0.0)
-        .alias("_factor"),
-    )
-    same = state[margin].eqNullSafe(sums["_value"])
-    return state.join(sums, same).withColumn("weight", F.col("weight") * F.col("_factor")).drop(
-        "_value", "_factor"
-    )
-
-
 def probabilities(
     rows: DataFrame,
     targets: dict[str, DataFrame] | None = None,

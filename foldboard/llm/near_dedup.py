@@ -160,7 +160,8 @@ def signed(texts: DataFrame) -> DataFrame:
                 keys, counts = shingles(text)
                 if len(keys):
                     rows.append((key, int(counts.sum()), bands(signature(keys, counts))))
-            yield pd.DataFrame(rows, columns=["key", "weight", "bands"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "weight", "bands"])
 
     made = texts.mapInPandas(sign, "key binary, weight long, bands array<long>")
     return made.groupBy("key").agg(F.first("weight").alias("weight"), F.first("bands").alias("bands"))
@@ -180,7 +181,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                         held.clear()
                     held[b] = shingles(text_b)
                 linked.append(similarity(shingles(text_a), held[b]) >= threshold)
-            yield batch.loc[linked, ["a", "b"]]
+            if any(linked):
+                yield batch.loc[linked, ["a", "b"]]
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))

@@ -162,7 +162,8 @@ def fit(
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             terms = [np.log1p(term_counts(t)).astype("float32").tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "terms": terms})
+            ids = list(batch["doc_id"])
+            yield pd.DataFrame({"doc_id": ids, "label": batch["label"], "terms": terms})
 
     # Vectors of a fixed length, not texts, reach the driver.
     sample = labelled_sample(docs, labels, max_labelled)

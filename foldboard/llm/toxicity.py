@@ -188,9 +188,10 @@ def _vocabulary(
             for label, text in zip(batch["class"], batch["text"], strict=True):
                 seen[label].update({w for w in terms(text) if len(w) <= MAX_WORD_CHARS})
             words = list(seen[0] | seen[1])
-            yield pd.DataFrame(
-                {"word": words, "d0": [seen[0][w] for w in words], "d1": [seen[1][w] for w in words]}
-            )
+            # Arrow has no plain array for an empty column of text.
+            if words:
+                times = {f"d{c}": [seen[c][w] for w in words] for c in (0, 1)}
+                yield pd.DataFrame({"word": words} | times)
 
     return (
         rows.mapInPandas(count, "word string, d0 long, d1 long")
