@@ -96,9 +96,9 @@ def tune(
             models = run_parallel(
                 spark, [lambda fit=fit: _fit(fit, rows) for fit in fits], parallelism
             )
-        errors.append(
-            _fold_errors(list(zip(fits, models)), _prepared(fitted_prep, held_out, features, label), label)
-        )
+        # Prepared once for all models: boosted ensembles score them in passes of their own.
+        with stored(_prepared(fitted_prep, held_out, features, label)) as rows:
+            errors.append(_fold_errors(list(zip(fits, models)), rows, label))
 
     best = []
     for family in families:

@@ -86,8 +86,10 @@ def in_memory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 nations as plain rows, made a table again and counted per region."""
     nations = table(spark, sf_dir, "nation")
     rows = [tuple(row) for row in nations.collect()]
-    return from_rows(spark, rows, nations.columns).groupBy("n_regionkey").agg(
-        F.count("*").alias("nations"), F.min("n_name").alias("first_name")
+    return (
+        from_rows(spark, rows, nations.columns)
+        .groupBy(F.col("n_regionkey").cast("int").alias("n_regionkey"))
+        .agg(F.count("*").alias("nations"), F.min("n_name").alias("first_name"))
     )
 
 
@@ -306,7 +308,7 @@ WITH raw AS (
 ORACLES = {
     "profile": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count, "
-        f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {name})) AS column_count"
+        f"CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM {name})) AS INTEGER) AS column_count"
         for name in PROFILED
     ),
     "csv_roundtrip": f"""

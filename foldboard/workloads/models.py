@@ -363,7 +363,7 @@ EXACT_SQL = f"""
     )
     SELECT model, round(rmse, 2) AS rmse, round(r2, 6) AS r2, round(e, 2) AS avg_cv_rmse,
            true AS best_point_chosen,
-           CASE model WHEN 'Random Forest' THEN 2 WHEN 'Decision Tree' THEN 2 ELSE 4 END AS grid_points,
+           CASE WHEN model IN ('Random Forest', 'Decision Tree') THEN 2 ELSE 4 END::BIGINT AS grid_points,
            (SELECT count(*) FROM rows WHERE part >= 0) AS train_rows,
            (SELECT count(*) FROM rows WHERE part < 0) AS test_rows
     FROM searched JOIN errors USING (model, point) WHERE f = -1
