@@ -76,12 +76,8 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def flattened(cells: DataFrame, margin: str, power: float = FLATTENING) -> DataFrame:
     """Target shares (value, share): token shares of a margin raised to ``power``."""
     sums = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("tokens").alias("n"))
-    raised = F.pow(F.col("n").cast("double"), F.lit(power))
-    return sums.select("value", (raised / F.sum(raised).over(_everything())).alias("share"))
-
-
-def _everything() -> Window:
-    return Window.partitionBy(F.lit(0))
+    raised = sums.select("value", F.pow(F.col("n").cast("double"), F.lit(power)).alias("p"))
+    return raised.select("value", (F.col("p") / raised.agg(F.sum("p")).scalar()).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
