@@ -44,7 +44,7 @@ BROADCAST_KEYS = 2_000_000
 _ODD = (np.random.default_rng(11).integers(0, 1 << 63, 16, dtype="uint64") << np.uint64(1)) | np.uint64(1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _HASHES: dict[bytes, int] = {}
-MAX_HASHES = 500_000
+MAX_HASHES = 150_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

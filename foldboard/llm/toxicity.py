@@ -34,6 +34,8 @@ TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans(UPPER, UPPER.lower())
 MAX_WORD_CHARS = 64
 RARE, START, FIRST_WORD = 0, 1, 2
+#: Rows counted at a time.
+PART_ROWS = 1_000
 #: One in so many sampled documents is kept for the logistic curve.
 CALIBRATION = 4
 
@@ -177,13 +179,20 @@ def _telling(docs: list[int], min_docs: int, certainty: float, contrast: float)
     )
 
 
+def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fewer rows at a time, which bounds what is counted before it is passed on."""
+    for batch in batches:
+        for at in range(0, len(batch), PART_ROWS):
+            yield batch.iloc[at : at + PART_ROWS]
+
+
 def _vocabulary(
     rows: DataFrame, max_words: int, min_docs: int, telling: Column
 ) -> pd.DataFrame:
     """The words found in the most documents, and whether they tell the classes apart."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for label, text in zip(batch["class"], batch["text"], strict=True):
                 seen[label].update({w for w in terms(text) if len(w) <= MAX_WORD_CHARS})
@@ -212,7 +221,7 @@ def _bigrams(spark: SparkSession, rows: DataFrame, model: ToxicityModel) -> Data
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         width = len(model.words) + FIRST_WORD
-        for batch in batches:
+        for batch in parts(batches):
             for label, texts in batch.groupby("class")["text"]:
                 ids = [model.ids(t) for t in texts]
                 own = [np.unique(i[:-1] * width + i[1:], return_counts=True) for i in ids]
