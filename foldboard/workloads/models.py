@@ -18,7 +18,7 @@ from foldboard.operators.features import FEATURES, plan_features, preprocessing
 from foldboard.operators.split import fold_number, is_train
 from foldboard.plans.families import BOOSTED, FOREST, LINEAR, TREE, WEIGHTED_AVERAGE
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
-from foldboard.plans.run import run
+from foldboard.plans.run import RunResult, run
 from foldboard.plans.spec import RunSpec
 from foldboard.plans.tuning import Tuned, stored, tune
 from foldboard.scratch import scratch_path
@@ -160,9 +160,14 @@ def leaderboard_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.leaderboard.drop("run_id").withColumn("model_path", F.lit(result.model_path))
 
 
+def exact_run(spark: SparkSession, sf_dir: str) -> RunResult:
+    """The whole job on one category of all line items, where every family has a closed form."""
+    return run(spread(charges(spark, sf_dir)), ONE_CATEGORY, EXACT_FAMILIES, bucket=line_bucket())
+
+
 def leaderboard_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on one category, where every family has a closed form: scores, search and sizes."""
-    result = run(charges(spark, sf_dir), ONE_CATEGORY, EXACT_FAMILIES, bucket=line_bucket())
+    """Scores, search and sizes of the whole job."""
+    result = exact_run(spark, sf_dir)
     points = result.grid.groupBy("model").agg(
         F.count("*").alias("grid_points"), F.min("avg_cv_rmse").alias("best_cv_rmse")
     )
