@@ -31,9 +31,8 @@ BROADCAST_KEYS = 1_000_000
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, with variable fields for those that have a digit."""
-    return F.array_remove(
-        F.split(F.regexp_replace(line, NUMBERED, FIELD), BLANK_CLASS + "+"), ""
-    )
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, NUMBERED, FIELD)).otherwise(line)
+    return F.array_remove(F.split(masked, BLANK_CLASS + "+"), "")
 
 
 def parsed(docs: DataFrame) -> DataFrame:
