@@ -1,14 +1,16 @@
-"""Main text of web pages by templates that are deduced from the pages of a host.
+"""Main text of web pages by the template that recurs on the pages of a host.
 
-A token is an element by its path of containers (tag, id, classes; figures in names are ignored). Its occurrence vector
-lists how often it occurs on each page of the host. Tokens with equal vectors form an equivalence class. A class is
-valid if it occurs on enough pages of its host and all of its tokens keep their order; valid classes nested into each
-other by their paths are the template. The slots of the template are the contents of its containers. The slot
-that holds the article is chosen once per host; what pages have there is their main text, without the parts whose
-element or name says that they are something else.
+Tokens are containers, by their path (tag, id, classes; figures in names are ignored), and blocks of text, by the path
+of their container and their words. The template of a host are the tokens that enough of its pages have; containers
+must keep their order too. Tokens on the same pages have the same support, so whole equivalence classes are in the
+template or out of it.
 
-A vector is kept as a sum of page hashes times counts, so classes come from one aggregation that combines before it
-shuffles, however many pages a host has. Pages are read twice and never shuffled unless there are very many hosts.
+The slot that holds the article is chosen once per host: an article or main element of the template, or else the deepest
+container with most of the text. What pages have there is their main text, without the blocks that are in the template
+themselves and without the parts whose element or name says that they are something else.
+
+Support comes from aggregations that combine before they shuffle, however many pages a host has. Pages are read twice and
+never shuffled unless there are very many hosts.
 """
 
 from __future__ import annotations
@@ -62,6 +64,8 @@ OUTSIDE_NAMES = frozenset("header masthead topbar".split())
 ARTICLE = frozenset(["article", "main"])
 
 MIN_SUPPORT = 0.5
+#: Different pages that a block of text must stand on before it can be part of a template.
+MIN_PAGES = 5
 #: Share of the text of a host that a slot without an article element must hold.
 MAIN_SHARE = 0.7
 BROADCAST_HOSTS = 100_000
@@ -83,6 +87,12 @@ class Block:
     path: str
     text: str
 
+    @property
+    def token(self) -> int:
+        """Path and text as one number; the text tokens of a host are counted by it."""
+        joined = f"{self.path}\n{self.text}".encode("utf-8", "replace")
+        return xxhash.xxh64_intdigest(joined) - (1 << 63)
+
 
 @dataclass
 class Page:
@@ -162,14 +172,21 @@ def _close_sibling(stack: list[Element], tag: str) -> None:
         stack.pop()
 
 
-def article(page: Page, slot: str | None) -> str:
-    """Blocks in ``slot``; without one or without text there, those of the page's own article, or all."""
+def article(page: Page, slot: str | None, recurring: frozenset[int] = frozenset()) -> str:
+    """Blocks in ``slot``; without one or without text there, those of the page's own article, or all.
+
+    Blocks whose token is ``recurring`` are left out.
+    """
     for want in (slot, *_own_slots(page)):
         if want:
-            found = [b.text for b in page.blocks if b.path == want or b.path.startswith(want + ">")]
+            found = [b for b in page.blocks if b.path == want or b.path.startswith(want + ">")]
             if found:
-                return "\n\n".join(found)
-    return "\n\n".join(b.text for b in page.blocks)
+                return joined(found, recurring)
+    return joined(page.blocks, recurring)
+
+
+def joined(blocks: list[Block], recurring: frozenset[int]) -> str:
+    return "\n\n".join(b.text for b in blocks if b.token not in recurring)
 
 
 def _own_slots(page: Page) -> list[str]:
@@ -183,15 +200,18 @@ def host_of(url: str | None) -> str:
     return match[1] if match else ""
 
 
-def occurrences(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages, count, vector, order and characters of text, from (host, html)."""
+def counted(pages: DataFrame) -> DataFrame:
+    """Counts of containers per batch, and one row per page and text token (``text`` set), from (host, html).
+
+    ``page`` is a hash of the page's text, so that copies of a page count once for text tokens.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sums: dict[tuple[str, str], list[int]] = {}
+            texts: set[tuple[str, int, int]] = set()
             for host, source in zip(batch["host"], batch["html"], strict=True):
                 page = parse(source)
-                own = xxhash.xxh64_intdigest((source or "").encode("utf-8", "replace")) >> 24
                 first: dict[str, int] = {}
                 times: dict[str, int] = {}
                 for place, token in enumerate(page.opened):
@@ -204,43 +224,68 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     while token:
                         chars[token] = chars.get(token, 0) + len(block.text)
                         token = token.rpartition(">")[0]
+                whole = "\n".join(b.text for b in page.blocks).encode("utf-8", "replace")
+                same = xxhash.xxh64_intdigest(whole) - (1 << 63)
+                texts.update((host, b.token, same) for b in page.blocks)
                 first[""], times[""] = -1, 1
                 for token, n in times.items():
-                    total = sums.setdefault((host, token), [0] * 5)
-                    # Vectors are sums modulo 2 ** 62.
-                    for k, more in enumerate((1, n, own * n, first[token], chars.get(token, 0))):
+                    total = sums.setdefault((host, token), [0] * 4)
+                    for k, more in enumerate((1, n, first[token], chars.get(token, 0))):
                         total[k] += more
-            rows = [(*key, v[0], v[1], v[2] % (1 << 62), v[3], v[4]) for key, v in sums.items()]
-            if rows:
+            if sums:
                 yield pd.DataFrame(
-                    rows, columns=["host", "token", "pages", "n", "vector", "places", "chars"]
+                    [(*key, *v) for key, v in sums.items()],
+                    columns=["host", "token", "pages", "n", "places", "chars"],
+                ).assign(text=0, page=0)
+            if texts:
+                yield pd.DataFrame(list(texts), columns=["host", "text", "page"]).assign(
+                    token=None, pages=0, n=0, places=0, chars=0
                 )
 
-    made = pages.mapInPandas(
+    return pages.mapInPandas(
         count,
-        "host string, token string, pages long, n long, vector long, places long, chars long",
+        "host string, token string, pages long, n long, places long, chars long, text long, page long",
     )
-    vector = F.sum(F.col("vector").cast("decimal(38,0)"))
-    return made.groupBy("host", "token").agg(
+
+
+def occurrences(counts: DataFrame) -> DataFrame:
+    """Per host and container: pages, count, order and characters of text."""
+    return counts.filter("token IS NOT NULL").groupBy("host", "token").agg(
         F.sum("pages").alias("pages"),
         F.sum("n").alias("n"),
-        F.pmod(vector, F.lit(1 << 62).cast("decimal(38,0)")).cast("long").alias("vector"),
         (F.sum("places") / F.sum("pages")).alias("place"),
         F.sum("chars").alias("chars"),
     )
 
 
+def recurring_blocks(counts: DataFrame) -> DataFrame:
+    """(host, recurring): the text tokens of the template of each host.
+
+    They stand on MIN_SUPPORT of the different pages of the host that have text, and on MIN_PAGES at least. So a host
+    has at most 1 / MIN_SUPPORT times as many as a page has blocks.
+    """
+    places = written(counts.filter("token IS NULL").select("host", "text", "page").distinct(), "places")
+    different = places.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("different"))
+    support = places.groupBy("host", "text").agg(F.count("*").alias("support"))
+    kept = support.filter(F.col("support") >= MIN_PAGES).join(different, "host")
+    return (
+        kept.filter(F.col("support") >= MIN_SUPPORT * F.col("different"))
+        .groupBy("host")
+        .agg(F.collect_list("text").alias("recurring"))
+    )
+
+
 def templates(tokens: DataFrame) -> DataFrame:
-    """The ``tokens`` of valid classes, with class, its size, depth in the template and the host's totals.
+    """The containers on MIN_SUPPORT of the pages in a steady order, with depth and the host's totals.
 
-    The class of a token is named by its vector. The empty token stands for the page as a whole.
+    The empty token stands for the page as a whole.
     """
     whole = tokens.filter("token = ''").select(
         "host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars")
     )
     named = tokens.filter("token <> ''").join(whole, "host")
     frequent = named.filter(F.col("pages") >= MIN_SUPPORT * F.col("host_pages"))
-    # Containers start before what they contain, on average over the same pages too, or the class has no order.
+    # Containers start before what they contain, on average over the same pages too, or there is no order.
     parent = F.regexp_replace("token", r">[^>]*$", "")
     outer = frequent.select(
         F.col("host").alias("_host"), F.col("token").alias("_token"), F.col("place").alias("_place")
@@ -249,8 +294,7 @@ def templates(tokens: DataFrame) -> DataFrame:
     ordered = frequent.join(outer, same, "left").filter(
         F.col("_place").isNull() | (F.col("_place") <= F.col("place")) | (F.col("n") > F.col("pages"))
     )
-    members = ordered.groupBy("host", "vector").agg(F.count("*").alias("size"))
-    return ordered.drop("_host", "_token", "_place").join(members, ["host", "vector"]).withColumn(
+    return ordered.drop("_host", "_token", "_place").withColumn(
         "depth", F.size(F.split("token", ">")) - 1
     )
 
@@ -282,10 +326,12 @@ def main_slots(template: DataFrame) -> DataFrame:
 
 
 @pandas_udf(StringType())
-def _article(sources: pd.Series, slots: pd.Series) -> pd.Series:
-    return pd.Series(
-        [article(parse(s), slot) for s, slot in zip(sources, slots, strict=True)], dtype=object
-    )
+def _article(sources: pd.Series, slots: pd.Series, recurring: pd.Series) -> pd.Series:
+    found = [
+        article(parse(source), slot, frozenset(() if tokens is None else (int(t) for t in tokens)))
+        for source, slot, tokens in zip(sources, slots, recurring, strict=True)
+    ]
+    return pd.Series(found, dtype=object)
 
 
 @pandas_udf(StringType())
@@ -299,8 +345,8 @@ def main_text(
     """One row per input row: page_id, url, text, n_chars.
 
     A missing or empty page, and one without an article, has empty text. Pages without url or host form a host of their own.
-    Repeated rows and missing ids stay rows; equal pages count like others in the vectors. An empty table gives no
-    rows; other columns are ignored.
+    Repeated rows and missing ids stay rows; pages of equal text count once when recurring blocks are looked for. An
+    empty table gives no rows; other columns are ignored.
     """
     rows = pages.select(
         col(id_col).alias("page_id"),
@@ -308,13 +354,15 @@ def main_text(
         col(html_col).alias("html"),
         _host(col(url_col)).alias("host"),
     )
-    template = templates(written(occurrences(rows.select("host", "html")), "tokens"))
-    slots = written(main_slots(template), "slots")
+    counts = written(counted(rows.select("host", "html")), "counts")
+    template = templates(written(occurrences(counts), "tokens"))
+    slots = main_slots(template).join(recurring_blocks(counts), "host", "full")
+    slots = written(slots, "slots")
     if slots.count() <= BROADCAST_HOSTS:
         slots = F.broadcast(slots)
     return (
         rows.join(slots, "host", "left")
-        .select("page_id", "url", _article("html", "slot").alias("text"))
+        .select("page_id", "url", _article("html", "slot", "recurring").alias("text"))
         .withColumn("n_chars", F.length("text").cast("long"))
     )
 

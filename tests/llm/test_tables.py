@@ -168,6 +168,25 @@ def test_pages(spark, box):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_blocks_on_every_page_of_a_host_are_dropped(spark):
+    """Boilerplate in unnamed elements goes; what copies of a page repeat stays."""
+    body = (
+        "<html><body><div class=c7>Всё меню сайта</div><article><p>Own text {k} of this page</p>"
+        "<p>Read our daily letter</p><div class=x1><table><tr><td>Home<td>About</table></div></article></body></html>"
+    )
+    rows = [(k, f"http://a.example/{k}", body.format(k=k)) for k in range(8)]
+    copied = "<body><article><p>First of a copy</p><p>Second of a copy</p></article></body>"
+    rows += [(100 + k, f"http://b.example/{k}", copied) for k in range(8)]
+    bare = "<body><p>Main menu here</p><div class=c1><p>Long text number {k} of the page that is read</p></div></body>"
+    rows += [(200 + k, f"http://c.example/{k}", bare.format(k="abcdefgh"[k])) for k in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in main_text(pages).collect()}
+    for k in range(8):
+        assert found[k] == f"Own text {k} of this page"
+        assert found[100 + k] == "First of a copy\n\nSecond of a copy"
+        assert found[200 + k] == f"Long text number {'abcdefgh'[k]} of the page that is read"
+
+
 def test_hosts():
     assert host_of("HTTP://a.B.c:80/x?y") == "a.b.c"
     assert host_of("//h/x") == "h"
