@@ -32,7 +32,7 @@ from foldboard.scratch import written
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|annotation(?:-xml)?)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<rest2>[^>]*)>"
     r"|<[!?][^>]*>",
@@ -49,18 +49,24 @@ BLOCKS = frozenset(
     "select option button label hgroup search".split()
 )
 VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
-#: Elements that are never part of an article, and those that are not unless they lie in one.
-NEVER = frozenset("head nav footer aside form dialog menu select option button label title search".split())
+#: Elements without text of the page, and those that are no part of an article they lie in or beside.
+HIDDEN = frozenset("head select option button label title".split())
+NEVER = frozenset("nav footer aside form dialog menu search".split())
 OUTSIDE = frozenset(["header"])
-#: Words in ids, classes and roles that say so.
+#: Whole classes and ids that say so, and the elements that may go by them: no headings, tables or paragraphs.
 NEVER_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget footer "
-    "cookie cookies consent gdpr notice notices popup modal overlay alert newsletter subscribe signup "
-    "login share sharing social related recommended comment comments disqus discussion respond "
-    "search skip copyright contentinfo complementary".split()
+    "ad ads advert adverts advertisement advertising sponsored promo "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget widgets footer "
+    "site-nav main-nav site-menu main-menu site-footer page-footer side-bar "
+    "cookie cookies consent gdpr cookie-notice cookie-banner cookie-consent cookie-bar popup modal "
+    "newsletter newsletter-signup subscribe signup login share-buttons social-share sharing social "
+    "related-posts related-articles recommended comments comment-list comment-form comments-area disqus_thread "
+    "skip-link contentinfo complementary".split()
 )
-OUTSIDE_NAMES = frozenset("header masthead topbar".split())
+OUTSIDE_NAMES = frozenset("header masthead topbar site-header page-header".split())
+NAMED = frozenset("div section ul ol dl center details".split())
+#: Begins the name of a container that is left out of the articles around it.
+ASIDE = "~"
 ARTICLE = frozenset(["article", "main"])
 
 MIN_SUPPORT = 0.5
@@ -75,9 +81,10 @@ BROADCAST_HOSTS = 100_000
 class Element:
     tag: str
     name: str
-    names: frozenset[str]
-    dropped: bool
+    hidden: bool
     inside: bool
+    #: Path of the container around the innermost element that is left out, if there is one.
+    aside: str | None
     #: Path of containers down to this element, if it is one.
     path: str = ""
 
@@ -86,6 +93,12 @@ class Element:
 class Block:
     path: str
     text: str
+    #: Articles at this path or above it leave the block out.
+    aside: str | None = None
+
+    def of(self, slot: str) -> bool:
+        """Whether the block lies in ``slot``, and in nothing there that is left out."""
+        return within(self.path, slot) and not (self.aside is not None and within(self.aside, slot))
 
     @property
     def token(self) -> int:
@@ -94,6 +107,11 @@ class Block:
         return xxhash.xxh64_intdigest(joined) - (1 << 63)
 
 
+def within(path: str, slot: str) -> bool:
+    """The empty slot is the whole page."""
+    return not slot or path == slot or path.startswith(slot + ">")
+
+
 @dataclass
 class Page:
     #: Path of every container in the order of its start.
@@ -110,27 +128,32 @@ def parse(source: str | None) -> Page:
     def end_block() -> None:
         joined = " ".join(html.unescape("".join(text)).split())
         text.clear()
-        if joined and not (stack and stack[-1].dropped):
-            page.blocks.append(Block(path(), joined))
+        if joined and not (stack and stack[-1].hidden):
+            page.blocks.append(Block(path(), joined, stack[-1].aside if stack else None))
 
     def path() -> str:
         return next((e.path for e in reversed(stack) if e.path), "")
 
     def open_element(tag: str, rest: str) -> None:
-        names = {
-            part
+        given = [
+            (match[1].lower(), (match[2] or match[3] or match[4] or "").lower())
             for match in NAME.finditer(rest)
-            for part in PART.split((match[2] or match[3] or match[4] or "").lower())
-        } - {""}
+        ]
+        # Ids of sections name their subject.
+        words = {w for kind, value in given if (tag, kind) != ("section", "id") for w in value.split()}
+        parts = {part for _, value in given for part in PART.split(value)} - {""}
         above = stack[-1] if stack else None
-        inside = bool(above and above.inside) or tag in ARTICLE or "main" in names
-        dropped = (
-            bool(above and above.dropped)
-            or tag in NEVER
-            or bool(names & NEVER_NAMES)
-            or (not inside and (tag in OUTSIDE or bool(names & OUTSIDE_NAMES)))
+        inside = bool(above and above.inside) or tag in ARTICLE or "main" in words
+        left_out = tag in NEVER or (tag in NAMED and bool(words & NEVER_NAMES))
+        if not inside:
+            left_out |= tag in OUTSIDE or (tag in NAMED and bool(words & OUTSIDE_NAMES))
+        element = Element(
+            tag,
+            (ASIDE if left_out else "") + ".".join([tag, *sorted(parts)]),
+            bool(above and above.hidden) or tag in HIDDEN,
+            inside,
+            path() if left_out else above.aside if above else None,
         )
-        element = Element(tag, ".".join([tag, *sorted(names)]), frozenset(names), dropped, inside)
         if tag in CONTAINERS:
             element.path = f"{path()}>{element.name}"
             page.opened.append(element.path)
@@ -177,21 +200,25 @@ def article(page: Page, slot: str | None, recurring: frozenset[int] = frozenset(
 
     Blocks whose token is ``recurring`` are left out.
     """
-    for want in (slot, *_own_slots(page)):
-        if want:
-            found = [b for b in page.blocks if b.path == want or b.path.startswith(want + ">")]
+    for want in (slot, *_own_slots(page), ""):
+        if want is not None:
+            found = [b for b in page.blocks if b.of(want)]
             if found:
                 return joined(found, recurring)
-    return joined(page.blocks, recurring)
+    return ""
 
 
 def joined(blocks: list[Block], recurring: frozenset[int]) -> str:
     return "\n\n".join(b.text for b in blocks if b.token not in recurring)
 
 
-def _own_slots(page: Page) -> list[str]:
+def _own_slots(page: Page) -> list[str | None]:
+    """The first article and the first main element, first those that do not lie in something left out."""
     tags = lambda path: path.rpartition(">")[2].split(".")[0]
-    return [next((p for p in page.opened if tags(p) == tag), "") for tag in ("article", "main")]
+    plain = [p for p in page.opened if f">{ASIDE}" not in p]
+    return [
+        next((p for p in paths if tags(p) == tag), None) for paths in (plain, page.opened) for tag in ("article", "main")
+    ]
 
 
 def host_of(url: str | None) -> str:
@@ -219,10 +246,12 @@ def counted(pages: DataFrame) -> DataFrame:
                     times[token] = times.get(token, 0) + 1
                 chars: dict[str, int] = {"": 0}
                 for block in page.blocks:
-                    chars[""] += len(block.text)
                     token = block.path
-                    while token:
+                    # From the inside out, as far as the block belongs to its containers.
+                    while block.of(token):
                         chars[token] = chars.get(token, 0) + len(block.text)
+                        if not token:
+                            break
                         token = token.rpartition(">")[0]
                 whole = "\n".join(b.text for b in page.blocks).encode("utf-8", "replace")
                 same = xxhash.xxh64_intdigest(whole) - (1 << 63)
@@ -302,14 +331,16 @@ def templates(tokens: DataFrame) -> DataFrame:
 def main_slots(template: DataFrame) -> DataFrame:
     """(host, slot): the container of the template that holds the article.
 
-    An ``article`` that pages have once comes first, then ``main``, then the deepest container with MAIN_SHARE of the
-    text.
+    An ``article`` that pages have once comes first, then ``main``, then one of these inside something left out if it has more
+    text than is left of the page without it, then the deepest container with MAIN_SHARE of the text.
     """
     last = F.substring_index(F.substring_index("token", ">", -1), ".", 1)
     once = F.col("n") == F.col("pages")
+    plain = ~F.contains("token", F.lit(f">{ASIDE}"))
     kind = (
-        F.when((last == "article") & once, 3)
-        .when((last == "main") & once, 2)
+        F.when((last == "article") & once & plain, 4)
+        .when((last == "main") & once & plain, 3)
+        .when(last.isin("article", "main") & once & (F.col("chars") > F.col("host_chars")), 2)
         .when(F.col("chars") >= MAIN_SHARE * F.col("host_chars"), 1)
         .otherwise(0)
     )

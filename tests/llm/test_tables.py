@@ -187,6 +187,31 @@ def test_blocks_on_every_page_of_a_host_are_dropped(spark):
         assert found[200 + k] == f"Long text number {'abcdefgh'[k]} of the page that is read"
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<body class="has-sidebar"><article>', "</article></body>"),
+        ('<body class="sidebar"><div class="layout no-ads"><div class="post">', "</div></div></body>"),
+        ('<div id="with-navigation"><article>', "</article></div>"),
+        ('<div class="sidebar"><p>Ad</p><article>', "</article></div>"),
+        ('<form action="x"><main>', "</main></form>"),
+    ],
+)
+def test_names_around_and_inside_an_article_keep_it(spark, before, after):
+    inner = (
+        '<h2 id="search-algorithm">Search</h2><p>Value {k}</p><section id="discussion"><h2 id="related-work">Related'
+        '</h2><p>Debate {k}</p></section><table class="share prices"><tr><td>Price {k}</td></tr></table>'
+        "<p>So <math><mi>x</mi><mo>=</mo><mn>{k}</mn></math></p><object>Object {k}</object>"
+        '<div class="comments">Reply {k}</div>'
+    )
+    rows = [(k, f"http://a.example/{k}", before + inner.format(k=k) + after) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in main_text(pages).collect()}
+    for k in range(4):
+        wanted = ["Search", f"Value {k}", "Related", f"Debate {k}", f"Price {k}", f"So x={k}", f"Object {k}"]
+        assert found[k] == "\n\n".join(wanted)
+
+
 def test_hosts():
     assert host_of("HTTP://a.B.c:80/x?y") == "a.b.c"
     assert host_of("//h/x") == "h"
