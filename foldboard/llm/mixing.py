@@ -2,8 +2,12 @@
 
 Tokens are counted per cell (source, language, topic). Cell weights start at the counts and are scaled to the target
 share of each margin in turn until a whole round changes no margin by more than ``tolerance``, or for ``rounds``
-rounds. Weight over count, times the wanted share of all tokens, is the probability (at most 1) with which a document
-of the cell is drawn; the draw is a hash of its id, so a rerun draws the same documents.
+rounds. Weight over count, times the wanted share of all tokens, is the probability with which a document of the cell is
+drawn; the draw is a hash of its id, so a rerun draws the same documents.
+
+No probability exceeds 1. ``calibrated`` weights stop there, and the other cells of a margin are scaled up instead; the
+target of a value with fewer tokens than it wants is all of them, and the other values share what is left over.
+Otherwise probabilities are cut after raking, and what is cut is missing from the draw.
 
 Only cells are iterated on. They stay a distributed table that is written after every few rounds, and become a broadcast
 when they are few enough.
@@ -29,6 +33,8 @@ KEPT_SHARE = 0.5
 FLATTENING = 0.5
 ROUNDS = 8
 DRAWS = 1 << 28
+#: Calibrated weights move more slowly; they stop when a step moves none by this share of all tokens.
+CALIBRATED_ROUNDS, CALIBRATED_TOLERANCE = 40, 1e-6
 
 
 def token_count(text: Column) -> Column:
@@ -80,11 +86,38 @@ def flattened(cells: DataFrame, margin: str, power: float = FLATTENING) -> DataF
     return raised.select("value", (F.col("p") / raised.agg(F.sum("p")).scalar()).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
+def level(state: DataFrame, margin: str, total: float, limit: float) -> float:
+    """The level at which shares of ``margin`` times it, but ``limit`` per token at most, add up to ``total``."""
+    values = state.filter("weight > 0").groupBy(margin).agg(
+        F.first(f"_{margin}").alias("share"), (F.sum("tokens") * limit).alias("room")
+    )
+    values = written(values, "margin")
+    reached, full = 0.0, -1
+    while True:
+        short = F.col("room") <= F.col("share") * reached
+        sums = values.agg(
+            F.coalesce(F.sum(F.when(short, F.col("room"))), F.lit(0.0)).alias("room"),
+            F.coalesce(F.sum(F.when(~short, F.col("share"))), F.lit(0.0)).alias("share"),
+            F.count_if(short).alias("full"),
+        ).first()
+        if sums["full"] == full or not sums["share"] or sums["room"] >= total:
+            return reached if sums["share"] else float("inf")
+        # Values only become full from step to step.
+        reached, full = max(reached, (total - sums["room"]) / sums["share"]), sums["full"]
+
+
+def rake(
+    cells: DataFrame,
+    targets: dict[str, DataFrame],
+    rounds: int,
+    tolerance: float,
+    limit: float | None = None,
+) -> DataFrame:
     """Cells with ``weight`` beside margins and tokens.
 
     ``targets`` has (value, share) per margin; shares are taken relative to each other, among the values that have a cell
     with tokens and a target in every margin. All other cells get weight 0. Missing values are values like others.
+    No weight exceeds ``limit`` times the tokens of its cell, if one is given.
     """
     named = cells
     for margin, target in targets.items():
@@ -101,6 +134,18 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
     for margin in targets:
         reached = state.filter("weight > 0").groupBy(margin).agg(F.first(f"_{margin}").alias("s"))
         totals[margin] = reached.agg(F.sum("s").alias("s")).first()["s"] or 1.0
+    most = F.col("tokens") * (limit or 0.0)
+    if limit is not None:
+        levels = {margin: level(state, margin, float(totals["tokens"]), limit) for margin in targets}
+        # Room counts only the cells that can be drawn.
+        room = F.when(F.col("weight") > 0, most).otherwise(0.0)
+        wants = {
+            f"_want_{m}": F.least(
+                F.sum(room).over(Window.partitionBy(m)), F.col(f"_{m}") * F.lit(levels[m])
+            )
+            for m in targets
+        }
+        state = written(state.withColumns(wants).withColumn("weight", F.least("weight", most)), "cells")
     done = 0
     while done < rounds:
         step = min(ROUNDS_PER_STEP, rounds - done)
@@ -108,11 +153,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance
         for _ in range(step):
             for margin in targets:
                 # A window keeps the plan in one line; a join with sums would double it each time.
-                held = F.sum("weight").over(Window.partitionBy(margin))
-                wanted = F.col(f"_{margin}") * (totals["tokens"] / totals[margin])
-                moving = moving.withColumn(
-                    "weight", F.when(F.col("weight") > 0, F.col("weight") * (wanted / held)).otherwise(0.0)
-                )
+                group = Window.partitionBy(margin)
+                held = F.sum("weight").over(group)
+                if limit is None:
+                    wanted = F.col(f"_{margin}") * (totals["tokens"] / totals[margin])
+                    scaled = F.col("weight") * (wanted / held)
+                else:
+                    wanted = F.col(f"_want_{margin}")
+                    full = F.sum(F.when(F.col("weight") >= most, most).otherwise(0.0)).over(group)
+                    # Cells at their limit stay while the margin lacks tokens, and shrink with the others else.
+                    growth = F.when(held > full, (wanted - full) / (held - full)).otherwise(1.0)
+                    factor = F.when(wanted < held, wanted / held).otherwise(growth)
+                    scaled = F.least(F.col("weight") * factor, most)
+                moving = moving.withColumn("weight", F.when(F.col("weight") > 0, scaled).otherwise(0.0))
         moving = written(moving, "cells")
         moved = moving.agg(F.max(F.abs(F.col("weight") - F.col("_before"))).alias("most")).first()
         state = moving.drop("_before")
@@ -128,6 +181,7 @@ def probabilities(
     kept_share: float = KEPT_SHARE,
     rounds: int = ROUNDS,
     tolerance: float = 0.0,
+    calibrated: bool = True,
 ) -> DataFrame:
     """(margins, tokens, weight, probability) of every cell of described ``rows``.
 
@@ -139,7 +193,11 @@ def probabilities(
     )
     if targets is None:
         targets = {margin: flattened(cells, margin) for margin in MARGINS}
-    raked = rake(cells, targets, rounds, tolerance)
+    if calibrated:
+        rounds, tolerance = max(rounds, CALIBRATED_ROUNDS), max(tolerance, CALIBRATED_TOLERANCE)
+        raked = rake(cells, targets, rounds, tolerance, 1 / kept_share)
+    else:
+        raked = rake(cells, targets, rounds, tolerance)
     drawn = F.least(F.lit(1.0), F.lit(kept_share) * F.col("weight") / F.col("tokens"))
     return raked.withColumn(
         "probability", F.when(F.col("tokens") > 0, drawn).otherwise(F.lit(kept_share))
@@ -189,8 +247,8 @@ def drawn_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability and draw of every document for flattened sources, languages and topics."""
-    mixed = mixed_documents(table(spark, sf_dir, "documents"))
+    """Probability and draw of every document for flattened sources, languages and topics, cut as in the SQL."""
+    mixed = mixed_documents(table(spark, sf_dir, "documents"), calibrated=False)
     return mixed.withColumn("probability", F.round("probability", 9))
 
 

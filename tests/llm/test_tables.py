@@ -37,6 +37,28 @@ def test_raking_reaches_the_targets(spark):
         assert all(math.isclose(shares[v], wanted[v], rel_tol=1e-4) for v in wanted)
 
 
+def test_saturated_cells_hand_on_their_tokens(spark):
+    """Rare sources and languages want more than they have; the draw still has its size and the other margins."""
+    rows = [
+        (k, "word " * (20 + k % 7), "de" if k % 11 == 0 else "en", "rare" if k % 29 == 0 else "abc"[k % 3])
+        for k in range(3_000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    cells = probabilities(described(docs), kept_share=0.5).collect()
+    assert all(0 <= c["probability"] <= 1 for c in cells)
+    total = sum(c["tokens"] for c in cells)
+    drawn = lambda name, value: sum(
+        c["probability"] * c["tokens"] for c in cells if c[name] == value
+    )
+    assert math.isclose(sum(c["probability"] * c["tokens"] for c in cells), total / 2, rel_tol=1e-3)
+    # All of what is rare, and alike of the rest.
+    for name, value in (("lang", "de"), ("source", "rare")):
+        assert math.isclose(drawn(name, value), sum(c["tokens"] for c in cells if c[name] == value), rel_tol=1e-3)
+    assert math.isclose(drawn("source", "a"), drawn("source", "b"), rel_tol=0.02)
+    kept = mixed_documents(docs).filter("drawn").agg(F.sum("tokens")).first()[0]
+    assert abs(kept / total - 0.5) < 0.05
+
+
 def test_mixing_edges(edge_docs, no_docs):
     mixed = mixed_documents(edge_docs)
     rows = mixed.collect()
