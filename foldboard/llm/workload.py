@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from foldboard.llm import (
     decontamination,
+    hard_negatives,
     html_text,
     lattice_lm,
     line_dedup,
@@ -27,6 +28,7 @@ MODULES = (
     lattice_lm,
     quality_rules,
     decontamination,
+    hard_negatives,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
