@@ -24,9 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldboard.llm.best import ANY_SCORE, NO_ID, Best, first_rows, known
 from foldboard.llm.common import col, table
 from foldboard.scratch import written
 
@@ -40,10 +41,7 @@ PLANES = 8
 LEVELS = 4
 #: What one block of anchors holds in bytes of its vectors.
 BLOCK_BYTES = 8 << 20
-#: Buckets in which the best rows of all tasks are thinned out before they meet.
-BUCKETS = 32
-NO_ID = np.iinfo(np.int64).max
-ANY_SCORE = 2**62
+KEYS = ["anchor", "pos"]
 _BEST = ("anchor", "pos", "row", "id", "score")
 
 
@@ -192,26 +190,6 @@ class Block:
         return of
 
 
-class Best:
-    """The first ``k`` rows by falling score, then id, then row number."""
-
-    def __init__(self, k: int):
-        self.k = k
-        self.found = np.zeros((0, 3), "int64")
-        self.bar = -ANY_SCORE
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        if len(scores) > self.k:
-            last = np.partition(scores, len(scores) - self.k)[-self.k]
-            keep = scores >= last
-            scores, ids, rows = scores[keep], ids[keep], rows[keep]
-        every = np.concatenate([self.found, np.stack([scores, ids, rows], axis=1)])
-        order = np.lexsort((every[:, 2], every[:, 1], -every[:, 0]))[: self.k]
-        self.found = every[order]
-        if len(order) == self.k:
-            self.bar = int(self.found[-1, 0])
-
-
 def add_positives(block: Block, anchor: Anchor, best: list[Best]) -> None:
     of = np.nonzero((block.labels == anchor.label) & (block.rows != anchor.row))[0]
     of = block.surviving(anchor, of, [(best[0].bar, ANY_SCORE)])
@@ -255,19 +233,6 @@ def best_rows(
     return fields.mapInArrow(search, ", ".join(f"{n} long" for n in _BEST))
 
 
-def first_rows(found: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` per anchor and positive with their rank, thinned out in buckets first."""
-    order = [F.desc("score"), "id", "row"]
-    bucket = F.pmod(F.xxhash64("row"), F.lit(BUCKETS))
-    thin = (
-        found.withColumn("bucket", bucket)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("anchor", "pos", "bucket").orderBy(*order)))
-        .filter(F.col("rank") <= k)
-    )
-    rank = F.row_number().over(Window.partitionBy("anchor", "pos").orderBy(*order))
-    return thin.withColumn("rank", rank).filter(F.col("rank") <= k).select(*_BEST, "rank")
-
-
 def hard_negatives(
     vectors: DataFrame,
     anchor: Column,
@@ -304,7 +269,7 @@ def hard_negatives(
             for r in asked.filter(part == number).collect()
         ]
         near = best_rows(coded, [as_anchor(*a, [], turn) for a in own], positives, add_positives)
-        near = written(first_rows(near, positives), "positives")
+        near = written(first_rows(near, KEYS, "row", positives), "positives")
         ranges: dict[int, list[tuple[int, int, int]]] = {}
         for r in near.collect():
             least, most = -(-least_percent * r["score"] // 100), most_percent * r["score"] // 100
@@ -316,7 +281,7 @@ def hard_negatives(
             negatives,
             add_negatives,
         )
-        parts.append((near, written(first_rows(far, negatives), "negatives")))
+        parts.append((near, written(first_rows(far, KEYS, "row", negatives), "negatives")))
     result = None
     for near, far in parts:
         positive = near.select(
@@ -325,10 +290,9 @@ def hard_negatives(
             F.col("id").alias("positive"),
             F.col("score").alias("positive_score"),
         )
-        joined = far.join(positive, ["anchor", "pos"])
+        joined = far.join(positive, KEYS)
         result = joined if result is None else result.unionByName(joined)
     own_id = asked.select(F.col("row").alias("anchor"), F.col("id").alias("anchor_id"))
-    known = lambda name: F.when(F.col(name) != int(NO_ID), F.col(name))
     return result.join(own_id, "anchor").select(
         "anchor_id",
         known("positive").alias("positive_id"),

@@ -8,6 +8,7 @@ from foldboard.llm import (
     hard_negatives,
     html_text,
     lattice_lm,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
@@ -28,6 +29,7 @@ MODULES = (
     lattice_lm,
     quality_rules,
     decontamination,
+    lexical_search,
     hard_negatives,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
