@@ -12,6 +12,7 @@ from foldboard.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    packing,
     quality_classifier,
     quality_rules,
     sharding,
@@ -30,6 +31,7 @@ MODULES = (
     quality_rules,
     decontamination,
     lexical_search,
+    packing,
     hard_negatives,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
