@@ -170,7 +170,14 @@ def kth_largest(values: np.ndarray, k: int) -> int:
 
 
 def shard(
-    ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, terms: np.ndarray, counts: np.ndarray, stats: Statistics, asked: Asked, k: int
+    ids: np.ndarray,
+    sizes: np.ndarray,
+    lengths: np.ndarray,
+    terms: np.ndarray,
+    counts: np.ndarray,
+    stats: Statistics,
+    asked: Asked,
+    k: int,
 ) -> list[bytes]:
     """Lists of terms and pairs of some documents, in the order of _LISTS and _PAIRS."""
     m = 50 + 50 * sizes * stats.documents // stats.tokens
@@ -206,7 +213,7 @@ def shard(
     return [p.tobytes() for p in parts]
 
 
-def index(rows: DataFrame, stats: Statistics, asked: Asked, k: int, postings: int = SHARD_POSTINGS) -> str:
+def index(rows: DataFrame, stats: Statistics, asked: Asked, k: int, postings: int) -> str:
     """Path of the index, parted by the wave in which a shard is searched."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((stats, asked))
@@ -341,6 +348,7 @@ def ranked(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    shard_postings: int = SHARD_POSTINGS,
 ) -> DataFrame:
     """The ``k`` highest-scoring documents of every query: item_id, rank (from 1), doc_id, score.
 
@@ -365,7 +373,7 @@ def ranked(
         if not stats.documents:
             continue
         asked = paired(block, stats.weights())
-        path = index(rows, stats, asked, k)
+        path = index(rows, stats, asked, k, shard_postings)
         first = written(first_rows(search(spark, path, 0, asked, {}, k), ["item"], "id", k), "first-wave")
         bars = {r["item"]: r["score"] for r in first.filter(F.col("rank") == k).collect()}
         rest = search(spark, path, 1, asked, bars, k)

@@ -8,7 +8,7 @@ dissolves the worst-filled bins and some others. Every lot is evolved by several
 after an epoch the best packing of each island migrates to the next one, and lots that reached the lower bound of bins rest.
 
 What a lot cannot fill would cost up to one sequence per lot. So bins with room for more than SPARE tokens are opened
-again and their pieces dealt into the lots of a next round, as long as that leaves less than half of the pieces.
+again and their pieces dealt into the lots of a next round, as long as rounds leave at most three quarters of the pieces.
 """
 
 from __future__ import annotations
@@ -382,7 +382,7 @@ def sequences(
         layout = packed_lots(rest, lots, capacity)
         closed = F.col("load") >= capacity - SPARE
         before, left = left, layout.filter(~closed).count()
-        last = lots == 1 or 2 * left > before
+        last = lots == 1 or 4 * left > 3 * before
         number = (F.col("lot") * (1 << 26) + F.lit(level << 20) + F.col("bin")) * 2 + 1
         done = layout if last else layout.filter(closed)
         placed.append(done.select("row", number.alias("sequence_id"), F.col("begin").alias("offset")))

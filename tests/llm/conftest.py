@@ -35,9 +35,9 @@ def no_docs(edge_docs):
     return edge_docs.limit(0)
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def sparse(spark):
-    """Operators of many small jobs run with few partitions here."""
+    """Operators of many small jobs run with few partitions in a module that asks for it, and in no other."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
