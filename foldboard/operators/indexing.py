@@ -6,6 +6,8 @@ fitting share the extra index ``number of labels``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import StringIndexerModel
@@ -38,18 +40,21 @@ HEAD_BYTES = 16 * 1024 * 1024
 HEAVY = 1_000
 HEAVY_BYTES = 1_024
 
+# Labels of a column, the rows that have one, and the sums of their indices and of the squares of these.
+IndexSums = tuple[int, int, float, float]
+
 
-def count_labels(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(position, value, n)`` for all columns in one pass.
+def count_labels(df: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    """``(*by, position, value, n)`` for all columns in one pass.
 
     Counting happens before the shuffle, so a value that fills a third of the
     table arrives as one row per map task.
     """
     values = F.array(*[F.col(c) for c in columns])
     return (
-        df.select(F.posexplode(values).alias("position", "value"))
+        df.select(*by, F.posexplode(values).alias("position", "value"))
         .filter(F.col("value").isNotNull())
-        .groupBy("position", "value")
+        .groupBy(*by, "position", "value")
         .agg(F.count("*").alias("n"))
     )
 
@@ -105,6 +110,32 @@ def head_sizes(table: DataFrame, most: int, most_bytes: int) -> dict[int, int]:
     }
 
 
+def label_sizes(labels: DataFrame) -> dict[int, tuple[int, int]]:
+    """Per position, how many labels (position, value) there are and the bytes they take."""
+    return {
+        row["position"]: (row["labels"], row["bytes"])
+        for row in labels.groupBy("position")
+        .agg(F.count("*").alias("labels"), F.sum(F.octet_length("value")).alias("bytes"))
+        .collect()
+    }
+
+
+def table_sums(table: DataFrame) -> dict[int, IndexSums]:
+    """:data:`IndexSums` per position of a label table."""
+    idx = F.col("idx").cast("double")
+    return {
+        row["position"]: (row["labels"], row["rows"], row["total"], row["squares"])
+        for row in table.groupBy("position")
+        .agg(
+            F.count("*").alias("labels"),
+            F.sum("n").alias("rows"),
+            F.sum(idx * F.col("n")).alias("total"),
+            F.sum(idx * idx * F.col("n")).alias("squares"),
+        )
+        .collect()
+    }
+
+
 def _running_start(sizes: DataFrame, key: str) -> DataFrame:
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
@@ -147,15 +178,14 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame):
+        return self.fit_counts(count_labels(dataset, self.getInputCols()))[0]
+
+    def fit_counts(self, counts: DataFrame) -> tuple[Model, dict[int, IndexSums]]:
+        """The model for labels counted before (position, value, n), and what its indices add up to per position."""
         inputs, outputs = self.getInputCols(), self.getOutputCols()
-        counts = count_labels(dataset, inputs).persist()
+        counts = counts.persist()
         try:
-            sizes = {
-                row["position"]: (row["labels"], row["bytes"])
-                for row in counts.groupBy("position")
-                .agg(F.count("*").alias("labels"), F.sum(F.octet_length("value")).alias("bytes"))
-                .collect()
-            }
+            sizes = label_sizes(counts)
             listed, tabled = [], []
             labels_left = self.getOrDefault(self.maxLabels)
             bytes_left = self.getOrDefault(self.maxLabelBytes)
@@ -169,20 +199,12 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
             listed.sort()
             tabled.sort()
 
-            models = []
+            models, sums = [], {}
             if listed:
-                labels = {position: [] for position in listed}
                 rows = counts.filter(F.col("position").isin(listed)).collect()
-                for row in sorted(rows, key=lambda row: (-row["n"], row["value"])):
-                    labels[row["position"]].append(row["value"])
-                # One model per column: label lists of unequal length would be padded
-                # to one Java matrix.
-                models += [
-                    StringIndexerModel.from_labels(
-                        labels[p], inputCol=inputs[p], outputCol=outputs[p], handleInvalid="keep"
-                    )
-                    for p in listed
-                ]
+                models, sums = self._listed(
+                    listed, [(row["position"], row["value"], row["n"]) for row in rows]
+                )
             if tabled:
                 table = rank_labels(counts.filter(F.col("position").isin(tabled)))
                 heads = head_sizes(
@@ -198,10 +220,72 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
                         headSizes=[heads.get(p, 0) for p in tabled],
                     )
                 )
-            return models[0] if len(models) == 1 else PipelineModel(models)
+                sums |= table_sums(table)
+            return models[0] if len(models) == 1 else PipelineModel(models), sums
         finally:
             counts.unpersist()
 
+    def fit_leaving_out(
+        self,
+        counts: DataFrame,
+        part: str,
+        left_out: Sequence[int | None],
+        together: Callable[[list[Callable]], list],
+    ) -> list[tuple[Model, dict[int, IndexSums]]]:
+        """:meth:`fit_counts` without each of ``left_out`` (None: of all parts); ``counts`` has a column ``part``.
+
+        Labels that fit the limits in all parts fit them in any choice of parts: they are collected once.
+        """
+        positions = list(range(len(self.getInputCols())))
+        sizes = label_sizes(counts.select("position", "value").distinct())
+        fits = sum(n for n, _ in sizes.values()) <= self.getOrDefault(self.maxLabels)
+        if fits and sum(size for _, size in sizes.values()) <= self.getOrDefault(self.maxLabelBytes):
+            rows = counts.collect()
+            results = []
+            for missing in left_out:
+                kept: dict[tuple[int, str], int] = {}
+                for row in rows:
+                    if row[part] != missing:
+                        key = row["position"], row["value"]
+                        kept[key] = kept.get(key, 0) + row["n"]
+                models, sums = self._listed(positions, [(*key, n) for key, n in kept.items()])
+                results.append((models[0] if len(models) == 1 else PipelineModel(models), sums))
+            return results
+
+        def fitted(missing: int | None) -> tuple[Model, dict[int, IndexSums]]:
+            own = counts if missing is None else counts.filter(F.col(part) != missing)
+            return self.fit_counts(own.groupBy("position", "value").agg(F.sum("n").alias("n")))
+
+        return together([lambda missing=missing: fitted(missing) for missing in left_out])
+
+    def _listed(
+        self, positions: list[int], counted: list[tuple[int, str, int]]
+    ) -> tuple[list[Model], dict[int, IndexSums]]:
+        """A model per column: label lists of unequal length would be padded to one Java matrix."""
+        inputs, outputs = self.getInputCols(), self.getOutputCols()
+        by_position: dict[int, list[tuple[str, int]]] = {position: [] for position in positions}
+        for position, value, n in sorted(counted, key=lambda row: (-row[2], row[1])):
+            by_position[position].append((value, n))
+        models = [
+            StringIndexerModel.from_labels(
+                [value for value, _ in by_position[p]],
+                inputCol=inputs[p],
+                outputCol=outputs[p],
+                handleInvalid="keep",
+            )
+            for p in positions
+        ]
+        sums = {
+            p: (
+                len(own),
+                sum(n for _, n in own),
+                float(sum(idx * n for idx, (_, n) in enumerate(own))),
+                float(sum(idx * idx * n for idx, (_, n) in enumerate(own))),
+            )
+            for p, own in by_position.items()
+        }
+        return models, sums
+
 
 class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     """Looks indices up in a label table of any size.

@@ -1,8 +1,8 @@
 """Cross-validated grid search over several families at once.
 
 Gives the numbers of a cross-validator per family around the whole pipeline,
-but preprocessing is fitted once per fold instead of once per fit (it does not
-depend on model parameters), grid points share fits where one contains the
+but preprocessing is fitted once for all folds instead of once per fit (it does not
+depend on model parameters, and its statistics add up over folds), grid points share fits where one contains the
 other, and all models of a fold are scored in a single pass over its rows.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from foldboard.functions.metrics import evaluate
 from foldboard.operators.features import FEATURES
+from foldboard.operators.fold_statistics import fit_per_fold
 from foldboard.operators.split import NUM_FOLDS
 from foldboard.operators.weighted_average import vector_size
 from foldboard.plans.families import Family
@@ -72,16 +73,12 @@ def tune(
     many times and should be persisted.
     """
     spark = train.sparkSession
-    # Also fills the cache of a persisted table before the fits compete for it.
-    filled = {row[fold] for row in train.groupBy(fold).agg(F.count("*")).collect()}
-    if filled != set(range(num_folds)):
-        raise ValueError(f"a cross-validation fold has no rows: only {sorted(filled)} of {num_folds} do")
-
-    # Preprocessing for every fold, and for all rows at the end.
-    rests = [train.filter(F.col(fold) != number) for number in range(num_folds)]
-    *fold_preps, whole_prep = run_parallel(
-        spark, [lambda rows=rows: prep.copy().fit(rows) for rows in [*rests, train]], parallelism
+    # Preprocessing for every fold, and for all rows at the end. The first pass, a single job, also fills
+    # the cache of a persisted table before the fits compete for it.
+    *fold_preps, whole_prep = fit_per_fold(
+        prep, train, fold, num_folds, lambda tasks: run_parallel(spark, tasks, parallelism)
     )
+    rests = [train.filter(F.col(fold) != number) for number in range(num_folds)]
 
     # Folds take turns: only one of them has its prepared rows in storage at a time,
     # and the fits of one fold keep all threads busy.
