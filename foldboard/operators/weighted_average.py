@@ -19,12 +19,14 @@ every prediction is therefore the mean.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import StorageLevel, TaskContext, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, Vector, Vectors
@@ -36,6 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldboard.functions.moments import LabelMoments, TermMoments, correlation, moments
+from foldboard.operators.tiles import CELLS, cell_batch, combined, few_tasks
+from foldboard.scratch import written
 
 # Fixed values of the method.
 SMALLEST_STD = 1e-8
@@ -45,8 +49,12 @@ KEPT_INTERACTION = 0.05
 # Predictions with at most this many terms are written out and compiled; longer
 # ones fold over arrays.
 WIDEST_UNROLLED = 64
+# Pairs are summed up in tiles of so many features by as many.
+TILE = 64
 # Cells of the matrices that a task sums up at a time: five matrices of 8-byte numbers.
 MATRIX_CELLS = 2_000_000
+# The most pairs that a model keeps: 16 bytes each on their way to the driver.
+MOST_PAIRS = 4_000_000
 
 
 class _WeightedAverageParams(HasLabelCol, HasFeaturesCol, HasPredictionCol):
@@ -244,20 +252,13 @@ def _fit_stored(
         raise ValueError(f"Labels MUST NOT be Null or NaN: {about_label.missing} of {about_label.count}")
 
     weights = [_shrunk(terms, about_label, e.getRegularization()) for e in estimators]
-    tried = [
-        _candidates(w) if e.getUseInteractions() else [] for e, w in zip(estimators, weights)
-    ]
-    # Smaller shrinkage tries more pairs, so one pass covers all grid points.
-    pairs = sorted({pair for candidates in tried for pair in candidates})
-    pair_correlation = _pair_correlations(rows, pairs, terms, about_label)
+    tried = [_strong(w) if e.getUseInteractions() else [] for e, w in zip(estimators, weights)]
+    # Smaller shrinkage tries more features, all of those that larger ones try, so one pass covers all grid points.
+    pairs = _pair_correlations(rows, max(tried, key=len), terms, about_label)
 
     models = []
-    for estimator, own, candidates in zip(estimators, weights, tried):
-        kept = {
-            pair: pair_correlation[pair] / 2
-            for pair in candidates
-            if abs(pair_correlation.get(pair, 0.0)) > KEPT_INTERACTION
-        }
+    for estimator, own, strong in zip(estimators, weights, tried):
+        kept = {pair: r / 2 for pair, r in pairs.among(strong)}
         total = sum(map(abs, own)) + sum(map(abs, kept.values()))
         scale = total if total > SMALLEST_STD else 1.0
         models.append(
@@ -295,105 +296,122 @@ def _shrunk(terms: list[TermMoments], label: LabelMoments, regularization: float
     return weights
 
 
-def _candidates(weights: list[float]) -> list[tuple[int, int]]:
-    strong = [i for i, w in enumerate(weights) if abs(w) > STRONG_FEATURE]
-    return list(combinations(strong, 2))
+def _strong(weights: list[float]) -> list[int]:
+    """Features whose pairs are tried."""
+    return [i for i, w in enumerate(weights) if abs(w) > STRONG_FEATURE]
+
+
+@dataclass(frozen=True)
+class _Pairs:
+    """Pairs by both ends, in rising order, and the correlation of each product with the label."""
+
+    first: np.ndarray
+    second: np.ndarray
+    r: np.ndarray
+
+    def among(self, features: list[int]) -> Iterator[tuple[tuple[int, int], float]]:
+        """Pairs of these ``features`` that are worth keeping."""
+        chosen = np.isin(self.first, features) & np.isin(self.second, features)
+        chosen &= np.abs(self.r) > KEPT_INTERACTION
+        for i, j, r in zip(self.first[chosen], self.second[chosen], self.r[chosen]):
+            yield (int(i), int(j)), float(r)
 
 
 def _pair_correlations(
-    rows: DataFrame,
-    pairs: list[tuple[int, int]],
-    terms: list[TermMoments],
-    label: LabelMoments,
-) -> dict[tuple[int, int], float]:
-    """Correlation of the product of each pair with the label; of many pairs only those worth keeping."""
-    if not pairs:
-        return {}
-    if len(pairs) > WIDEST_UNROLLED:
-        return _correlations_by_matrices(rows, terms, label, sorted({e for pair in pairs for e in pair}))
+    rows: DataFrame, strong: list[int], terms: list[TermMoments], label: LabelMoments
+) -> _Pairs:
+    """Correlation with the label of the product of any two ``strong`` features; of many pairs only those worth keeping."""
+    n = len(strong) * (len(strong) - 1) // 2
+    if n > WIDEST_UNROLLED:
+        return _correlations_by_tiles(rows, terms, label, strong)
+    if not n:
+        return _Pairs(*np.zeros((3, 0)))
+    pairs = list(combinations(strong, 2))
     x = F.col("x")
     products = F.array(*[x[i] * x[j] for i, j in pairs])
     about_label, products_terms = moments(rows, products, len(pairs), F.col("y"))
-    return {
-        pair: correlation(term, about_label) if term.std > SMALLEST_STD else 0.0
-        for pair, term in zip(pairs, products_terms)
-    }
+    r = [correlation(t, about_label) if t.std > SMALLEST_STD else 0.0 for t in products_terms]
+    first, second = np.array(pairs).T
+    return _Pairs(first, second, np.array(r))
 
 
-def _correlations_by_matrices(
+def _correlations_by_tiles(
     rows: DataFrame, terms: list[TermMoments], label: LabelMoments, strong: list[int]
-) -> dict[tuple[int, int], float]:
+) -> _Pairs:
     """Correlations above KEPT_INTERACTION among all pairs of ``strong`` features.
 
-    With centred features c and label d, every batch of rows adds its C'C, (C*C)'(C*C), C'diag(d)C and (C*C)'C to
-    the sums of its task. A task ends with one row per pair, whatever its rows; Spark adds these up, turns
-    them into moments of the raw products and passes on only what is kept. Strips of features bound a task's sums.
+    With centred features c and label d, every batch of rows adds its C'C, (C*C)'(C*C), C'diag(d)C, (C*C)'C and
+    C'(C*C) to the sums of its task, in tiles of TILE by TILE pairs. Executors add the tiles up in a tree, turn them into
+    moments of the raw products and pass on what is kept, as one packed row per tile.
     """
-    found: dict[tuple[int, int], float] = {}
-    strip = max(1, MATRIX_CELLS // len(strong))
-    for begin in range(0, len(strong), strip):
-        sums = _strip_sums(rows, terms, label, strong, begin, min(begin + strip, len(strong)))
-        found |= {(r["i"], r["j"]): r["r"] for r in sums.collect()}
-    return found
-
-
-def _strip_sums(
-    rows: DataFrame,
-    terms: list[TermMoments],
-    label: LabelMoments,
-    strong: list[int],
-    begin: int,
-    end: int,
-) -> DataFrame:
+    places = np.array(strong)
+    blocks = [slice(b, min(b + TILE, len(strong))) for b in range(0, len(strong), TILE)]
+    tiles = [(i, j) for i in range(len(blocks)) for j in range(i, len(blocks))]
     means = np.array([terms[i].mean for i in strong])
-    label_mean, places = label.mean, np.array(strong)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = (end - begin, len(places))
-        own = slice(begin, end)
-        cc, cccc, cdc, ccc, back = (np.zeros(shape) for _ in range(5))
+    stds = np.array([terms[i].std for i in strong])
+    covariances = np.array([terms[i].covariance for i in strong])
+    label_mean, label_std, count = label.mean, label.std, float(label.count)
+
+    def sums_of(numbers: range) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            width = lambda block: blocks[block].stop - blocks[block].start
+            sums = {t: np.zeros((5, width(tiles[t][0]), width(tiles[t][1]))) for t in numbers}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                c = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+                c = c.reshape(batch.num_rows, -1)[:, places] - means
+                d = batch.column(1).to_numpy(zero_copy_only=False) - label_mean
+                square, scaled = c * c, c * d[:, None]
+                for number, total in sums.items():
+                    i, j = (blocks[block] for block in tiles[number])
+                    total[0] += c[:, i].T @ c[:, j]
+                    total[1] += square[:, i].T @ square[:, j]
+                    total[2] += scaled[:, i].T @ c[:, j]
+                    total[3] += square[:, i].T @ c[:, j]
+                    total[4] += c[:, i].T @ square[:, j]
+            part = TaskContext.get().partitionId()
+            for number, total in sums.items():
+                yield cell_batch(number, part, total)
+
+        return add
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            c = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            c = c.reshape(batch.num_rows, -1)[:, places] - means
-            d = batch.column(1).to_numpy(zero_copy_only=False) - label_mean
-            square = c * c
-            cc += c[:, own].T @ c
-            cccc += square[:, own].T @ square
-            cdc += (c[:, own] * d[:, None]).T @ c
-            ccc += square[:, own].T @ c
-            back += c[:, own].T @ square
-        first, second = np.nonzero(np.arange(begin, end)[:, None] < np.arange(len(places))[None, :])
-        columns = [places[first + begin], places[second]]
-        columns += [m[first, second] for m in (cc, cccc, cdc, ccc, back)]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=names)
-
-    names = ["i", "j", "cc", "cccc", "cdc", "ccc", "back"]
-    schema = "i long, j long, " + ", ".join(f"{n} double" for n in names[2:])
-    sums = rows.select("x", "y").mapInArrow(add, schema).groupBy("i", "j")
-    # Means of c_i c_j, its square, its product with d, c_i^2 c_j and c_i c_j^2.
-    q, qq, qd, qi, qj = (F.sum(n) / F.lit(float(label.count)) for n in names[2:])
-    own = rows.sparkSession.createDataFrame(
-        [(i, terms[i].mean, terms[i].std, terms[i].covariance) for i in strong],
-        "i long, m double, s double, v double",
-    )
-    left = own.toDF("i", "mi", "si", "vi")
-    right = own.toDF("j", "mj", "sj", "vj")
-    means = sums.agg(q.alias("q"), qq.alias("qq"), qd.alias("qd"), qi.alias("qi"), qj.alias("qj"))
-    # x_i x_j = c_i c_j + m_i c_j + m_j c_i + m_i m_j.
-    covariance = F.expr("qd + mi * vj + mj * vi")
-    variance = F.expr(
-        "qq - q * q + mi * mi * sj * sj + mj * mj * si * si + 2 * (mi * qj + mj * qi + mi * mj * q)"
-    )
-    deviation = F.sqrt(F.greatest(variance, F.lit(0.0)))
-    r = F.when(
-        (deviation > SMALLEST_STD) & F.lit(label.std > 0),
-        covariance / (deviation * F.lit(label.std or 1.0)),
-    ).otherwise(0.0)
-    return (
-        means.join(F.broadcast(left), "i")
-        .join(F.broadcast(right), "j")
-        .select("i", "j", r.alias("r"))
-        .filter(F.abs("r") > KEPT_INTERACTION)
-    )
+            for number, cell in zip(batch.column("tile").to_pylist(), batch.column("sums")):
+                i, j = (blocks[block] for block in tiles[number])
+                shape = 5, i.stop - i.start, j.stop - j.start
+                q, qq, qd, qi, qj = np.frombuffer(cell.as_py(), "float64").reshape(shape) / count
+                mi, mj, si, sj = means[i, None], means[None, j], stds[i, None], stds[None, j]
+                # x_i x_j = c_i c_j + m_i c_j + m_j c_i + m_i m_j.
+                covariance = qd + mi * covariances[None, j] + mj * covariances[i, None]
+                variance = qq - q * q + (mi * sj) ** 2 + (mj * si) ** 2 + 2 * (mi * qj + mj * qi + mi * mj * q)
+                deviation = np.sqrt(np.maximum(variance, 0))
+                usable = (deviation > SMALLEST_STD) & (label_std > 0)
+                r = np.divide(covariance, deviation * label_std, out=np.zeros_like(q), where=usable)
+                rising = np.arange(i.start, i.stop)[:, None] < np.arange(j.start, j.stop)[None, :]
+                a, b = np.nonzero(rising & (np.abs(r) > KEPT_INTERACTION))
+                found = places[a + i.start], places[b + j.start], r[a, b]
+                packed = [v.astype(kind).tobytes() for v, kind in zip(found, ("int32", "int32", "float64"))]
+                columns = [pa.array([len(a)], pa.int64()), *[pa.array([p], pa.binary()) for p in packed]]
+                yield pa.RecordBatch.from_arrays(columns, names=["n", "i", "j", "r"])
+
+    few, tasks = few_tasks(rows.select("x", "y"))
+    # What a task adds up at a time is bounded; further tiles take another pass over the stored rows.
+    per_pass = max(1, MATRIX_CELLS // TILE**2)
+    cells = [
+        few.mapInArrow(sums_of(range(begin, min(begin + per_pass, len(tiles)))), CELLS)
+        for begin in range(0, len(tiles), per_pass)
+    ]
+    # Union numbers the tasks of all passes on, of each tile there are still as many cells as tasks of one pass.
+    cells = reduce(DataFrame.unionByName, cells).withColumn("part", F.pmod("part", F.lit(tasks)))
+    found = written(combined(cells, tasks).mapInArrow(kept, "n long, i binary, j binary, r binary"), "pairs")
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if total > MOST_PAIRS:
+        raise ValueError(
+            f"{total} interactions are to be kept, a model holds {MOST_PAIRS}: fit without interactions or on fewer features"
+        )
+    parts = [[np.frombuffer(r[n], k) for n, k in zip("ijr", ("int32", "int32", "float64"))] for r in found.collect()]
+    first, second, r = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    order = np.lexsort((second, first))
+    return _Pairs(first[order], second[order], r[order])

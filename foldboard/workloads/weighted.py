@@ -62,12 +62,12 @@ def war_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-WIDE_ELEMENTS = 24
+WIDE_ELEMENTS = 64
 WIDE_LABEL = "(1 + embedding[{0}]) * (1 + embedding[{0}])"
 
 
 def war_wide_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of a vector whose elements all lean on one of them, so that all 276 are tried."""
+    """Pairs of a vector whose elements all lean on one of them, so that all 2,016 are tried."""
     element = F.col("embedding").cast("array<double>")
     leaning = [element[i] + 2 * element[0] for i in range(WIDE_ELEMENTS)]
     rows = table(spark, sf_dir, "embeddings").select(

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -11,6 +12,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from foldboard import WeightedAverageRegressionModel, WeightedAverageRegressor
 from foldboard.functions import moments as moments_module
 from foldboard.operators import weighted_average
+from foldboard.operators.tiles import CELLS, cell_batch, combined, few_tasks
 from foldboard.sources.registry import save_model, score
 
 # Two measures that rise together with a third, and one row that does not fit.
@@ -187,19 +189,91 @@ def test_model_survives_saving_alone_and_in_a_pipeline(spark, tmp_path):
     assert predictions(again, df) == predictions(model, df)
 
 
-def test_many_pairs_by_matrices_in_strips(spark, monkeypatch):
-    """Means far from zero, where products of raw features lose digits; several strips; labels far away."""
+@pytest.mark.parametrize("tile, cells", [(64, 2_000_000), (5, 80)])
+def test_many_pairs_by_tiles(spark, monkeypatch, tile, cells):
+    """Means far from zero, where products of raw features lose digits; one tile, and several in several passes; labels far away."""
     random = np.random.default_rng(11)
     base = random.normal(size=300)
     x = base[:, None] + random.normal(scale=0.5, size=(300, 16)) + np.linspace(-50, 80, 16)
     y = 1000 + base**2 + 4 * base
     weights, pairs, expected = by_hand(x, y)
-    monkeypatch.setattr(weighted_average, "MATRIX_CELLS", 80)
+    monkeypatch.setattr(weighted_average, "TILE", tile)
+    monkeypatch.setattr(weighted_average, "MATRIX_CELLS", cells)
     model = WeightedAverageRegressor().fit(frame(spark, x, y))
     assert {(i, j): v for i, j, v in model.interactions()} == pytest.approx(pairs, rel=1e-6)
+    assert list(model.interactions()) == sorted(model.interactions())
     assert model.getOrDefault(model.weights) == pytest.approx(list(weights), rel=1e-6)
 
 
+def test_all_elements_of_the_embeddings(spark, sf_dir):
+    """All pairs of 64 elements of real vectors against plain numpy."""
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("embedding").collect()
+    x = np.array([r["embedding"] for r in table], "float64")
+    x += 2 * x[:, :1]
+    y = (1 + x[:, 0] / 3) ** 2
+    weights, pairs, _ = by_hand(x, y)
+    model = WeightedAverageRegressor().fit(frame(spark, x, y))
+    assert len(pairs) > 500
+    assert {(i, j): v for i, j, v in model.interactions()} == pytest.approx(pairs, rel=1e-6)
+    assert model.getOrDefault(model.weights) == pytest.approx(list(weights), rel=1e-6)
+
+
+def shuffled_records(spark, df):
+    """Records that all exchanges of ``df`` wrote."""
+    node = df._jdf.queryExecution().executedPlan()
+    plans = [node.finalPhysicalPlan() if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else node]
+    found = []
+    while plans:
+        plan = plans.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "ShuffleQueryStageExec":
+            plan = plan.shuffle()
+            found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        children = plan.children()
+        plans += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_cells_do_not_follow_the_splits(spark):
+    """As many cells are shuffled for 500 input splits as for 10, one per tile and core, and they meet in a tree."""
+    sizes = []
+    for splits in (10, 500):
+        few, tasks = few_tasks(spark.range(5_000, numPartitions=splits))
+
+        def add(batches):
+            total = sum(b.column(0).to_numpy().sum() for b in batches)
+            for tile in range(3):
+                yield cell_batch(tile, TaskContext.get().partitionId(), np.array([total, tile]))
+
+        result = combined(few.mapInArrow(add, CELLS), tasks)
+        rows = result.collect()
+        assert sorted((r["tile"], *np.frombuffer(r["sums"])) for r in rows) == [
+            (t, 5_000 * 4_999 / 2, t * min(tasks, splits)) for t in range(3)
+        ]
+        sizes.append(shuffled_records(spark, result))
+    assert sizes[0] == sizes[1] == [3 * spark.sparkContext.defaultParallelism]
+
+
+def test_many_cells_meet_in_a_tree(spark):
+    def add(batches):
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                yield cell_batch(0, part, np.array([float(part)]))
+
+    result = combined(spark.range(100, numPartitions=7).mapInArrow(add, CELLS), 100)
+    assert [np.frombuffer(r["sums"])[0] for r in result.collect()] == [4950.0]
+    assert shuffled_records(spark, result) == [4, 100]
+
+
+def test_too_many_pairs_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(weighted_average, "MOST_PAIRS", 50)
+    random = np.random.default_rng(11)
+    base = random.normal(size=200)
+    x = base[:, None] + random.normal(scale=0.1, size=(200, 16))
+    with pytest.raises(ValueError, match="interactions are to be kept"):
+        WeightedAverageRegressor().fit(frame(spark, x, (3 + base) ** 2))
+
+
 def test_inputs_are_stored_between_the_two_passes(spark, monkeypatch):
     seen = []
     original = weighted_average._fit_stored
