@@ -7,6 +7,8 @@ fitting share the extra index ``number of labels``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
@@ -23,7 +25,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldboard.scratch import discard, scratch_path, written
@@ -288,12 +290,15 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsWrita
 
 
 class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
-    """Looks indices up in a label table of any size.
+    """Looks indices up in a label table of any size, for all its columns at once.
 
     The most frequent labels reach the rows by broadcast. So do the values, seen in
-    fitting or not, that fill more than one in ``HEAVY`` of the other rows: they are
-    counted first, combined before the shuffle. Only what is left is joined by
-    shuffle, so no value fills a task; all other rows stay where they are.
+    fitting or not, that fill more than one in ``HEAVY`` of the other cells of their column:
+    they are counted first, combined before the shuffle. Rows that need no more stay where
+    they are. What is left of the others becomes (row, column, value) cells, which are joined
+    with the labels in one shuffle, whatever the number of columns; no value fills a task.
+    A second one brings the cells of a row together again, with the row itself, which
+    travels with its first cell.
     """
 
     positions = Param(
@@ -326,60 +331,107 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         self._set(**{k: v for k, v in self._input_kwargs.items() if k != "table" and v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for column, output, position, labels, head_size in zip(
-            self.getInputCols(),
-            self.getOutputCols(),
-            self.getOrDefault(self.positions),
-            self.getOrDefault(self.labelCounts),
-            self.getOrDefault(self.headSizes),
-        ):
-            table = self.table.filter(F.col("position") == position)
-            dataset = self._index(dataset, column, output, table, labels, head_size)
-        return dataset
-
-    def _index(
-        self, df: DataFrame, column: str, output: str, table: DataFrame, labels: int, head_size: int
-    ) -> DataFrame:
-        columns = df.columns
-        head = table.filter(F.col("idx") < head_size).select(
-            F.col("value").alias("_head"), F.col("idx").alias("_head_idx")
-        )
-        placed = df.join(F.broadcast(head), F.col(column) == F.col("_head"), "left")
-        if head_size >= labels:
-            found = F.coalesce("_head_idx", F.lit(labels))
-            return placed.select(*columns, found.cast("double").alias(output))
-        tail = table.filter(F.col("idx") >= head_size).select(
-            F.col("value").alias("_tail"), F.col("idx").alias("_tail_idx")
-        )
-        heavy = self._heavy(placed.filter(F.col("_head_idx").isNull()), column, tail, labels)
-        placed = placed.join(F.broadcast(heavy), F.col(column) == F.col("_heavy"), "left")
-        known = F.coalesce("_head_idx", "_heavy_idx")
-        settled = known.isNotNull() | F.col(column).isNull()
-        here = placed.filter(settled).select(
-            *columns, F.coalesce(known, F.lit(labels)).cast("double").alias(output)
-        )
-        there = (
-            placed.filter(~settled)
-            .join(tail, F.col(column) == F.col("_tail"), "left")
-            .select(*columns, F.coalesce("_tail_idx", F.lit(labels)).cast("double").alias(output))
+        columns = dataset.columns
+        places = [
+            _Place(k, *own)
+            for k, own in enumerate(
+                zip(
+                    self.getInputCols(),
+                    self.getOutputCols(),
+                    self.getOrDefault(self.positions),
+                    self.getOrDefault(self.labelCounts),
+                    self.getOrDefault(self.headSizes),
+                )
+            )
+        ]
+        placed = dataset
+        for place in places:
+            head = self.table.filter(
+                (F.col("position") == place.position) & (F.col("idx") < place.head_size)
+            ).select(F.col("value").alias("_head"), F.col("idx").alias(place.found))
+            placed = placed.join(
+                F.broadcast(head), F.col(place.column) == F.col("_head"), "left"
+            ).drop("_head")
+        tailed = [place for place in places if place.head_size < place.labels]
+        if tailed:
+            heavy = self._heavy(placed, tailed)
+            for place in tailed:
+                own = heavy.filter(F.col("_k") == place.k).select("_value", "_idx")
+                known = F.coalesce(place.found, "_idx").alias(place.found)
+                others = [c for c in placed.columns if c != place.found]
+                placed = placed.join(
+                    F.broadcast(own), F.col(place.column) == F.col("_value"), "left"
+                ).select(*others, known)
+        open_cells = [place.is_open for place in tailed]
+        if not open_cells:
+            return placed.select(*columns, *[place.index(F.col(place.found)) for place in places])
+        waiting = reduce(lambda one, other: one | other, open_cells)
+        here = placed.filter(~waiting).select(*columns, *[p.index(F.col(p.found)) for p in places])
+        return here.union(self._looked_up(placed.filter(waiting), columns, places, tailed))
+
+    def _tail(self, places: list[_Place]) -> DataFrame:
+        """(_k, _value, _idx): the labels that are not broadcast."""
+        number = F.create_map(*[x for p in places for x in (F.lit(p.position), F.lit(p.k))])
+        size = F.create_map(*[x for p in places for x in (F.lit(p.position), F.lit(p.head_size))])
+        own = self.table.filter(F.col("position").isin([p.position for p in places]))
+        return own.filter(F.col("idx") >= size[F.col("position")]).select(
+            number[F.col("position")].alias("_k"), F.col("value").alias("_value"), F.col("idx").alias("_idx")
         )
-        return here.union(there)
 
-    @staticmethod
-    def _heavy(rows: DataFrame, column: str, tail: DataFrame, labels: int) -> DataFrame:
-        """``(_heavy, _heavy_idx)`` of the values that fill more than one in HEAVY of ``rows``."""
+    def _heavy(self, placed: DataFrame, tailed: list[_Place]) -> DataFrame:
+        """(_k, _value, _idx) of the values that fill more than one in HEAVY of the open cells of a column."""
         counts = (
-            rows.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_heavy"))
+            placed.select(F.explode(_cells(tailed)).alias("cell"))
+            .groupBy(F.col("cell.k").alias("_k"), F.col("cell.value").alias("_value"))
             .agg(F.count("*").alias("n"))
         )
-        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-        frequent = (F.col("n") * HEAVY > total) & (F.octet_length("_heavy") <= HEAVY_BYTES)
+        totals = counts.groupBy("_k").agg(F.sum("n").alias("total"))
+        frequent = (
+            counts.join(F.broadcast(totals), "_k")
+            .filter((F.col("n") * HEAVY > F.col("total")) & (F.octet_length("_value") <= HEAVY_BYTES))
+            .select("_k", "_value")
+        )
+        known = self._tail(tailed).join(F.broadcast(frequent), ["_k", "_value"])
+        labels = F.create_map(*[x for p in tailed for x in (F.lit(p.k), F.lit(p.labels))])
+        # The limit is never reached; it keeps the filters on _k above, so that all columns share one count.
         return (
-            counts.filter(frequent)
-            .join(tail, F.col("_heavy") == F.col("_tail"), "left")
-            .select("_heavy", F.coalesce("_tail_idx", F.lit(labels)).alias("_heavy_idx"))
+            frequent.join(F.broadcast(known), ["_k", "_value"], "left")
+            .select("_k", "_value", F.coalesce("_idx", labels[F.col("_k")]).alias("_idx"))
+            .limit(HEAVY * len(tailed))
+        )
+
+    def _looked_up(
+        self, waiting: DataFrame, columns: list[str], places: list[_Place], tailed: list[_Place]
+    ) -> DataFrame:
+        """Rows with open cells: joined with the labels by cell, and put together again."""
+        row = F.struct(*[F.col(c) for c in columns], *[F.col(p.found) for p in places])
+        # Numbered before its cells go separate ways.
+        numbered = waiting.select(
+            F.monotonically_increasing_id().alias("_row"), row.alias("_own"), _cells(tailed).alias("_cells")
         )
+        cells = numbered.select("_row", "_own", F.posexplode("_cells")).select(
+            "_row",
+            F.col("col.k").alias("_k"),
+            F.col("col.value").alias("_value"),
+            F.when(F.col("pos") == 0, F.col("_own")).alias("_own"),
+        )
+        found = cells.join(self._tail(tailed), ["_k", "_value"], "left")
+        if len(tailed) > 1:
+            entry = F.struct("_k", "_idx")
+            found = found.groupBy("_row").agg(
+                F.first("_own", ignorenulls=True).alias("_own"),
+                F.map_from_entries(F.collect_list(entry)).alias("_found"),
+            )
+        else:
+            found = found.withColumn("_found", F.create_map("_k", "_idx"))
+        of = {place.k for place in tailed}
+        indices = [
+            p.index(F.coalesce(F.col(f"_own.{p.found}"), F.try_element_at("_found", F.lit(p.k))))
+            if p.k in of
+            else p.index(F.col(f"_own.{p.found}"))
+            for p in places
+        ]
+        return found.select(*[F.col("_own").getField(c).alias(c) for c in columns], *indices)
 
     def write(self) -> MLWriter:
         return _LabelTableWriter(self)
@@ -389,6 +441,39 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         return _LabelTableReader(cls)
 
 
+@dataclass(frozen=True)
+class _Place:
+    """One column of a lookup."""
+
+    k: int
+    column: str
+    output: str
+    position: int
+    labels: int
+    head_size: int
+
+    @property
+    def found(self) -> str:
+        """Column of the index as far as it is known without a shuffle."""
+        return f"_found_{self.k}"
+
+    @property
+    def is_open(self) -> Column:
+        return F.col(self.column).isNotNull() & F.col(self.found).isNull()
+
+    def index(self, known: Column) -> Column:
+        """The index; missing and unseen values share the one after the last label."""
+        return F.coalesce(known, F.lit(self.labels)).cast("double").alias(self.output)
+
+
+def _cells(places: list[_Place]) -> Column:
+    """The open cells of a row: number of the column, and value."""
+    cells = [
+        F.when(p.is_open, F.struct(F.lit(p.k).alias("k"), F.col(p.column).alias("value"))) for p in places
+    ]
+    return F.filter(F.array(*cells), lambda cell: cell.isNotNull())
+
+
 class _LabelTableWriter(MLWriter):
     def __init__(self, instance: LabelTableModel):
         super().__init__()

@@ -49,6 +49,32 @@ def string_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexer.fit(train).transform(orders).select("o_orderkey", "customer_indexed")
 
 
+LINE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+def string_index_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three keys of line items as categories, all of them kept as tables and looked up together.
+
+    Some are missing, and some occur on the test side only.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        *[
+            F.when(F.col("l_linenumber") % (k + 3) != 0, F.concat(F.lit(c[2]), c)).alias(f"{c[2:]}_name")
+            for k, c in enumerate(LINE_KEYS)
+        ],
+    )
+    train = lines.filter(is_train(key_bucket("l_orderkey")))
+    names = [f"{c[2:]}_name" for c in LINE_KEYS]
+    indexer = CategoryIndexer(
+        inputCols=names, outputCols=[f"{n}_indexed" for n in names], maxLabels=0, headLabels=50
+    )
+    return indexer.fit(train).transform(lines).select(
+        "l_orderkey", "l_linenumber", *[f"{n}_indexed" for n in names]
+    )
+
+
 def string_index_unseen_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of orders, four in ten of them under one name that fitting has not seen."""
     orders = table(spark, sf_dir, "orders").select(
@@ -111,6 +137,7 @@ def assemble_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "string_index": string_index,
     "string_index_table": string_index_table,
+    "string_index_columns": string_index_columns,
     "string_index_unseen_hot": string_index_unseen_hot,
     "label_index": label_index,
     "impute_double": impute_double,
@@ -131,7 +158,34 @@ def _index_sql(rows: str, key: str, value: str, fit: str, output: str) -> str:
     """
 
 
+def _line_keys_sql() -> str:
+    """All three lookups, one per key."""
+    names = ", ".join(
+        f"CASE WHEN l_linenumber % {k + 3} <> 0 THEN '{c[2]}' || {c} END AS {c[2:]}_name"
+        for k, c in enumerate(LINE_KEYS)
+    )
+    parts = [
+        f"""{c[2:]}_labels AS (
+            SELECT {c[2:]}_name AS value, row_number() OVER (ORDER BY count(*) DESC, {c[2:]}_name) - 1 AS idx
+            FROM source WHERE {c[2:]}_name IS NOT NULL AND (l_orderkey * 2654435761) % 10007 < 0.8 * 10007
+            GROUP BY {c[2:]}_name)"""
+        for c in LINE_KEYS
+    ]
+    found = ", ".join(
+        f"CAST(coalesce({c[2:]}_labels.idx, (SELECT count(*) FROM {c[2:]}_labels)) AS DOUBLE) AS {c[2:]}_name_indexed"
+        for c in LINE_KEYS
+    )
+    joins = " ".join(
+        f"LEFT JOIN {c[2:]}_labels ON {c[2:]}_name = {c[2:]}_labels.value" for c in LINE_KEYS
+    )
+    return f"""
+        WITH source AS (SELECT l_orderkey, l_linenumber, {names} FROM lineitem), {", ".join(parts)}
+        SELECT l_orderkey, l_linenumber, {found} FROM source {joins}
+    """
+
+
 ORACLES = {
+    "string_index_columns": _line_keys_sql(),
     "string_index": _index_sql(
         "SELECT p_partkey, p_size, p_name FROM part",
         "p_partkey",

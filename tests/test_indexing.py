@@ -122,3 +122,67 @@ def test_columns_share_one_budget(hot):
     )
     lists = indexer.fit(hot).stages[0]
     assert lists.getInputCol() == "other"
+
+
+def exchanges(df):
+    """Exchanges by key in the plan that ran, as text."""
+    text = df._jdf.queryExecution().toString()
+    return text[text.index("== Physical Plan ==") :]
+
+
+def test_three_columns_share_one_shuffle_of_cells(spark):
+    """Rows and their cells are shuffled once each, not once per column, and are read as often for three columns as for one."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        seen = {}
+        for names in (["a"], ["a", "b", "c"]):
+            rows = spark.range(3_000, numPartitions=4).select(
+                "id",
+                *[F.concat(F.lit(n), (F.col("id") * (k + 7) % 1_499).cast("string")).alias(n) for k, n in enumerate(names)],
+            )
+            indexer = CategoryIndexer(
+                inputCols=names, outputCols=[f"{n}_i" for n in names], maxLabels=0, headLabels=3
+            )
+            model = indexer.fit(rows.filter("id % 10 > 0"))
+            counter = spark.sparkContext.accumulator(0)
+
+            def count(batches, counter=counter):
+                for batch in batches:
+                    counter.add(batch.num_rows)
+                    yield batch
+
+            found = model.transform(rows.mapInArrow(count, rows.schema))
+            assert found.count() == 3_000
+            plan = exchanges(found)
+            seen[len(names)] = plan.count("hashpartitioning(_row") , plan.count("hashpartitioning(_k"), counter.value
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert seen[1][0] == 0 and seen[3][0] == 1
+    # The cells, their labels, and the count of frequent values.
+    assert seen[3][1] == seen[1][1]
+    assert seen[3][2] == seen[1][2]
+
+
+def test_copies_of_rows_with_several_open_cells(spark):
+    """Equal rows stay apart, values that stand in several columns too; missing, unseen and known cells in one row."""
+    rows = spark.range(900).selectExpr(
+        "id % 300 AS id",
+        "IF(id % 7 > 0, concat('v', id % 101), NULL) AS a",
+        "concat('v', id % 57) AS b",
+        "IF(id % 300 < 20, 'new', concat('v', id % 91)) AS c",
+        "named_struct('x', id % 3, 'y', array(id % 2)) AS nested",
+    )
+    names = ["a", "b", "c"]
+    train = rows.filter("c <> 'new'")
+    made = dict(inputCols=names, outputCols=[f"{n}_i" for n in names])
+    table = CategoryIndexer(**made, maxLabels=0, headLabels=4).fit(train)
+    plain = StringIndexer(**made, handleInvalid="keep").fit(train)
+    columns = ["id", *names, *[f"{n}_i" for n in names], "nested"]
+    found, expected = (
+        sorted(map(str, m.transform(rows).select(*columns).collect())) for m in (table, plain)
+    )
+    assert found == expected and len(found) == 900
