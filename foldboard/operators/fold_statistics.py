@@ -18,7 +18,7 @@ from pyspark.ml.feature import Imputer, ImputerModel, StandardScaler, VectorAsse
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegralType, StructType
+from pyspark.sql.types import DoubleType, IntegralType, NumericType, StructType
 
 from foldboard.functions.moments import WIDEST_UNROLLED
 from foldboard.operators.indexing import CategoryIndexer, count_labels
@@ -99,7 +99,9 @@ def number_statistics(df: DataFrame, fold: str, columns: Sequence[str]) -> Numbe
 
 
 @dataclass(frozen=True)
-class _Stages:
+class Stages:
+    """Stages whose statistics add up."""
+
     indexer: CategoryIndexer | None
     imputer: Imputer | None
     assembler: VectorAssembler
@@ -122,7 +124,7 @@ class _Stages:
         return list(dict.fromkeys([*self.imputed.values(), *direct]))
 
 
-def _recognised(prep: Pipeline, schema: StructType) -> _Stages | None:
+def _recognised(prep: Pipeline, schema: StructType) -> Stages | None:
     """The stages, if the statistics here are all that they learn."""
     *first, assembler, scaler = [None, None, *prep.getStages()]
     first = [stage for stage in first if stage is not None]
@@ -134,26 +136,40 @@ def _recognised(prep: Pipeline, schema: StructType) -> _Stages | None:
         return None
     if imputer and (imputer.getStrategy() != "mean" or not math.isnan(imputer.getMissingValue())):
         return None
-    stages = _Stages(indexer, imputer, assembler, scaler)
+    stages = Stages(indexer, imputer, assembler, scaler)
     vectors = any(schema[c].dataType.typeName() in ("vector", "vectorudt") for c in stages.numbers if c in schema.names)
     known = all(c in schema.names for c in stages.numbers)
     return stages if known and not vectors and scaler.getInputCol() == assembler.getOutputCol() else None
 
 
+@dataclass(frozen=True)
+class FoldPreps:
+    """Models without each fold in turn, and last of all rows; if their stages are known, these and the means of numeric columns."""
+
+    models: list[PipelineModel]
+    stages: Stages | None
+    centres: dict[str, float]
+
+
 def fit_per_fold(
     prep: Pipeline,
     train: DataFrame,
     fold: str,
     num_folds: int,
     together: Callable[[list[Callable]], list] = lambda tasks: [task() for task in tasks],
-) -> list[PipelineModel]:
+    label: str | None = None,
+) -> FoldPreps:
     """``prep`` fitted without each fold in turn, and last on all rows.
 
     Two passes over ``train`` for all of them, if the stages are those of :func:`preprocessing`; other pipelines are fitted
-    one by one. ``together`` runs the fits, which then read statistics only. Raises if a fold has no rows.
+    one by one. ``together`` runs the fits, which then read statistics only. The mean of a numeric ``label`` is
+    counted along. Raises if a fold has no rows.
     """
     stages = _recognised(prep, train.schema)
-    numbers = number_statistics(train, fold, stages.numbers if stages else [])
+    counted = stages.numbers if stages else []
+    if label in train.schema.names and isinstance(train.schema[label].dataType, NumericType):
+        counted = [*counted, label] if label not in counted else counted
+    numbers = number_statistics(train, fold, counted)
     if set(numbers.rows) != set(range(num_folds)):
         raise ValueError(
             f"a cross-validation fold has no rows: only {sorted(numbers.rows)} of {num_folds} do"
@@ -161,36 +177,39 @@ def fit_per_fold(
     left_out = [*range(num_folds), None]
     if stages is None:
         rests = [train if f is None else train.filter(F.col(fold) != f) for f in left_out]
-        return together([lambda rows=rows: prep.copy().fit(rows) for rows in rests])
+        return FoldPreps(together([lambda rows=rows: prep.copy().fit(rows) for rows in rests]), None, {})
+    centres = {c: s.mean for c, s in zip(counted, numbers.without(None)[1])}
     if stages.indexer is None:
-        return together([lambda f=f: _fitted(train, stages, numbers.without(f), None) for f in left_out])
+        models = together([lambda f=f: _fitted(train, stages, numbers.without(f), None) for f in left_out])
+        return FoldPreps(models, stages, centres)
     counts = count_labels(train, stages.indexer.getInputCols(), fold).persist()
     try:
         # Indices of all sets first: most label sets are small enough to be told apart on the driver at once.
-        models = stages.indexer.fit_leaving_out(counts, fold, left_out, together)
-        return together(
+        indexed = stages.indexer.fit_leaving_out(counts, fold, left_out, together)
+        models = together(
             [
                 lambda f=f, model=model: _fitted(train, stages, numbers.without(f), model)
-                for f, model in zip(left_out, models)
+                for f, model in zip(left_out, indexed)
             ]
         )
+        return FoldPreps(models, stages, centres)
     finally:
         counts.unpersist()
 
 
 def _fitted(
     train: DataFrame,
-    stages: _Stages,
+    stages: Stages,
     numbers: tuple[int, list[Spread]],
     indexed: tuple[Transformer, dict[int, tuple[int, int, float, float]]] | None,
 ) -> PipelineModel:
     rows, spreads = numbers
     by_column = dict(zip(stages.numbers, spreads))
     models = [indexed[0]] if indexed else []
-    surrogates: dict[str, float] = {}
+    filled: dict[str, float] = {}
     if stages.imputer:
         imputer = _imputer(train, stages, by_column)
-        surrogates = _surrogates(imputer, train)
+        filled = surrogates(imputer, train)
         models.append(imputer)
     ends = []
     for name in stages.assembler.getInputCols():
@@ -201,14 +220,14 @@ def _fitted(
         elif name in stages.imputed:
             column = stages.imputed[name]
             own = by_column[column]
-            ends.append(own.merged(Spread(rows - own.n, surrogates[column])))
+            ends.append(own.merged(Spread(rows - own.n, filled[column])))
         else:
             ends.append(by_column[name])
     models += [stages.assembler, _scaler(train, stages, ends)]
     return PipelineModel(models)
 
 
-def _imputer(train: DataFrame, stages: _Stages, spreads: dict[str, Spread]) -> ImputerModel:
+def _imputer(train: DataFrame, stages: Stages, spreads: dict[str, Spread]) -> ImputerModel:
     """Fitted on one row that holds the means."""
     columns = stages.imputer.getInputCols()
     empty = [c for c in columns if not spreads[c].n]
@@ -221,7 +240,7 @@ def _imputer(train: DataFrame, stages: _Stages, spreads: dict[str, Spread]) -> I
     return stages.imputer.fit(train.sparkSession.createDataFrame([row], schema))
 
 
-def _surrogates(model: ImputerModel, train: DataFrame) -> dict[str, float]:
+def surrogates(model: ImputerModel, train: DataFrame) -> dict[str, float]:
     """What takes the place of a missing value, as the type of its column can hold it."""
     columns, names = model.getInputCols(), model.getOutputCols()
     types = [train.schema[c].dataType for c in columns]
@@ -239,7 +258,7 @@ def _surrogates(model: ImputerModel, train: DataFrame) -> dict[str, float]:
     return dict(zip(columns, held))
 
 
-def _scaler(train: DataFrame, stages: _Stages, spreads: list[Spread]) -> Transformer:
+def _scaler(train: DataFrame, stages: Stages, spreads: list[Spread]) -> Transformer:
     """Fitted on two vectors that have these means and deviations."""
     reach = [s.deviation / math.sqrt(2) for s in spreads]
     ends = [

@@ -31,6 +31,8 @@ class Family:
     staged_by: str | None = None
     # Params without effect on an estimator as it is set, given the vector size.
     ignores: Callable[[Estimator, int], set[str]] | None = None
+    # Penalty of a regression that sums of products suffice for, given the vector size; None for others.
+    ridge: Callable[[Estimator, int], float | None] | None = None
     # The estimator's fitMultiple shares passes over the data between grid points.
     joint_fit: bool = False
 
@@ -49,19 +51,28 @@ class Family:
 WIDEST_NORMAL_EQUATIONS = 4096
 
 
-def ignored_by_linear(estimator: LinearRegression, width: int) -> set[str]:
-    """Normal equations with a ridge are solved directly, whatever the iteration limit.
+def solved_directly(estimator: LinearRegression, width: int) -> bool:
+    """Whether normal equations with a ridge are solved.
 
     Decided by what the estimator is set to, its own defaults included.
     """
-    direct = (
+    return (
         width <= WIDEST_NORMAL_EQUATIONS
         and estimator.getLoss() == "squaredError"
         and estimator.getSolver() != "l-bfgs"
         and estimator.getRegParam() > 0
         and estimator.getElasticNetParam() == 0
     )
-    return {"maxIter"} if direct else set()
+
+
+def ignored_by_linear(estimator: LinearRegression, width: int) -> set[str]:
+    """Normal equations are solved whatever the iteration limit."""
+    return {"maxIter"} if solved_directly(estimator, width) else set()
+
+
+def ridge_penalty(estimator: LinearRegression, width: int) -> float | None:
+    plain = estimator.getStandardization() and estimator.getFitIntercept() and not estimator.isSet("weightCol")
+    return estimator.getRegParam() if plain and solved_directly(estimator, width) else None
 
 
 # Names and grids of the families below are those a run is expected to report.
@@ -72,6 +83,7 @@ LINEAR = Family(
     LinearRegression,
     {"regParam": [0.1, 0.01], "maxIter": [10, 100]},
     ignores=ignored_by_linear,
+    ridge=ridge_penalty,
 )
 FOREST = Family(
     "Random Forest",

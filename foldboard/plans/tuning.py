@@ -9,7 +9,7 @@ other, and all models of a fold are scored in a single pass over its rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from foldboard.functions.metrics import evaluate
 from foldboard.operators.features import FEATURES
-from foldboard.operators.fold_statistics import fit_per_fold
+from foldboard.operators.fold_statistics import FoldPreps, fit_per_fold
+from foldboard.operators.gram import ridge_errors
 from foldboard.operators.split import NUM_FOLDS
 from foldboard.operators.weighted_average import vector_size
-from foldboard.plans.families import Family
+from foldboard.plans.families import WIDEST_NORMAL_EQUATIONS, Family
 
 PARALLELISM = 3
 POOL = "spark.scheduler.pool"
@@ -75,9 +76,11 @@ def tune(
     spark = train.sparkSession
     # Preprocessing for every fold, and for all rows at the end. The first pass, a single job, also fills
     # the cache of a persisted table before the fits compete for it.
-    *fold_preps, whole_prep = fit_per_fold(
-        prep, train, fold, num_folds, lambda tasks: run_parallel(spark, tasks, parallelism)
+    preps = fit_per_fold(
+        prep, train, fold, num_folds, lambda tasks: run_parallel(spark, tasks, parallelism), label
     )
+    *fold_preps, whole_prep = preps.models
+    solved = _solved(train, fold, preps, families, label, features)
     rests = [train.filter(F.col(fold) != number) for number in range(num_folds)]
 
     # Folds take turns: only one of them has its prepared rows in storage at a time,
@@ -85,17 +88,29 @@ def tune(
     errors = []
     for number, (rest, fitted_prep) in enumerate(zip(rests, fold_preps)):
         held_out = train.filter(F.col(fold) == number)
-        with stored(_prepared(fitted_prep, rest, features, label)) as rows:
-            width = vector_size(rows, features)
-            fits = [f for family in families for f in _planned_fits(family, label, features, width)]
+        errors.append(solved[number])
+        prepared = _prepared(fitted_prep, rest, features, label)
+        fits = [
+            fit
+            for family in families
+            for fit in _planned_fits(
+                family,
+                label,
+                features,
+                lambda: vector_size(prepared, features),
+                {point for name, point in solved[number] if name == family.name},
+            )
+        ]
+        if not fits:
+            continue
+        with stored(prepared) as rows:
             # Longest first, so that no long fit is left over for the end.
             fits.sort(key=lambda fit: -max(map(_cost, fit.param_maps)))
             models = run_parallel(
                 spark, [lambda fit=fit: _fit(fit, rows) for fit in fits], parallelism
             )
-        # Prepared once for all models: boosted ensembles score them in passes of their own.
-        with stored(_prepared(fitted_prep, held_out, features, label)) as rows:
-            errors.append(_fold_errors(list(zip(fits, models)), rows, label))
+        held_out = _prepared(fitted_prep, held_out, features, label)
+        errors[-1] |= _fold_errors(list(zip(fits, models)), held_out, label, features)
 
     best = []
     for family in families:
@@ -179,18 +194,49 @@ def _columns(estimator: Estimator, label: str, features: str) -> Estimator:
     return estimator.setLabelCol(label).setFeaturesCol(features)
 
 
-def _planned_fits(family: Family, label: str, features: str, width: int) -> list[_Fit]:
-    """Fewest fits that answer all grid points of a family."""
+def _solved(
+    train: DataFrame, fold: str, preps: FoldPreps, families: Sequence[Family], label: str, features: str
+) -> list[dict[tuple[str, int], float]]:
+    """Per fold, the errors of the grid points that are ridge regressions, all from one pass; none if others need the fits."""
+    penalties: dict[tuple[str, int], float] = {}
+    for family in families:
+        if family.ridge:
+            estimator = _columns(family.estimator(), label, features)
+            width = len(preps.stages.assembler.getInputCols()) if preps.stages else WIDEST_NORMAL_EQUATIONS + 1
+            for point, params in enumerate(family.param_maps(estimator)):
+                penalty = family.ridge(estimator.copy(params), width)
+                if penalty is not None:
+                    penalties[family.name, point] = penalty
+    distinct = sorted(set(penalties.values()))
+    errors = ridge_errors(train, fold, preps, label, distinct)
+    if errors is None:
+        return [{} for _ in preps.models[:-1]]
+    return [{key: own[distinct.index(p)] for key, p in penalties.items()} for own in errors]
+
+
+def _planned_fits(
+    family: Family,
+    label: str,
+    features: str,
+    width: int | Callable[[], int],
+    solved: Collection[int] = (),
+) -> list[_Fit]:
+    """Fewest fits that answer all grid points of a family but the ``solved`` ones."""
     estimator = _columns(family.estimator(), label, features)
     maps = family.param_maps(estimator)
+    if len(solved) == len(maps):
+        return []
     if family.joint_fit:
         return [_Fit(family, estimator, maps, [{point: None} for point in range(len(maps))])]
     staged = family.staged_by if family.staged_by in family.grid else None
     # Points that differ only in ignored values or in the stage share a fit.
     groups: dict[tuple, dict[int, int | None]] = {}
     for point, params in enumerate(maps):
+        if point in solved:
+            continue
         values = {param.name: value for param, value in params.items()}
-        shared = family.ignores(estimator.copy(params), width) if family.ignores else set()
+        size = width() if family.ignores and callable(width) else width
+        shared = family.ignores(estimator.copy(params), size) if family.ignores else set()
         rest = tuple((n, v) for n, v in values.items() if n != staged and n not in shared)
         groups.setdefault(rest, {})[point] = values[staged] if staged else None
     return [
@@ -205,27 +251,51 @@ def _fit(fit: _Fit, rows: DataFrame) -> list[Model]:
 
 
 def _fold_errors(
-    fitted: list[tuple[_Fit, list[Model]]], held_out: DataFrame, label: str
+    fitted: list[tuple[_Fit, list[Model]]], held_out: DataFrame, label: str, features: str
 ) -> dict[tuple[str, int], float]:
-    """RMSE per (family, grid point) on the rows left out of a fold."""
-    errors = {}
-    whole = []
+    """RMSE per (family, grid point) on the rows left out of a fold: one pass and one aggregation for all models.
+
+    Of a boosted ensemble the first trees are the answer to a smaller limit, so its trees are scored one by one into an array,
+    and every limit adds up the beginning of it.
+    """
+    errors, whole = {}, []
+    scored, columns, keys = held_out, {}, {}
     for fit, models in fitted:
         for model, points in zip(models, fit.points):
-            keys = {(fit.family.name, point): stage for point, stage in points.items()}
-            if None in keys.values():
-                whole.append((model, keys))
-            else:
-                squares = model.evaluateEachIteration(held_out, "squared")
-                errors |= {key: math.sqrt(squares[stage - 1]) for key, stage in keys.items()}
-    scored, columns = with_predictions(held_out, {str(i): m for i, (m, _) in enumerate(whole)})
+            if None in points.values():
+                whole.append((model, [(fit.family.name, point) for point in points]))
+                continue
+            scored, sums = with_stages(scored, model, sorted(set(points.values())), features, f"trees_{len(keys)}")
+            for point, stage in points.items():
+                columns.setdefault(sums[stage], sums[stage])
+                keys.setdefault(sums[stage], []).append((fit.family.name, point))
+    scored, predictions = with_predictions(scored, {str(i): m for i, (m, _) in enumerate(whole)})
+    keys |= {str(i): own for i, (_, own) in enumerate(whole)}
+    columns |= predictions
     if columns:
         for row in evaluate(scored, label, columns).collect():
-            _, keys = whole[int(row["model"])]
-            errors |= dict.fromkeys(keys, row["rmse"])
+            errors |= dict.fromkeys(keys[row["model"]], row["rmse"])
     return errors
 
 
+def with_stages(
+    df: DataFrame, ensemble: Model, stages: Sequence[int], features: str, name: str
+) -> tuple[DataFrame, dict[int, str]]:
+    """``df`` with the predictions of the first ``stages`` trees of an ensemble, and the columns' names by stage."""
+    own, outputs = df.columns, []
+    for number, tree in enumerate(ensemble.trees[: max(stages)]):
+        outputs.append(f"{name}_{number}")
+        df = tree.copy({tree.featuresCol: features, tree.predictionCol: outputs[-1]}).transform(df)
+    weighted = [F.lit(float(w)) * F.col(c) for w, c in zip(ensemble.treeWeights, outputs)]
+    df = df.select(*own, F.array(*weighted).alias(name))
+    sums = {stage: f"{name}_first_{stage}" for stage in stages}
+    added = [
+        F.aggregate(F.slice(name, 1, stage), F.lit(0.0), lambda total, x: total + x).alias(column)
+        for stage, column in sums.items()
+    ]
+    return df.select(*own, *added), sums
+
+
 def with_predictions(
     df: DataFrame, models: dict[str, Model]
 ) -> tuple[DataFrame, dict[str, str]]:

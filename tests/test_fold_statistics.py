@@ -56,7 +56,7 @@ def assert_same(found, plain, rows, plan):
 @pytest.mark.parametrize("limits", [{}, {"maxLabels": 12, "headLabels": 4}], ids=["lists", "tables"])
 def test_same_models_as_fitted_on_the_rows(rows, limits):
     prep, plan = stages_for(rows, **limits)
-    found = fit_per_fold(prep, rows, "fold", FOLDS)
+    found = fit_per_fold(prep, rows, "fold", FOLDS).models
     rests = [rows.filter(F.col("fold") != f) for f in range(FOLDS)]
     plain = [prep.copy().fit(rest) for rest in [*rests, rows]]
     assert_same(found, plain, rows, plan)
@@ -98,7 +98,7 @@ def test_many_columns(spark, rows):
     wide = rows.select("id", "fold", "target", *[(F.col("tenths") * (k + 1) + k).alias(f"c{k}") for k in range(12)])
     plan = plan_features([f"c{k}" for k in range(12)], "target", {f"c{k}": "numerical" for k in range(12)}, wide.schema)
     prep = preprocessing(plan)
-    found = fit_per_fold(prep, wide, "fold", FOLDS)
+    found = fit_per_fold(prep, wide, "fold", FOLDS).models
     plain = [prep.copy().fit(wide.filter(F.col("fold") != f)) for f in range(FOLDS)]
     assert_same(found, [*plain, prep.copy().fit(wide)], wide, plan)
 
@@ -110,7 +110,7 @@ def test_other_pipelines_are_fitted_on_the_rows(rows):
         Pipeline(stages=[imputer, assembler, StandardScaler(inputCol="raw", outputCol=FEATURES)]),
         Pipeline(stages=[imputer, assembler, MinMaxScaler(inputCol="raw", outputCol=FEATURES)]),
     ):
-        found = fit_per_fold(prep, rows, "fold", FOLDS)
+        found = fit_per_fold(prep, rows, "fold", FOLDS).models
         plain = prep.fit(rows.filter("fold <> 1"))
         pairs = [
             [r[0] for r in m.transform(rows).select(vector_to_array(FEATURES)).collect()] for m in (found[1], plain)
