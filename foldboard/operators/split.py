@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType, UserDefinedType, VariantType
+
+from foldboard.scratch import written
 
 # Number of buckets and the multipliers of the key columns.
 BUCKETS = 10007
@@ -14,6 +20,8 @@ DEFAULT_RATIO = 0.8
 DEFAULT_SEED = 42
 FOLD_SEED = DEFAULT_SEED + 7919
 NUM_FOLDS = 3
+# Random numbers of rows are eight hexadecimal digits.
+DRAWS = 1 << 32
 
 
 def key_bucket(*keys: Column | str) -> Column:
@@ -54,10 +62,9 @@ def fold_number(bucket: Column, num_folds: int = NUM_FOLDS) -> Column:
 
 
 def random_fold(num_folds: int = NUM_FOLDS, seed: int = FOLD_SEED) -> Column:
-    """Seeded random fold of a row; like a random split it changes with the partition layout.
+    """Seeded random fold of a row, for a table that stays as it is: it changes with the partition layout.
 
-    The seed must differ from that of the split: both draw one number per row, and
-    with the same seed it would be the same number.
+    :func:`drawn_fold` does not.
     """
     return F.floor(F.rand(seed) * num_folds).cast("int")
 
@@ -75,12 +82,72 @@ def hash_split(
     return df.filter(train), df.filter(~train)
 
 
+def content_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The contents of a row as one text; two rows have the same text only if they are equal."""
+    parts = []
+    for name in columns:
+        kind = df.schema[name].dataType
+        cell = F.col(f"`{name}`")
+        if isinstance(kind, BinaryType):
+            text = F.hex(cell)
+        elif isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            text = F.to_json(F.struct(cell))
+        elif isinstance(kind, UserDefinedType):
+            text = F.to_json(F.struct(unwrap_udt(cell)))
+        else:
+            text = cell.cast("string")
+        # The length keeps cells apart, whatever they contain.
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
+def with_draws(df: DataFrame, columns: Sequence[str] | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
+    """``df`` with two random numbers in [0, DRAWS) per row, ``_draw`` and ``_fold_draw``, and ``_ordinal``.
+
+    The numbers depend on seed, contents (of ``columns``, by default all) and the row's ordinal among its equals, from
+    0 on. So copies have numbers of their own, and another partition layout gives the same rows the same numbers: which
+    of two equal rows comes first makes no difference. Ordinals are counted per partition and continued over
+    partitions, so copies that fill a third of the table never meet in one task. The rows are written to the shared
+    folder on the way.
+    """
+    text = content_text(df, df.columns if columns is None else columns)
+    by_part = Window.partitionBy("_content", "_part").orderBy("_content")
+    local = written(
+        df.withColumn("_content", F.md5(text.cast("binary")))
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.row_number().over(by_part)),
+        "draws",
+    )
+    sizes = local.groupBy("_content", "_part").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy("_content").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.sum("_size").over(before)).filter("_start > 0").drop("_size")
+    ordinal = F.coalesce("_start", F.lit(0)) + F.col("_place") - 1
+    digits = F.md5(F.concat_ws("/", F.lit(str(seed)), "_content", F.col("_ordinal").cast("string")).cast("binary"))
+    number = lambda begin: F.conv(F.substring(digits, begin, 8), 16, 10).cast("bigint")
+    return (
+        local.join(starts, ["_content", "_part"], "left")
+        .withColumn("_ordinal", ordinal.cast("bigint"))
+        .select(*[F.col(f"`{c}`") for c in df.columns], "_ordinal", number(1).alias("_draw"), number(9).alias("_fold_draw"))
+    )
+
+
+def drawn_for_training(ratio: float = DEFAULT_RATIO) -> Column:
+    """Whether a row of :func:`with_draws` is on the training side."""
+    return F.col("_draw") < F.lit(int(ratio * DRAWS)).cast("bigint")
+
+
+def drawn_fold(num_folds: int = NUM_FOLDS) -> Column:
+    """Random fold of a row of :func:`with_draws`, independent of its side."""
+    return F.pmod("_fold_draw", F.lit(num_folds)).cast("int")
+
+
 def random_split(
     df: DataFrame, ratio: float = DEFAULT_RATIO, seed: int = DEFAULT_SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Seeded random split; sides change with the partition layout of ``df``."""
-    train, test = df.randomSplit([ratio, 1 - ratio], seed=seed)
-    return train, test
+    """Seeded random split that spreads copies over both sides and does not follow the partition layout of ``df``."""
+    drawn = with_draws(df, seed=seed)
+    train = drawn_for_training(ratio)
+    return drawn.filter(train).select(*df.columns), drawn.filter(~train).select(*df.columns)
 
 
 def split_counts(df: DataFrame, bucket: Column, ratio: float = DEFAULT_RATIO) -> DataFrame:

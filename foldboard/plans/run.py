@@ -16,11 +16,12 @@ from foldboard.functions.metrics import evaluate, has_label
 from foldboard.operators.features import plan_features, preprocessing
 from foldboard.operators.split import (
     NUM_FOLDS,
+    drawn_fold,
+    drawn_for_training,
     fold_number,
     hash_split,
-    random_fold,
-    random_split,
     row_bucket,
+    with_draws,
 )
 from foldboard.plans.families import DEFAULT_FAMILIES, Family
 from foldboard.plans.leaderboard import rank_models, result_documents
@@ -77,7 +78,8 @@ def run(
     ``bucket`` decides side and fold of a row, see
     :func:`foldboard.operators.split.key_bucket`; without it the contents of the
     used columns do. ``split="random"`` draws sides and folds instead, which keeps
-    their sizes even where copies of few rows fill the table. With ``save_to``
+    their sizes even where copies of few rows fill the table; see
+    :func:`foldboard.operators.split.with_draws`. With ``save_to``
     the winner is saved below that folder.
     """
     spec.require(df.schema, strict)
@@ -96,8 +98,10 @@ def run(
         missing = ~has_label(label) if isinstance(numeric, NumericType) else label.isNull()
         rows = rows.filter(~missing)
     if split == "random":
-        train, test = random_split(rows, spec.train_test_split)
-        fold = random_fold(num_folds)
+        drawn = with_draws(rows, columns)
+        side = drawn_for_training(spec.train_test_split)
+        train, test = drawn.filter(side), drawn.filter(~side)
+        fold = drawn_fold(num_folds)
     elif split == "hash":
         train, test = hash_split(rows, F.col(BUCKET), spec.train_test_split)
         fold = fold_number(F.col(BUCKET), num_folds)
@@ -163,8 +167,7 @@ def run_file(
 ) -> RunResult:
     """:func:`run` on a CSV or parquet location.
 
-    ``spread_small`` deals a source of fewer partitions than cores out to all of
-    them, which changes the sides of a random split.
+    ``spread_small`` deals a source of fewer partitions than cores out to all of them.
     """
     df = read_table(spark, path, schema)
     return run(spread(df) if spread_small else df, spec, **options)

@@ -17,6 +17,8 @@ from foldboard.functions.requests import (
     settle_roles,
 )
 from foldboard.operators.split import (
+    drawn_fold,
+    drawn_for_training,
     empty_training_sets,
     fold_counts,
     fold_number,
@@ -25,10 +27,11 @@ from foldboard.operators.split import (
     random_split,
     split_counts,
     split_name,
+    with_draws,
 )
 from foldboard.scratch import scratch_path
 from foldboard.sources.paths import bucket_of, key_of
-from foldboard.sources.tables import from_rows, ingest_csv, preview, profile, read_csv
+from foldboard.sources.tables import from_rows, ingest_csv, land_csv, preview, profile, read_csv
 from foldboard.workloads.tables import BUCKET_SQL, TRAIN_SQL, charges, line_bucket, table
 
 PROFILED = (
@@ -82,14 +85,48 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items landed from CSV of which some lines are broken: what became a row, and what was set aside, and why."""
+    key = F.col("l_orderkey") + F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    line = F.concat_ws(
+        ",",
+        F.col("l_orderkey").cast("string"),
+        F.when(key % 11 == 0, "first").otherwise(F.col("l_linenumber").cast("string")),
+        F.when(key % 5 == 0, "").when(key % 7 == 0, "much").otherwise(price),
+        F.when(key % 13 == 0, F.concat("l_returnflag", F.lit(",more"))).otherwise(F.col("l_returnflag")),
+    )
+    cut = F.when(key % 17 == 0, F.col("l_orderkey").cast("string")).otherwise(line)
+    path = scratch_path(spark, "uploads") + "/lines.csv"
+    written_lines = table(spark, sf_dir, "lineitem").select(cut.alias("value"))
+    # Text files have no suffix to choose; the CSV guard looks at file names.
+    written_lines.write.format("csv").option("quote", "").option("sep", "\u0001").save(path)
+    landing = land_csv(
+        spark,
+        path,
+        scratch_path(spark, "landing"),
+        "l_orderkey bigint, l_linenumber int, price double, flag string",
+        header=False,
+    )
+    nothing = lambda kind: F.lit(None).cast(kind)
+    landed = landing.rows(spark).withColumns({c: nothing("string") for c in ("line", "reason", "fault_column")})
+    rejected = landing.rejected(spark).withColumns(
+        {"l_orderkey": nothing("bigint"), "l_linenumber": nothing("int"), "price": nothing("double"), "flag": nothing("string")}
+    )
+    return landed.unionByName(rejected)
+
+
 def in_memory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 25 nations as plain rows, made a table again and counted per region."""
-    nations = table(spark, sf_dir, "nation")
-    rows = [tuple(row) for row in nations.collect()]
-    return (
-        from_rows(spark, rows, nations.columns)
-        .groupBy(F.col("n_regionkey").cast("int").alias("n_regionkey"))
-        .agg(F.count("*").alias("nations"), F.min("n_name").alias("first_name"))
+    """Customers of every nation, counted on executors, made a table of a few rows again, and told to every customer."""
+    customers = table(spark, sf_dir, "customer")
+    # A row per nation, however many customers there are.
+    counted = customers.groupBy("c_nationkey").agg(
+        F.count("*").alias("customers"), F.max("c_acctbal").alias("most")
+    )
+    rows = [tuple(row) for row in counted.collect()]
+    nations = from_rows(spark, rows, ["nation", "customers", "most"])
+    return customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("nation")).select(
+        "c_custkey", "customers", (F.col("c_acctbal") == F.col("most")).alias("is_richest")
     )
 
 
@@ -173,6 +210,17 @@ def random_split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def random_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side and fold of every line item by three columns that many lines share, copies told apart by their ordinal."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag")
+    return with_draws(lines).select(
+        *lines.columns,
+        F.col("_ordinal").alias("ordinal"),
+        F.when(drawn_for_training(), "train").otherwise("test").alias("split"),
+        drawn_fold().cast("bigint").alias("fold"),
+    )
+
+
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run request per part, as a form would send it, faults included."""
     words = F.split("p_name", " ")
@@ -263,6 +311,7 @@ QUERIES = {
     "profile": profiles,
     "csv_roundtrip": csv_roundtrip,
     "ingest_parquet": ingest_parquet,
+    "ingest_quarantine": ingest_quarantine,
     "preview": first_rows,
     "path_parts": path_parts,
     "project_columns": project_columns,
@@ -274,6 +323,7 @@ QUERIES = {
     "fold_counts": line_fold_counts,
     "random_split_whole": random_split_whole,
     "random_split_check": random_split_check,
+    "random_split_rows": random_split_rows,
     "spec_parse": spec_parse,
     "feature_list_texts": text_lists,
     "data_types_events": event_types,
@@ -319,7 +369,45 @@ ORACLES = {
         SELECT * EXCLUDE (o_orderdate), {TIME_SQL.format('o_orderdate')} FROM orders ORDER BY o_orderkey LIMIT 10
     """,
     "in_memory_rows": """
-        SELECT n_regionkey, count(*) AS nations, min(n_name) AS first_name FROM nation GROUP BY n_regionkey
+        SELECT c_custkey, count(*) OVER nation AS customers, c_acctbal = max(c_acctbal) OVER nation AS is_richest
+        FROM customer WINDOW nation AS (PARTITION BY c_nationkey)
+    """,
+    "ingest_quarantine": """
+        WITH lines AS (
+            SELECT l_orderkey, l_linenumber, l_returnflag, l_orderkey + l_linenumber AS k,
+                   CASE WHEN k % 11 = 0 THEN 'first' ELSE l_linenumber::VARCHAR END AS number,
+                   CASE WHEN k % 5 = 0 THEN '' WHEN k % 7 = 0 THEN 'much'
+                        ELSE l_extendedprice::DECIMAL(18, 2)::VARCHAR END AS price
+            FROM lineitem
+        ), told AS (
+            SELECT *, CASE WHEN k % 17 = 0 OR k % 13 = 0 THEN 'field_count'
+                           WHEN k % 11 = 0 OR (k % 7 = 0 AND k % 5 <> 0) THEN 'wrong_type' END AS why
+            FROM lines
+        )
+        SELECT CASE WHEN why IS NULL THEN l_orderkey END AS l_orderkey,
+               CASE WHEN why IS NULL THEN l_linenumber END AS l_linenumber,
+               CASE WHEN why IS NULL AND price <> '' THEN price::DOUBLE END AS price,
+               CASE WHEN why IS NULL THEN l_returnflag END AS flag,
+               CASE WHEN why IS NULL THEN NULL WHEN k % 17 = 0 THEN l_orderkey::VARCHAR
+                    ELSE concat_ws(',', l_orderkey, number, price,
+                                   l_returnflag || CASE WHEN k % 13 = 0 THEN ',more' ELSE '' END) END AS line,
+               why AS reason,
+               CASE WHEN why = 'wrong_type' THEN CASE WHEN k % 11 = 0 THEN 'l_linenumber' ELSE 'price' END END
+                   AS fault_column
+        FROM told
+    """,
+    "random_split_rows": """
+        WITH numbered AS (
+            SELECT l_suppkey, l_linenumber, l_returnflag,
+                   row_number() OVER (PARTITION BY l_suppkey, l_linenumber, l_returnflag) - 1 AS ordinal,
+                   md5(length(l_suppkey::VARCHAR) || ':' || l_suppkey || length(l_linenumber::VARCHAR) || ':'
+                       || l_linenumber || length(l_returnflag) || ':' || l_returnflag) AS content
+            FROM lineitem
+        ), drawn AS (SELECT *, md5('42/' || content || '/' || ordinal) AS digits FROM numbered)
+        SELECT l_suppkey, l_linenumber, l_returnflag, ordinal,
+               CASE WHEN ('0x' || digits[1:8])::BIGINT < floor(0.8 * 4294967296) THEN 'train' ELSE 'test' END AS split,
+               ('0x' || digits[9:16])::BIGINT % 3 AS fold
+        FROM drawn
     """,
     "split_missing_keys": """
         SELECT o_orderkey, split AS part, split, coalesce(bucket % 3, 0) AS fold

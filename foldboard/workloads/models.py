@@ -21,7 +21,8 @@ from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.run import RunResult, run
 from foldboard.plans.spec import RunSpec
 from foldboard.plans.tuning import Tuned, stored, tune
-from foldboard.scratch import scratch_path
+from foldboard.scratch import scratch_path, written
+from foldboard.sources.catalogue import chosen_models, publish
 from foldboard.sources.registry import manifest, save_model, score
 from foldboard.sources.tables import spread
 from foldboard.workloads.tables import BUCKET_SQL, CHARGE, TRAIN_SQL, charges, line_bucket
@@ -283,7 +284,51 @@ def model_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def yearly_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run per line status and year of shipping, finished with its last line: the guesses scored and ranked."""
+    columns = {name: f"guess_{i}" for i, name in enumerate(GUESSES)}
+    lines = charges(spark, sf_dir).select(
+        F.col("l_linestatus").alias("dataset"),
+        F.date_format("l_shipdate", "yyyy").alias("run_id"),
+        F.col("l_shipdate").cast("timestamp").alias("shipped"),
+        "charge",
+        *[F.expr(GUESSES[name]).alias(column) for name, column in columns.items()],
+    )
+    keys = ["dataset", "run_id"]
+    ends = lines.groupBy(*keys).agg(F.max("shipped").alias("finished_at"))
+    scores = evaluate(lines, "charge", columns, by=keys).select(
+        *keys, "model", F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"), F.lit(0.0).alias("avg_cv_rmse")
+    )
+    run = F.struct(*keys).alias("run")
+    ranked = rank_models(scores.select("*", run), "run").drop("run", "rank")
+    path = F.when(F.col("is_best"), F.concat_ws("/", F.lit("models"), *keys, "model"))
+    return ranked.join(ends, keys).withColumn("model_path", path)
+
+
+def run_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest and best model of every data set, after all runs were published, half of them again, and one broke off."""
+    root = scratch_path(spark, "catalogue")
+    boards = written(yearly_boards(spark, sf_dir), "boards")
+    publish(boards, root)
+    publish(boards.filter(F.col("run_id") % 2 == 0), root)
+    # A run of which the models were written, but not the marker.
+    broken = boards.filter("run_id = '1995'").withColumns(
+        {"run_id": F.lit("9999"), "finished_at": F.lit("9999-01-01").cast("timestamp"), "rmse": F.lit(0.0)}
+    )
+    publish(broken, root, finished=False)
+    return chosen_models(spark, root).select(
+        "dataset",
+        "kind",
+        "run_id",
+        F.date_format("finished_at", "yyyy-MM-dd").alias("finished_on"),
+        "model",
+        "rmse",
+        "model_path",
+    )
+
+
 QUERIES = {
+    "run_catalogue": run_catalogue,
     "lr_unregularised": lr_unregularised,
     "lr_ridge": lr_ridge,
     "cv_lr_metrics": cv_lr_metrics,
@@ -444,6 +489,23 @@ ORACLES = {
         USING (run_id, model)
     """,
     "leaderboard_exact": EXACT_SQL,
+    "run_catalogue": f"""{GUESSED_SQL.replace('l_linestatus AS run_id', "l_linestatus AS dataset, strftime(l_shipdate, '%Y') AS run_id, l_shipdate")},
+        scored AS (
+            SELECT dataset, run_id, model, max(l_shipdate) AS ended, round({RMSE_SQL}, 2) AS rmse
+            FROM guessed GROUP BY dataset, run_id, model
+        ), winners AS (
+            SELECT dataset, run_id, model, rmse, 'models/' || dataset || '/' || run_id || '/' || model AS model_path,
+                   (SELECT max(ended) FROM scored s WHERE s.dataset = scored.dataset AND s.run_id = scored.run_id) AS ended
+            FROM scored QUALIFY row_number() OVER (PARTITION BY dataset, run_id ORDER BY rmse, model) = 1
+        ), chosen AS (
+            SELECT 'latest' AS kind, * FROM winners
+            QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY ended DESC, run_id DESC) = 1
+            UNION ALL
+            SELECT 'best', * FROM winners
+            QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY rmse, run_id) = 1
+        )
+        SELECT dataset, kind, run_id, strftime(ended, '%Y-%m-%d') AS finished_on, model, rmse, model_path FROM chosen
+    """,
     "model_manifest": """
         SELECT * FROM (VALUES ('', '', 'metadata'), ('0', 'VectorAssembler', 'metadata'),
             ('1', 'LinearRegression', 'metadata'), ('1', 'LinearRegression', 'data'))

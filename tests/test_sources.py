@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType
@@ -7,7 +9,8 @@ from foldboard.plans.spec import CATEGORICAL, NUMERICAL
 from foldboard.scratch import scratch_root, written
 from foldboard.sources.paths import bucket_of, key_of, object_uri
 from foldboard.sources.registry import manifest, model_path
-from foldboard.sources.tables import from_rows, ingest_csv, preview, profile, read_csv, read_table, spread
+from foldboard.sources.catalogue import chosen_models, publish, published
+from foldboard.sources.tables import from_rows, ingest_csv, land_csv, preview, profile, read_csv, read_table, spread
 
 TREES = """height,branches,evergreen,planted
 
@@ -103,3 +106,77 @@ def test_written_tables_lie_in_the_shared_folder(spark):
     df = written(spark.range(4).toDF("n"), "numbers")
     assert all(scratch_root(spark).removeprefix("file:") in f for f in df.inputFiles())
     assert df.count() == 4
+
+
+BROKEN = """height,branches,evergreen
+12,31,true pine
+
+seven,4,birch
+8,,"oak, tall"
+9,5
+10,many,elm
+11,6,ash,extra
+x,y,z
+"""
+
+
+def test_broken_lines_are_set_aside(spark, tmp_path):
+    path = tmp_path / "trees.csv"
+    path.write_text(BROKEN)
+    landing = land_csv(spark, str(path), str(tmp_path / "lake"), "height int, branches int, evergreen string")
+    assert sorted(map(tuple, landing.rows(spark).collect())) == [(8, None, "oak, tall"), (12, 31, "true pine")]
+    assert sorted(map(tuple, landing.rejected(spark).collect()), key=str) == [
+        ("10,many,elm", "wrong_type", "branches"),
+        ("11,6,ash,extra", "field_count", None),
+        ("9,5", "field_count", None),
+        ("seven,4,birch", "wrong_type", "height"),
+        ("x,y,z", "wrong_type", "height"),
+    ]
+
+
+def test_landing_without_broken_lines_and_without_rows(spark, tmp_path):
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text("a\n1\n")
+    bad.write_text("a\nno\n")
+    landings = [land_csv(spark, str(p), str(tmp_path / "lake"), "a int") for p in (good, bad)]
+    assert landings[0].path != landings[1].path
+    assert [(x.rows(spark).count(), x.rejected(spark).count()) for x in landings] == [(1, 0), (0, 1)]
+    with pytest.raises(ValueError, match="no .csv file"):
+        land_csv(spark, str(tmp_path / "lake"), str(tmp_path / "lake"), "a int")
+    with pytest.raises(ValueError, match="cannot have columns named line"):
+        land_csv(spark, str(good), str(tmp_path / "lake"), "line int")
+
+
+def runs(spark, *rows):
+    schema = "dataset string, run_id string, finished_at timestamp, model string, rmse double, is_best boolean"
+    named = spark.createDataFrame(rows, schema)
+    return named.withColumns({"r2": F.lit(0.5), "avg_cv_rmse": F.lit(1.0), "model_path": F.concat_ws("/", "run_id", "model")})
+
+
+def test_publishing_twice_gives_one_run(spark, tmp_path):
+    root = str(tmp_path)
+    early, late = datetime(2024, 1, 1), datetime(2024, 6, 1)
+    assert chosen_models(spark, root).count() == published(spark, root).count() == 0
+    first = runs(spark, ("d", "a", early, "m1", 1.0, True), ("d", "a", early, "m2", 2.0, False))
+    for _ in range(2):
+        publish(first, root)
+    publish(runs(spark, ("d", "b", late, "m1", 3.0, True), ("e", "c", late, "m2", 9.0, True)), root)
+    assert published(spark, root).count() == 4
+    chosen = lambda: {
+        (r["dataset"], r["kind"]): (r["run_id"], r["rmse"], r["model_path"]) for r in chosen_models(spark, root).collect()
+    }
+    assert chosen() == {
+        ("d", "latest"): ("b", 3.0, "b/m1"),
+        ("d", "best"): ("a", 1.0, "a/m1"),
+        ("e", "latest"): ("c", 9.0, "c/m2"),
+        ("e", "best"): ("c", 9.0, "c/m2"),
+    }
+    # A run with other models takes the place of what it had; until its marker is there it is not read.
+    again = runs(spark, ("d", "a", early, "m3", 0.5, True))
+    publish(again, root, finished=False)
+    assert chosen()["d", "best"] == ("b", 3.0, "b/m1")
+    publish(again, root)
+    assert chosen()["d", "best"] == ("a", 0.5, "a/m3")
+    # Ties: the later run id is the latest, the earlier one the best; a run without a winner is none.
+    publish(runs(spark, ("e", "a", late, "m9", 9.0, True), ("e", "z", datetime(2025, 1, 1), "m9", 1.0, False)), root)
+    assert (chosen()["e", "latest"][0], chosen()["e", "best"][0]) == ("c", "a")

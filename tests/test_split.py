@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from foldboard.operators.split import (
     BUCKETS,
+    drawn_fold,
+    drawn_for_training,
     fold_number,
     hash_split,
     is_train,
@@ -11,6 +13,7 @@ from foldboard.operators.split import (
     random_split,
     row_bucket,
     split_counts,
+    with_draws,
 )
 
 
@@ -66,3 +69,58 @@ def test_random_folds_do_not_follow_the_random_split(spark):
     train, _ = random_split(rows)
     folds = [r["count"] for r in train.groupBy(random_fold()).count().collect()]
     assert len(folds) == 3 and max(folds) - min(folds) < 150
+
+
+def drawn_rows(df):
+    columns = ["text", "x", F.col("_ordinal"), drawn_for_training(), drawn_fold()]
+    return sorted(map(str, with_draws(df, ["text", "x"]).select(*columns).collect()))
+
+
+def test_draws_do_not_follow_the_layout(spark):
+    """Equal rows are a third of the table; missing values, empty texts and separators inside values."""
+    df = spark.range(1500).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL WHEN id % 50 = 2 THEN '' ELSE concat('1:', id % 400) END AS text",
+        "CASE WHEN id % 3 > 0 THEN (id % 7) / 2.0D END AS x",
+        "id AS other",
+    )
+    layouts = [drawn_rows(df.repartition(n)) for n in (1, 4, 16)]
+    assert layouts[0] == layouts[1] == layouts[2]
+    assert drawn_rows(df.repartition(4, "other")) == layouts[0]
+    drawn = with_draws(df, ["text", "x"]).filter("text = 'hot'")
+    found = drawn.agg(F.count("*"), F.countDistinct("_ordinal"), F.max("_ordinal"), F.count_if(drawn_for_training())).first()
+    assert found[:3] == (500, 500, 499) and 360 < found[3] < 440
+    folds = {r[0]: r[1] for r in drawn.groupBy(drawn_fold()).count().collect()}
+    assert set(folds) == {0, 1, 2} and min(folds.values()) > 120
+
+
+def test_draws_of_any_type(spark):
+    df = spark.range(6).selectExpr(
+        "id % 2 AS id",
+        "array(id % 2) AS list",
+        "named_struct('a', id % 2) AS record",
+        "cast(cast(id % 2 AS string) AS binary) AS raw",
+        "DATE'2020-01-01' + cast(id % 2 AS int) AS day",
+        "map('k', id % 2) AS pairs",
+    )
+    rows = with_draws(df).collect()
+    assert sorted((r["id"], r["_ordinal"]) for r in rows) == [(i, k) for i in (0, 1) for k in range(3)]
+    assert len({r["_draw"] for r in rows}) == 6
+    assert with_draws(df.limit(0)).count() == 0
+    other = {r["_draw"] for r in with_draws(df, seed=1).collect()}
+    assert not other & {r["_draw"] for r in rows}
+
+
+def test_copies_do_not_meet_in_one_task(spark):
+    """Ordinals of one content are counted per input partition."""
+    df = spark.range(4000, numPartitions=40).selectExpr("'same' AS text")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sizes = [r["count"] for r in with_draws(df).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # A few small files share a task when they are read again.
+    assert sum(sizes) == 4000 and max(sizes) < 2000

@@ -1,5 +1,6 @@
 import json
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.ml import Pipeline
@@ -23,6 +24,7 @@ from foldboard.plans.families import (
 from foldboard.plans.leaderboard import rank_models, result_documents, winners
 from foldboard.plans.tuning import Tuned, tune
 from foldboard.operators.features import plan_features, preprocessing
+from foldboard.sources.catalogue import chosen_models, publish_result
 from foldboard.sources.registry import load_model, score
 
 SPEC = RunSpec(
@@ -297,3 +299,12 @@ def test_grid_points_share_fits(spark, family, width, fits):
     assert points == list(range(len(family.param_maps(family.estimator()))))
     if family is BOOSTED:
         assert {v for f in planned for p, v in f.param_maps[0].items() if p.name == "maxIter"} == {20}
+
+
+def test_a_result_is_published(spark, rows, tmp_path):
+    result = run(rows, SPEC, SMALL[:1], bucket=key_bucket("id"), save_to=str(tmp_path))
+    for _ in range(2):
+        publish_result(spark, result, "rows", str(tmp_path), datetime(2024, 5, 1))
+    found = {r["kind"]: r for r in chosen_models(spark, str(tmp_path)).collect()}
+    assert found["latest"]["run_id"] == found["best"]["run_id"] == result.run_id
+    assert found["best"]["rmse"] == result.best_rmse and load_model(found["best"]["model_path"]).stages
