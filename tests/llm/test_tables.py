@@ -2,13 +2,23 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from foldboard.llm.decontamination import clean_documents, contamination
 from foldboard.llm.html_text import host_of, main_text
 from foldboard.llm.line_dedup import recurring_lines, without_recurring_lines
-from foldboard.llm.mixing import MARGINS, described, drawn_documents, mixed_documents, probabilities
+from foldboard.llm.mixing import (
+    FLATTENING,
+    KEPT_SHARE,
+    MARGINS,
+    described,
+    drawn_documents,
+    mixed_documents,
+    op4_mixing,
+    probabilities,
+)
 from foldboard.llm.quality_rules import ablation, apply_policy, ledger, mask
 from foldboard.llm.sharding import longest_first, shard_by_bytes
 
@@ -59,6 +69,34 @@ def test_saturated_cells_hand_on_their_tokens(spark):
     assert abs(kept / total - 0.5) < 0.05
 
 
+def test_mixture_of_the_documents_is_calibrated(spark, sf_dir):
+    """Plain numpy on the cells of the query: every margin gets what it can reach, and the draw has its size."""
+    rows = op4_mixing(spark, sf_dir).collect()
+    cells = {}
+    for r in rows:
+        own = cells.setdefault(tuple(r[m] for m in MARGINS), [0, r["probability"]])
+        own[0] += r["tokens"]
+        assert own[1] == r["probability"] and 0 <= r["probability"] <= 1
+    cells = {key: own for key, own in cells.items() if own[0]}
+    names, tokens = list(cells), np.array([own[0] for own in cells.values()], "float64")
+    probability = np.array([own[1] for own in cells.values()])
+    total = tokens.sum()
+    assert abs((tokens * probability).sum() / total - KEPT_SHARE) < 1e-3
+    for place, _ in enumerate(MARGINS):
+        values = sorted({n[place] for n in names}, key=str)
+        inside = np.array([[n[place] == v for n in names] for v in values])
+        room = inside @ tokens
+        share = room**FLATTENING / (room**FLATTENING).sum()
+        # The level at which shares, but at most all tokens of a value, make the draw.
+        low, high = 0.0, 1e12
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if np.minimum(room, share * middle).sum() < KEPT_SHARE * total else (low, middle)
+        reachable = np.minimum(room, share * low)
+        assert np.abs(inside @ (tokens * probability) - reachable).max() / total < 1e-3
+    assert all(r["drawn"] for r in rows if r["probability"] == 1)
+
+
 def test_mixing_edges(edge_docs, no_docs):
     mixed = mixed_documents(edge_docs)
     rows = mixed.collect()
