@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foldboard.llm.decontamination import clean_documents, contamination
 from foldboard.llm.html_text import host_of, main_text
-from foldboard.llm.line_dedup import recurring_lines, without_recurring_lines
+from foldboard.llm.line_dedup import parsed, recurring_lines, without_recurring_lines
 from foldboard.llm.mixing import (
     FLATTENING,
     KEPT_SHARE,
@@ -118,7 +118,7 @@ def test_templates_generalise_fields(spark):
         for k, name in enumerate("ann bob cat dan eve fay gus hal".split())
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = recurring_lines(docs.select("doc_id", F.xxhash64("text").alias("doc"), "text")).collect()
+    found = recurring_lines(parsed(docs.select(F.xxhash64("text").alias("doc"), "text"))).collect()
     assert {r["template"] for r in found} == {"Posted by <*> under the usual terms of this site"}
     left = {r["doc_id"]: r for r in without_recurring_lines(docs).collect()}
     assert left[0]["text"] == "own line number a h here\nok"
