@@ -1,9 +1,9 @@
 """Main text of web pages by the template that recurs on the pages of a host.
 
 Tokens are containers, by their path (tag, id, classes; figures in names are ignored), and blocks of text, by the path
-of their container and their words. The template of a host are the tokens that enough of its pages have; containers
-must keep their order too. Tokens on the same pages have the same support, so whole equivalence classes are in the
-template or out of it.
+of their container and their words. Tokens that stand on the same pages of a host (equal occurrence vectors) form an
+equivalence class; classes on enough pages, of more than one token, nest into the template of the host. Containers must keep
+their order too.
 
 The slot that holds the article is chosen once per host: an article or main element of the template, or else the deepest
 container with most of the text. What pages have there is their main text, without the blocks that are in the template
@@ -32,13 +32,15 @@ from foldboard.scratch import written
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|annotation(?:-xml)?)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|svg(?![^>]*/>)|iframe|annotation(?:-xml)?)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<rest2>[^>]*)>"
     r"|<[!?][^>]*>",
     re.I | re.S,
 )
-NAME = re.compile(r"""\b(id|class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: One attribute, so that what looks like one in the value or the name of another is not read.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NAMING = frozenset(["id", "class", "role"])
 PART = re.compile(r"[^a-z]+")
 
 CONTAINERS = frozenset("html head body div section article main header footer nav aside form".split())
@@ -60,7 +62,8 @@ NEVER_NAMES = frozenset(
     "site-nav main-nav site-menu main-menu site-footer page-footer side-bar "
     "cookie cookies consent gdpr cookie-notice cookie-banner cookie-consent cookie-bar popup modal "
     "newsletter newsletter-signup subscribe signup login share-buttons social-share sharing social "
-    "related-posts related-articles recommended comments comment-list comment-form comments-area disqus_thread "
+    "related-posts related-articles recommended comments comment-list comment-form comments-area comments-section comment-section "
+    "user-comments reader-comments disqus_thread "
     "skip-link contentinfo complementary".split()
 )
 OUTSIDE_NAMES = frozenset("header masthead topbar site-header page-header".split())
@@ -74,6 +77,8 @@ MIN_SUPPORT = 0.5
 MIN_PAGES = 5
 #: Share of the text of a host that a slot without an article element must hold.
 MAIN_SHARE = 0.7
+#: Tokens that an equivalence class of text must have; the page itself is one of those on every page.
+MIN_CLASS = 2
 BROADCAST_HOSTS = 100_000
 
 
@@ -137,7 +142,8 @@ def parse(source: str | None) -> Page:
     def open_element(tag: str, rest: str) -> None:
         given = [
             (match[1].lower(), (match[2] or match[3] or match[4] or "").lower())
-            for match in NAME.finditer(rest)
+            for match in ATTRIBUTE.finditer(rest)
+            if match[1].lower() in NAMING
         ]
         # Ids of sections name their subject.
         words = {w for kind, value in given if (tag, kind) != ("section", "id") for w in value.split()}
@@ -181,6 +187,8 @@ def parse(source: str | None) -> Page:
             if match["close"] or match["close2"]:
                 close_element(tag)
             elif tag not in VOID:
+                if stack and stack[-1].tag == "head" and tag not in HIDDEN:
+                    stack.pop()
                 if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                     _close_sibling(stack, tag)
                 open_element(tag, match["rest"] or match["rest2"] or "")
@@ -290,17 +298,24 @@ def occurrences(counts: DataFrame) -> DataFrame:
 def recurring_blocks(counts: DataFrame) -> DataFrame:
     """(host, recurring): the text tokens of the template of each host.
 
-    They stand on MIN_SUPPORT of the different pages of the host that have text, and on MIN_PAGES at least. So a host
-    has at most 1 / MIN_SUPPORT times as many as a page has blocks.
+    Tokens on the same pages are an equivalence class. Classes belong to the template if they stand on MIN_SUPPORT of the
+    different pages of the host that have text, and on MIN_PAGES at least, and have MIN_CLASS tokens: one block alone that some
+    pages share is a quotation. So a host has at most 1 / MIN_SUPPORT times as many as a page has blocks.
     """
     places = written(counts.filter("token IS NULL").select("host", "text", "page").distinct(), "places")
     different = places.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("different"))
-    support = places.groupBy("host", "text").agg(F.count("*").alias("support"))
-    kept = support.filter(F.col("support") >= MIN_PAGES).join(different, "host")
+    # Pages are hashes, so their number and combination stand for the occurrence vector.
+    vectors = places.groupBy("host", "text").agg(
+        F.count("*").alias("support"), F.bit_xor(F.xxhash64("page")).alias("vector")
+    )
+    kept = vectors.filter(F.col("support") >= MIN_PAGES).join(different, "host")
+    kept = kept.filter(F.col("support") >= MIN_SUPPORT * F.col("different"))
+    classes = kept.groupBy("host", "different", "support", "vector").agg(F.collect_list("text").alias("texts"))
+    size = F.size("texts") + (F.col("support") == F.col("different")).cast("int")
     return (
-        kept.filter(F.col("support") >= MIN_SUPPORT * F.col("different"))
+        classes.filter(size >= MIN_CLASS)
         .groupBy("host")
-        .agg(F.collect_list("text").alias("recurring"))
+        .agg(F.flatten(F.collect_list("texts")).alias("recurring"))
     )
 
 
@@ -375,7 +390,7 @@ def main_text(
 ) -> DataFrame:
     """One row per input row: page_id, url, text, n_chars.
 
-    A missing or empty page, and one without an article, has empty text. Pages without url or host form a host of their own.
+    A missing or empty page, and one without an article, has empty text. Pages of any length are read whole. Pages without url or host form a host of their own.
     Repeated rows and missing ids stay rows; pages of equal text count once when recurring blocks are looked for. An
     empty table gives no rows; other columns are ignored.
     """

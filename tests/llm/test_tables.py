@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldboard.llm.decontamination import clean_documents, contamination
-from foldboard.llm.html_text import host_of, main_text
+from foldboard.llm.html_text import article, host_of, main_text, parse
 from foldboard.llm.line_dedup import parsed, recurring_lines, without_recurring_lines
 from foldboard.llm.mixing import (
     FLATTENING,
@@ -228,6 +228,31 @@ def test_pages(spark, box):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_markup_that_once_lost_text():
+    """Open heads, self-closed drawings, and attributes that only look like classes."""
+    text = lambda source: article(parse(source), None)
+    assert text("<html><head><title>T</title><meta charset=x><body><p>Here it is</p></html>") == "Here it is"
+    assert text("<head><link rel=a href=b><p>Block without a body</p>") == "Block without a body"
+    assert text("<body><p>One</p><svg width=1 /><p>Two</p><svg><text>no</text></svg><p>Three</p>") == "One\n\nTwo\n\nThree"
+    assert text('<body><div data-class="sidebar"><p>One</p></div><div title="class=menu"><p>Two</p></div>') == "One\n\nTwo"
+    assert text("<article><p>One</p></article><div class=user-comments><p>No</p></div>") == "One"
+
+
+def test_classes_tell_templates_from_quotations(spark):
+    """Two blocks on the same five of eight pages are a class of the template; one block alone is quoted text."""
+    page = "<body><article><p>Own text {k} of {k}</p>{more}</article></body>"
+    both = "<p>Read our daily letter</p><p>Follow the station</p>"
+    rows = [(k, "http://a.b/x", page.format(k=k, more=both if k < 5 else "")) for k in range(8)]
+    rows += [
+        (10 + k, "http://c.d/x", page.format(k=k, more="<p>As the old saying goes</p>" if k < 5 else ""))
+        for k in range(8)
+    ]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(8):
+        assert found[k] == f"Own text {k} of {k}"
+        assert found[10 + k] == f"Own text {k} of {k}" + ("\n\nAs the old saying goes" if k < 5 else "")
+
+
 def test_blocks_on_every_page_of_a_host_are_dropped(spark):
     """Boilerplate in unnamed elements goes; what copies of a page repeat stays."""
     body = (
