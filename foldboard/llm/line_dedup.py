@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldboard.llm.common import col, table
-from foldboard.scratch import written
+from foldboard.scratch import discard, scratch_path, written
 
 LEADING = 2
 FIELD = "<*>"
@@ -106,10 +106,15 @@ def candidates(lines: DataFrame, min_docs: int) -> DataFrame:
     inside = lines.join(F.broadcast(leaves), "leaf", "left_semi") if few(leaves) else lines
     words = inside.select("leaf", "shape", tokens(F.col("line")).alias("tokens"))
     cut = words.select("leaf", "shape", pieces(F.col("leaf"), F.col("tokens")).alias("pieces"))
-    cut = written(cut, "line-pieces").select("leaf", "shape", F.explode("pieces").alias("piece"))
+    path = scratch_path(lines.sparkSession, "line-pieces")
+    cut.write.parquet(path)
+    cut = lines.sparkSession.read.schema(cut.schema).parquet(path)
+    cut = cut.select("leaf", "shape", F.explode("pieces").alias("piece"))
     often = cut.groupBy("piece").count().filter(F.col("count") >= min_docs).select("piece")
     often = maybe_broadcast(written(often, "often"))
-    return written(cut.join(often, "piece", "left_semi").select("leaf", "shape").distinct(), "candidates")
+    found = written(cut.join(often, "piece", "left_semi").select("leaf", "shape").distinct(), "candidates")
+    discard(lines.sparkSession, path)
+    return found
 
 
 def generalised(words: DataFrame, constant: Column) -> DataFrame:
@@ -200,7 +205,10 @@ def without_recurring_lines(
         col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("doc"), col(text_col).alias("text")
     )
     known = rows.filter("text IS NOT NULL")
-    parts = written(parsed(known), "lines")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "lines")
+    every = parsed(known)
+    every.write.parquet(path)
+    parts = spark.read.schema(every.schema).parquet(path)
     drop = recurring_lines(parts, min_docs).select("leaf", "shape")
     # The place of a line depends on its text alone, so rows with the same text share one list.
     gone = (
@@ -211,9 +219,11 @@ def without_recurring_lines(
         .agg(F.collect_set("at").alias("gone"))
     )
     gone = written(gone, "dropped-lines")
+    discard(spark, path)
     lines = F.split("text", "\n")
     left = F.filter(lines, lambda _, at: ~F.array_contains("gone", at))
-    return rows.join(gone, "doc", "left").select(
+    # The lists grow with the texts, so they meet by shuffle at every size.
+    return rows.join(gone.hint("merge"), "doc", "left").select(
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text"))
         .otherwise(F.array_join(left, "\n"))
