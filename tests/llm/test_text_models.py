@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foldboard.llm import quality_classifier, toxicity
 from foldboard.llm.common import id_remainder, table
-from foldboard.llm.lattice_lm import Lattice, load_lattice, score_texts
+from foldboard.llm.lattice_lm import Lattice, learnt_pieces, load_lattice, score_texts, word_counts
 
 
 @pytest.fixture(scope="module")
@@ -118,7 +118,7 @@ def test_scores_match_sums_over_tokens(spark, edge_docs, sparse, monkeypatch, sh
     monkeypatch.setattr("foldboard.llm.lattice_lm.HEAD_SHARE", share)
     docs = edge_docs.select("doc_id", "text", (id_remainder("doc_id", 7) != 2).alias("training"))
     lattice = load_lattice()
-    rows = score_texts(docs, lattice).collect()
+    rows = score_texts(docs, lattice, learn=False).collect()
     given = docs.collect()
     assert len(rows) == len(given)
     split = lambda text: [*(text or "").encode().lower().split(), None]
@@ -143,6 +143,60 @@ def test_scores_match_sums_over_tokens(spark, edge_docs, sparse, monkeypatch, sh
     assert {r["train_tokens"] for r in rows} == {n}
 
 
+def test_words_together_are_as_one_by_one():
+    lattice = load_lattice()
+    words = ["a", "there", "là", "🙂x", "", "the\x00", "thereof", "z" * 50, "there"]
+    single = [lattice.word(w) for w in words]
+    assert lattice.words(words) == pytest.approx(single, abs=1e-9)
+
+
+def uses_by_enumeration(text, lattice):
+    """Expected uses: every segmentation, written out."""
+    paths = []
+
+    def extend(at, used, weight):
+        if at == len(text):
+            paths.append((used, math.exp(weight)))
+            return
+        for stop in range(at + 1, len(text) + 1):
+            piece = text[at:stop]
+            if piece in lattice.pieces:
+                extend(stop, [*used, piece], weight + lattice.pieces[piece])
+        n = len(text[at].encode())
+        extend(at + 1, [*used, *[None] * n], weight + n * lattice.single_byte)
+
+    extend(0, [], 0.0)
+    total, uses = sum(p for _, p in paths), {}
+    for used, p in paths:
+        for piece in used:
+            uses[piece] = uses.get(piece, 0) + p / total
+    return [uses.get(piece, 0.0) for piece in [*lattice.pieces, None]]
+
+
+@pytest.mark.parametrize("long_word", [0, 32])
+def test_expected_uses_sum_all_segmentations(monkeypatch, long_word):
+    monkeypatch.setattr("foldboard.llm.lattice_lm.LONG_WORD", long_word)
+    weights = {"▁": 0.1, "a": 0.1, "b": 0.05, "ab": 0.2, "▁a": 0.1, "ba": 0.15, "é": 0.01}
+    lattice = Lattice({k: math.log(v) for k, v in weights.items()}, math.log(1e-3), -5.0, 2)
+    words = ["abab", "aé", "zb", "babab", "abab"]
+    each = [uses_by_enumeration("▁" + w, lattice) for w in words]
+    assert list(lattice.uses(words)) == pytest.approx([sum(u) for u in zip(*each, strict=True)], abs=1e-9)
+
+
+def test_learnt_pieces_are_a_distribution_that_predicts_new_words(spark, sf_dir, sparse):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (id_remainder("doc_id", 7) != 2).alias("training")
+    )
+    prior = load_lattice()
+    lattice = learnt_pieces(word_counts(docs), prior)
+    total = sum(math.exp(w) for w in lattice.pieces.values())
+    assert abs(total + 256 * math.exp(lattice.single_byte) + math.exp(lattice.end) - 1) < 1e-6
+    new = word_counts(docs).filter("count = 0").select("word").toPandas()["word"].tolist()
+    assert len(new) > 100
+    # More than a hundred times likelier a word than by rank.
+    assert (lattice.words(new) - prior.words(new)).mean() > math.log(100)
+
+
 def test_lattice_without_training_or_rows(no_docs, edge_docs, sparse):
     lattice = load_lattice()
     none = no_docs.select("doc_id", "text", F.lit(True).alias("training"))
