@@ -474,13 +474,32 @@ def _keep(docs: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
     return once.unionByName(firsts)
 
 
-def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of near duplicates of every document."""
-    found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept")
+def marked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per input row: doc_id, class_id, class_size, kept.
+
+    ``kept`` holds for one row of every class: the one of the smallest id (a known id before a missing one), of equal ones
+    the first written. Rows without text are alone and kept. It is never null, so ``filter(kept)`` removes the duplicates.
+    """
+    found = near_duplicates(docs, threshold).withColumn("row", F.monotonically_increasing_id())
+    # Written, so that row numbers stay what they are.
+    found = written(found, "near-duplicates")
+    alone = F.col("key").isNull() | (F.col("class_size") == 1)
+    entry = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = (
+        found.filter(~alone)
+        .groupBy("class")
+        .agg(F.min(entry).alias("first"))
+        .select("first.row", F.lit(True).alias("first"))
+    )
+    return found.join(first, "row", "left").select(
+        "doc_id", "class_id", "class_size", F.coalesce("first", alone).alias("kept")
     )
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document, and which one of a class is kept."""
+    return marked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_minhash_near_dedup": op1_minhash_near_dedup}
 ORACLES: dict[str, str] = {}

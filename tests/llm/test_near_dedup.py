@@ -6,6 +6,7 @@ import numpy as np
 from foldboard.llm.near_dedup import (
     BANDS,
     bands,
+    marked,
     near_duplicates,
     one_per_class,
     shingles,
@@ -109,3 +110,11 @@ def test_edge_rows(edge_docs, no_docs, sparse):
         ["1", "3", "4", "None", "None", "6", "7", "8"]
     )
     assert one_per_class(no_docs).count() == 0
+    copies = marked(edge_docs.unionByName(edge_docs)).collect()
+    assert len(copies) == 2 * edge_docs.count()
+    # Rows without text all stay; of everything else one row a class, however often ids and texts are repeated.
+    assert sorted(str(r["doc_id"]) for r in copies if r["kept"]) == sorted(
+        ["1", "3", "3", "4", "None", "None", "None", "6", "7", "8"]
+    )
+    assert all(r["kept"] is not None for r in copies)
+    assert marked(no_docs).count() == 0
