@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldboard.functions.metrics import evaluate
+from foldboard.operators.cells import fit_tree
 from foldboard.operators.features import FEATURES, plan_features, preprocessing
 from foldboard.operators.split import fold_number, is_train
 from foldboard.plans.families import BOOSTED, FOREST, LINEAR, TREE, WEIGHTED_AVERAGE
@@ -124,8 +125,10 @@ def saturated(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     plan = plan_features(
         ONE_CATEGORY.feature_cols, ONE_CATEGORY.label_col, ONE_CATEGORY.data_types, lines.schema
     )
-    stages = [*preprocessing(plan).getStages(), estimator.setLabelCol("l_extendedprice")]
-    predicted = Pipeline(stages=stages).fit(lines).transform(lines)
+    fitted = preprocessing(plan).fit(lines)
+    rows = fitted.transform(lines)
+    model = fit_tree(estimator, rows, FEATURES, "l_extendedprice", len(plan.assembler_inputs))
+    predicted = model.transform(rows)
     return predicted.groupBy("l_returnflag", F.round("prediction", 4).alias("prediction")).agg(
         F.count("*").alias("row_count")
     )
