@@ -214,3 +214,22 @@ def test_held_out_accuracy_on_documents(spark, sf_dir, sparse):
     )
     assert right.first()[0] > 0.8
     assert docs.count() == quality_classifier.op5_quality_classifier(spark, sf_dir).count()
+
+
+def test_lattice_leaves_texts_that_no_piece_begins_with():
+    """A look-up or two per character where no piece goes on, not one per piece length."""
+    from foldboard.llm.lattice_lm import Lattice
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *own):
+            self.asked += 1
+            return super().get(*own)
+
+    pieces = {"a": -1.0, "ab": -1.5, "abcdefghij": -2.0}
+    lattice, plain = Lattice(pieces, -6.0, -6.0, 10), Lattice(pieces, -6.0, -6.0, 10)
+    lattice.__dict__["reach"] = counted = Counted(lattice.reach)
+    words = ["z" * 20, "abzz" * 5]
+    assert lattice.words(words).tolist() == pytest.approx([plain.word(w) for w in words])
+    assert counted.asked < 2 * 21 * 2
