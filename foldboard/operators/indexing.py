@@ -41,6 +41,8 @@ HEAD_BYTES = 16 * 1024 * 1024
 # broadcast as well, so there are fewer than HEAVY of them, none longer than HEAVY_BYTES.
 HEAVY = 1_000
 HEAVY_BYTES = 1_024
+# Values that a task tracks per column to find these: their counts are right to a fraction of one in HEAVY.
+TRACKED = 10_000
 
 # Labels of a column, the rows that have one, and the sums of their indices and of the squares of these.
 IndexSums = tuple[int, int, float, float]
@@ -294,7 +296,7 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
 
     The most frequent labels reach the rows by broadcast. So do the values, seen in
     fitting or not, that fill more than one in ``HEAVY`` of the other cells of their column:
-    they are counted first, combined before the shuffle. Rows that need no more stay where
+    they are found first, by sketches. Rows that need no more stay where
     they are. What is left of the others becomes (row, column, value) cells, which are joined
     with the labels in one shuffle, whatever the number of columns; no value fills a task.
     A second one brings the cells of a row together again, with the row itself, which
@@ -380,15 +382,17 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
 
     def _heavy(self, placed: DataFrame, tailed: list[_Place]) -> DataFrame:
         """(_k, _value, _idx) of the values that fill more than one in HEAVY of the open cells of a column."""
-        counts = (
-            placed.select(F.explode(_cells(tailed)).alias("cell"))
-            .groupBy(F.col("cell.k").alias("_k"), F.col("cell.value").alias("_value"))
-            .agg(F.count("*").alias("n"))
-        )
-        totals = counts.groupBy("_k").agg(F.sum("n").alias("total"))
+        # A sketch per column: what fills more than one in HEAVY of the cells is always in it, and no cell is shuffled.
+        sketches = []
+        for p in tailed:
+            short = p.is_open & (F.octet_length(p.column) <= HEAVY_BYTES)
+            top = F.call_function("approx_top_k", F.when(short, F.col(p.column)), F.lit(HEAVY + 1), F.lit(TRACKED))
+            sketches.append(F.struct(F.lit(p.k).alias("k"), F.count_if(p.is_open).alias("total"), top.alias("top")))
         frequent = (
-            counts.join(F.broadcast(totals), "_k")
-            .filter((F.col("n") * HEAVY > F.col("total")) & (F.octet_length("_value") <= HEAVY_BYTES))
+            placed.agg(F.array(*sketches).alias("columns"))
+            .select(F.explode("columns").alias("column"))
+            .select(F.col("column.k").alias("_k"), F.col("column.total").alias("total"), F.inline("column.top").alias("_value", "n"))
+            .filter(F.col("_value").isNotNull() & (F.col("n") * HEAVY > F.col("total")))
             .select("_k", "_value")
         )
         known = self._tail(tailed).join(F.broadcast(frequent), ["_k", "_value"])
@@ -404,7 +408,10 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
         self, waiting: DataFrame, columns: list[str], places: list[_Place], tailed: list[_Place]
     ) -> DataFrame:
         """Rows with open cells: joined with the labels by cell, and put together again."""
-        row = F.struct(*[F.col(c) for c in columns], *[F.col(p.found) for p in places])
+        # A value that travels as a cell does not travel with the row as well.
+        apart = {p.column: p for p in tailed}
+        own = [F.when(~apart[c].is_open, F.col(c)).alias(c) if c in apart else F.col(c) for c in columns]
+        row = F.struct(*own, *[F.col(p.found) for p in places])
         # Numbered before its cells go separate ways.
         numbered = waiting.select(
             F.monotonically_increasing_id().alias("_row"), row.alias("_own"), _cells(tailed).alias("_cells")
@@ -416,22 +423,31 @@ class LabelTableModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable
             F.when(F.col("pos") == 0, F.col("_own")).alias("_own"),
         )
         found = cells.join(self._tail(tailed), ["_k", "_value"], "left")
+        cell = F.struct("_value", "_idx")
         if len(tailed) > 1:
-            entry = F.struct("_k", "_idx")
             found = found.groupBy("_row").agg(
                 F.first("_own", ignorenulls=True).alias("_own"),
-                F.map_from_entries(F.collect_list(entry)).alias("_found"),
+                F.map_from_entries(F.collect_list(F.struct(F.col("_k"), cell))).alias("_found"),
             )
         else:
-            found = found.withColumn("_found", F.create_map("_k", "_idx"))
+            found = found.withColumn("_found", F.create_map(F.col("_k"), cell))
+
+        def looked_up(p: _Place, name: str) -> Column:
+            return F.try_element_at("_found", F.lit(p.k)).getField(name)
+
         of = {place.k for place in tailed}
         indices = [
-            p.index(F.coalesce(F.col(f"_own.{p.found}"), F.try_element_at("_found", F.lit(p.k))))
+            p.index(F.coalesce(F.col(f"_own.{p.found}"), looked_up(p, "_idx")))
             if p.k in of
             else p.index(F.col(f"_own.{p.found}"))
             for p in places
         ]
-        return found.select(*[F.col("_own").getField(c).alias(c) for c in columns], *indices)
+        values = [
+            (F.coalesce(kept, looked_up(apart[c], "_value")) if c in apart else kept).alias(c)
+            for c in columns
+            for kept in [F.col("_own").getField(c)]
+        ]
+        return found.select(*values, *indices)
 
     def write(self) -> MLWriter:
         return _LabelTableWriter(self)

@@ -186,3 +186,23 @@ def test_copies_of_rows_with_several_open_cells(spark):
         sorted(map(str, m.transform(rows).select(*columns).collect())) for m in (table, plain)
     )
     assert found == expected and len(found) == 900
+
+
+def test_frequent_values_are_found_without_a_shuffle_of_cells(spark):
+    """Cells are dealt out by value once, to meet their labels, and their values do not travel with the row too."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(3_000, numPartitions=4).selectExpr("id", "concat('a', id % 1499) AS a", "concat('b', id % 701) AS b")
+        names = ["a", "b"]
+        model = CategoryIndexer(inputCols=names, outputCols=["a_i", "b_i"], maxLabels=0, headLabels=3).fit(rows)
+        found = model.transform(rows)
+        plan = exchanges(found)
+        kept = found.filter("a = concat('a', id % 1499) AND b = concat('b', id % 701)").count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert kept == 3_000
+    assert plan.count("hashpartitioning(_k") == 2
