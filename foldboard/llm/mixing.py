@@ -8,8 +8,8 @@ drawn; the draw is a hash of its id, so a rerun draws the same documents.
 No probability exceeds 1: weights stop there, and the other cells of a margin are scaled up instead; the
 target of a value with fewer tokens than it wants is all of them, and the other values share what is left over.
 
-Only cells are iterated on. They stay a distributed table that is written after every few rounds, and become a broadcast
-when they are few enough.
+Only cells are iterated on. They stay a table that is written after every few rounds, and become a broadcast when they
+are few enough. Few cells lie in one partition, so that a round needs no shuffle; more of them are dealt out by margin.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldboard.llm.common import BLANK_CLASS, col, table
-from foldboard.scratch import written
+from foldboard.scratch import gathered, written
 
 MARGINS = ("source", "lang", "topic")
 #: Cells that may be broadcast; more of them are joined by shuffle.
@@ -128,6 +128,8 @@ def rake(
     state = written(
         named.withColumn("weight", F.when(usable, F.col("tokens")).otherwise(0).cast("double")), "cells"
     )
+    n_cells = state.count()
+    state = gathered(state, n_cells)
     total = state.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     most = F.col("tokens") * limit
     levels = {margin: level(state, margin, float(total), limit) for margin in targets}
@@ -141,7 +143,7 @@ def rake(
     done = 0
     while done < rounds:
         step = min(ROUNDS_PER_STEP, rounds - done)
-        moving = state.withColumn("_before", F.col("weight"))
+        moving = gathered(state, n_cells).withColumn("_before", F.col("weight"))
         for _ in range(step):
             for margin in targets:
                 # A window keeps the plan in one line; a join with sums would double it each time.
@@ -178,6 +180,7 @@ def probabilities(
     cells = written(
         rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells"
     )
+    cells = gathered(cells, cells.count())
     if targets is None:
         targets = {margin: flattened(cells, margin) for margin in MARGINS}
     raked = rake(cells, targets, rounds, tolerance, 1 / kept_share)

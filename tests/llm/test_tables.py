@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from foldboard import scratch
+from foldboard.llm import mixing
 from foldboard.llm.decontamination import clean_documents, contamination
 from foldboard.llm.html_text import article, host_of, main_text, parse
 from foldboard.llm.line_dedup import parsed, recurring_lines, without_recurring_lines
@@ -69,6 +71,31 @@ def test_saturated_cells_hand_on_their_tokens(spark):
     assert abs(kept / total - 0.5) < 0.05
 
 
+def test_few_cells_are_scaled_without_shuffles(spark, monkeypatch):
+    rows = [(k, "x " * (1 + k % 9), ["en", "de"][k % 7 < 2], "abc"[k % 3]) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plans = []
+
+    def recorded(df, label):
+        if label == "cells" and "weight" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return scratch.written(df, label)
+
+    monkeypatch.setattr(mixing, "written", recorded)
+
+    def weights():
+        plans.clear()
+        cells = probabilities(described(docs), rounds=2).collect()
+        return {tuple(r[m] for m in MARGINS): r["weight"] for r in cells}, plans[2:]
+
+    together, few = weights()
+    assert few and all("Window" in plan and "Exchange" not in plan for plan in few)
+    monkeypatch.setattr(scratch, "ROWS_PER_TASK", 0)
+    apart, many = weights()
+    assert all("Exchange" in plan for plan in many)
+    assert together == pytest.approx(apart)
+
+
 def test_mixture_of_the_documents_is_calibrated(spark, sf_dir):
     """Plain numpy on the cells of the query: every margin gets what it can reach, and the draw has its size."""
     rows = op4_mixing(spark, sf_dir).collect()
