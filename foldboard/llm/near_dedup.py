@@ -7,9 +7,9 @@ a height that must lie below the count. A register keeps its earliest time, so t
 probability of their weighted Jaccard similarity. Only the earliest points are ever made: about registers * ln(registers)
 per text.
 
-Signatures are cut into bands; texts that share a band are candidates. Within a band everything is compared with one
-leader, not all with all: first with the text that shares most bands, which joins nearly everything that belongs together,
-then with another one. What still lies in different classes of a band is compared pair by pair, so no link between
+Signatures are cut into bands; texts that share a band are candidates. Within a band everything is compared with two
+leaders, not all with all: with the text that shares most bands, which joins nearly everything that belongs together,
+and with another one. What then still lies in different classes of a band is compared pair by pair, so no link between
 different texts is lost to the choice of a leader. Before that a prefix filter drops pairs that cannot reach the threshold: of two
 similar multisets some element must lie among the rarest few of both. Any order of elements makes that exact; a sketch
 of fixed size says which are rare. A pair is linked only if the exact similarity of the two whole texts reaches the threshold.
@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldboard.llm.common import col, lower_bytes, table
-from foldboard.scratch import written
+from foldboard.scratch import gathered, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 #: A pair at the threshold shares none of 30 bands of 5 with a probability below 1e-5.
 BANDS, BAND_ROWS = 30, 5
 REGISTERS = BANDS * BAND_ROWS
-LEADER_ROUNDS = 2
+LEADERS = 2
 #: Bits of a shingle that choose its counter in the sketch of frequencies.
 SKETCH_BITS = 16
 #: Keys of 16 bytes that may be broadcast; more of them are joined by shuffle.
@@ -168,13 +168,13 @@ def signed(texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose ``texts`` (key, text) are similar enough."""
+    """(a, b), the classes of those ``pairs`` (a, b, class_a, class_b) whose ``texts`` (key, text) are similar enough."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[bytes, tuple] = {}
         for batch in batches:
             linked = []
-            for a, b, text_a, text_b in batch.itertuples(index=False):
+            for b, text_a, text_b in batch[["b", "text_a", "text_b"]].itertuples(index=False):
                 if b not in held:
                     # The sides that many are compared with come in runs.
                     if len(held) >= 64:
@@ -182,11 +182,13 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                     held[b] = shingles(text_b)
                 linked.append(similarity(shingles(text_a), held[b]) >= threshold)
             if any(linked):
-                yield batch.loc[linked, ["a", "b"]]
+                yield batch.loc[linked, ["class_a", "class_b"]].set_axis(["a", "b"], axis=1)
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    rows = pairs.join(left, "a").join(right, "b").select(
+        "b", "class_a", "class_b", "text_a", "text_b"
+    )
     return rows.mapInPandas(compare, "a binary, b binary")
 
 
@@ -195,12 +197,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Each step takes the smallest root among the neighbours and then the root of that root, so chains shorten by half.
     """
-    both = written(
-        links.select("a", "b").union(links.select("b", "a")).distinct().toDF("node", "other"),
-        "links",
-    )
+    n_links = links.count()
+
+    def near_by(df: DataFrame) -> DataFrame:
+        return gathered(df, 2 * n_links)
+
+    ways = [F.struct(F.col(a).alias("node"), F.col(b).alias("other")) for a, b in ("ab", "ba")]
+    both = near_by(written(links.select(F.inline(F.array(*ways))), "links"))
     roots = both.groupBy("node").agg(F.min("other").alias("near"))
-    roots = written(roots.select("node", F.least("node", "near").alias("root")), "roots")
+    roots = near_by(written(roots.select("node", F.least("node", "near").alias("root")), "roots"))
     while True:
         near = (
             both.join(roots.toDF("other", "root"), "other")
@@ -215,7 +220,7 @@ def components(links: DataFrame) -> DataFrame:
             lower.join(following, "up").select("node", "old", F.least("up", "top").alias("root")),
             "roots",
         )
-        roots = moved.select("node", "root")
+        roots = near_by(moved.select("node", "root"))
         if moved.filter(F.col("old") != F.col("root")).isEmpty():
             return roots
 
@@ -231,68 +236,52 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = signatures.select("key", "weight", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     sharing = written(rows.join(shared, "band"), "sharing")
-    central = sharing.groupBy("key").agg(F.sum("n").alias("central"))
-    members = written(sharing.drop("n").join(central, "key"), "members")
-    wanted = written(members.select("key").distinct(), "candidates")
+    wanted = written(sharing.groupBy("key").agg(F.sum("n").alias("central")), "candidates")
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
+    members = written(sharing.drop("n").join(wanted, "key"), "members")
     # Copies are combined before the shuffle.
     texts = docs.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
     texts = written(texts, "candidate-texts")
-    classes = None
-    for turn in range(LEADER_ROUNDS + 1):
-        placed = members
-        if classes is not None:
-            placed = members.join(classes, "key", "left")
-            placed = placed.withColumn("class", F.coalesce("class", "key"))
-        else:
-            placed = placed.withColumn("class", F.col("key"))
-        last = turn == LEADER_ROUNDS
-        pairs = _rest(placed, texts, threshold) if last else _led(placed, turn, threshold)
-        pairs = written(pairs, "pairs")
-        links = written(verified(pairs.select("a", "b"), texts, threshold), "verified")
-        named = links.join(pairs, ["a", "b"]).select(
-            F.col("class_a").alias("a"), F.col("class_b").alias("b")
-        )
-        found = components(named)
-        if classes is None:
-            classes = found.toDF("key", "class")
-        else:
-            # A root may itself belong to another class now; texts first linked in this turn are new.
-            moved = (
-                classes.join(found.toDF("class", "root"), "class", "left")
-                .select("key", F.coalesce("root", "class").alias("class"))
-            )
-            new = found.toDF("key", "class").join(classes.select("key"), "key", "left_anti")
-            classes = moved.unionByName(new)
-        classes = written(classes, "classes")
-    return classes
-
-
-def _led(placed: DataFrame, turn: int, threshold: float) -> DataFrame:
-    """Every member of a band with its leader, where their classes differ."""
-    order = F.xxhash64(F.lit(turn), "key") if turn else -F.col("central")
-    leaders = (
-        placed.groupBy("band")
-        .agg(
-            F.min(F.struct(order.alias("_order"), "key", "class", "weight")).alias("lead"),
-            F.min("class").alias("low"),
-            F.max("class").alias("high"),
-        )
-        .filter("low <> high")
-        .select(
-            "band",
-            F.col("lead.key").alias("b"),
-            F.col("lead.class").alias("class_b"),
-            F.col("lead.weight").alias("weight_b"),
-        )
+    pairs = written(_led(members, threshold), "pairs")
+    links = written(verified(pairs, texts, threshold), "verified")
+    classes = written(components(links).toDF("key", "class"), "classes")
+    placed = members.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    pairs = written(_rest(placed, texts, threshold), "pairs")
+    links = written(verified(pairs, texts, threshold), "verified")
+    found = components(links)
+    # A root may itself belong to another class now; texts first linked in the second turn are new.
+    moved = (
+        classes.join(found.toDF("class", "root"), "class", "left")
+        .select("key", F.coalesce("root", "class").alias("class"))
+    )
+    new = found.toDF("key", "class").join(classes.select("key"), "key", "left_anti")
+    return written(moved.unionByName(new), "classes")
+
+
+def _led(members: DataFrame, threshold: float) -> DataFrame:
+    """Every member of a band with each of its leaders; as yet a text is a class of its own."""
+    orders = [-F.col("central"), *(F.xxhash64(F.lit(n), "key") for n in range(1, LEADERS))]
+    leads = [F.min(F.struct(order.alias("_order"), "key", "weight")) for order in orders]
+    leaders = members.groupBy("band").agg(
+        *[lead.alias(f"lead_{n}") for n, lead in enumerate(leads)]
+    )
+    named = [
+        F.struct(F.col(f"lead_{n}.key").alias("b"), F.col(f"lead_{n}.weight").alias("weight_b"))
+        for n in range(LEADERS)
+    ]
+    # A leader by both orders is one.
+    leaders = leaders.select(
+        "band", F.col("lead_0.key").alias("first"), F.inline(F.array_distinct(F.array(*named)))
     )
     return (
-        placed.join(leaders, "band")
-        .filter(F.col("class") != F.col("class_b"))
+        members.join(leaders, "band")
+        # The other leaders are compared with the first one, not that one with them again.
+        .filter((F.col("key") != F.col("first")) & (F.col("key") != F.col("b")))
         .filter(_similar_weight("weight", "weight_b", threshold))
-        .select(F.col("key").alias("a"), "b", F.col("class").alias("class_a"), "class_b")
+        .select(F.col("key").alias("a"), "b")
         .distinct()
+        .withColumns({"class_a": F.col("a"), "class_b": F.col("b")})
     )
 
 
@@ -304,9 +293,8 @@ def _rest(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         .filter("low <> high")
         .select("band")
     )
-    open_rows = written(placed.join(mixed_bands, "band").select("band", "key", "class", "weight"), "open")
-    first = _prefixes(open_rows.select("key").distinct(), texts, threshold)
-    left = open_rows.join(first, "key")
+    open_rows = placed.join(mixed_bands, "band").select("band", "key", "class", "weight")
+    left = written(open_rows.join(_prefixes(texts, threshold), "key"), "open")
     right = left.select(
         F.col("band").alias("band_b"),
         F.col("key").alias("b"),
@@ -335,12 +323,11 @@ def _rest(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _prefixes(keys: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
     """(key, prefix): the elements of each text in a common order, rare ones first, as many as the filter may need.
 
     An element is a shingle and the number of its occurrence, so that multisets are compared like sets.
     """
-    chosen = written(texts.join(keys, "key", "left_semi"), "open-texts")
     slots = 1 << SKETCH_BITS
     shift = np.uint64(64 - SKETCH_BITS)
 
@@ -353,7 +340,7 @@ def _prefixes(keys: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         yield pd.DataFrame({"slot": slot, "n": total[slot]})
 
     counted = (
-        chosen.select("text")
+        texts.select("text")
         .mapInPandas(count, "slot long, n long")
         .groupBy("slot")
         .agg(F.sum("n").alias("n"))
@@ -361,7 +348,7 @@ def _prefixes(keys: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     )
     sketch = np.zeros(slots, "int64")
     sketch[counted["slot"].to_numpy("int64")] = counted["n"].to_numpy("int64")
-    shared = chosen.sparkSession.sparkContext.broadcast(sketch)
+    shared = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -371,14 +358,15 @@ def _prefixes(keys: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 each = np.repeat(keys, counts)
                 begun = np.repeat(np.cumsum(counts) - counts, counts)
                 occurrence = (np.arange(len(each)) - begun).astype("uint64")
-                elements = mixed(each + occurrence * _ODD[11]).view("int64")
+                elements = mixed(each + occurrence * _ODD[11])
                 # Overlap is at least the threshold times the weight of either side.
                 length = len(each) - int(np.ceil(threshold * len(each) - 1e-6)) + 1
                 order = np.lexsort((elements, shared.value[(each >> shift).astype("int64")]))
-                rows.append(elements[order[:length]])
+                # Half of the bits will do: a chance overlap only lets a pair through that is then compared.
+                rows.append((elements[order[:length]] >> np.uint64(32)).astype("uint32").view("int32"))
             yield pd.DataFrame({"key": batch["key"], "prefix": rows})
 
-    return chosen.mapInPandas(cut, "key binary, prefix array<long>")
+    return texts.mapInPandas(cut, "key binary, prefix array<int>")
 
 
 def text_key(text: Column) -> Column:

@@ -3,9 +3,12 @@ from collections import Counter
 
 import numpy as np
 
+from foldboard import scratch
+from foldboard.llm import near_dedup
 from foldboard.llm.near_dedup import (
     BANDS,
     bands,
+    components,
     marked,
     near_duplicates,
     one_per_class,
@@ -93,6 +96,43 @@ def test_classes_match_brute_force(spark, sparse):
     assert [found[k] for k in range(len(texts))] == plain_classes(texts)
 
 
+def test_leaders_are_compared_in_one_turn(spark, sparse, monkeypatch):
+    texts = families(7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = []
+
+    def recorded(df, label):
+        labels.append(label)
+        return scratch.written(df, label)
+
+    monkeypatch.setattr(near_dedup, "written", recorded)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()}
+    assert [found[k] for k in range(len(texts))] == plain_classes(texts)
+    assert labels.count("verified") == 2
+
+
+def test_few_links_are_followed_without_shuffles(spark, sparse, monkeypatch):
+    chain = [(f"{k:02}".encode(), f"{k + 1:02}".encode()) for k in range(9)] + [(b"x", b"y")]
+    links = spark.createDataFrame(chain, "a binary, b binary")
+    plans = []
+
+    def recorded(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return scratch.written(df, label)
+
+    def roots():
+        plans.clear()
+        return {bytes(r["node"]): bytes(r["root"]) for r in components(links).collect()}
+
+    monkeypatch.setattr(near_dedup, "written", recorded)
+    expected = {f"{k:02}".encode(): b"00" for k in range(10)} | {b"x": b"x", b"y": b"x"}
+    assert roots() == expected
+    assert not any("Exchange hashpartitioning" in plan for plan in plans)
+    monkeypatch.setattr(scratch, "ROWS_PER_TASK", 0)
+    assert roots() == expected
+    assert any("Exchange hashpartitioning" in plan for plan in plans)
+
+
 def test_edge_rows(edge_docs, no_docs, sparse):
     rows = near_duplicates(edge_docs).collect()
     assert len(rows) == edge_docs.count()
